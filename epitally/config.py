@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date
 
 YEARLY = 5
 
@@ -29,6 +30,11 @@ class Report:
     def months(self) -> int:
         return 12 if self.yearly else 3
 
+    def window_end(self, latest: date) -> date:
+        """First day after the report period of the year that ``latest`` lies in."""
+        month = self.first_month + self.months
+        return date(latest.year + 1, 1, 1) if month > 12 else date(latest.year, month, 1)
+
     def label(self, year: int) -> str:
         return str(year) if self.yearly else f"{year}_Q{self.kind}"
 

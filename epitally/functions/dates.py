@@ -2,36 +2,57 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epitally.config import Report
 
 
+def _iso_date(year: Column, month: Column, day: Column) -> Column:
+    """Date from three texts, NULL when there is no such day.
+
+    Casting ISO text needs no pattern parser and, unlike one, raises no internal
+    exception for every text that does not fit, which costs more than the parse.
+    """
+    return F.concat_ws("-", F.lpad(year, 4, "0"), month, day).try_cast("date")
+
+
+def _split_date(text: Column, separator: str, year: Column | None = None) -> Column:
+    """Date from ``day<sep>month<sep>year`` text known to have that shape."""
+    day = F.substring_index(text, separator, 1)
+    month = F.substring_index(F.substring_index(text, separator, 2), separator, -1)
+    return _iso_date(F.substring_index(text, separator, -1) if year is None else year, month, day)
+
+
 def parse_day_month_year(col: Column) -> Column:
     """Day-month-year text with any usual separator, two- or four-digit year,
     month number or English month name. NULL when it is not a date.
 
-    Separators are unified first, so that one parse per row suffices instead of
-    one failed attempt per format.
+    Separators are unified first, then the shape of the text decides.
     """
     text = F.translate(F.trim(col), "/. _", "----")
-    short = F.try_to_date(text, "d-M-yy")
+    two_digits = F.substring_index(text, "-", -1)
+    century = F.when(two_digits > "68", F.concat(F.lit("19"), two_digits)).otherwise(
+        F.concat(F.lit("20"), two_digits)
+    )
     return (
-        F.when(text.rlike("^[0-9]{8}$"), F.try_to_date(text, "ddMMyyyy"))
+        F.when(text.rlike("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"), _split_date(text, "-"))
+        .when(text.rlike("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}$"), _split_date(text, "-", century))
         .when(
-            text.rlike("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}$"),
-            F.when(F.year(short) > 2068, F.add_months(short, -1200)).otherwise(short),
+            text.rlike("^[0-9]{8}$"),
+            _iso_date(F.substring(text, 5, 4), F.substring(text, 3, 2), F.substring(text, 1, 2)),
         )
         .when(text.rlike("^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$"), F.try_to_date(text, "d-MMM-yyyy"))
         .when(text.rlike("^[0-9]{1,2}-[A-Za-z]{4,}-[0-9]{4}$"), F.try_to_date(text, "d-MMMM-yyyy"))
-        .otherwise(F.try_to_date(text, "d-M-yyyy"))
     )
 
 
 def parse_leading_date(col: Column) -> Column:
     """``dd/mm/yyyy`` at the start of the text; whatever follows is ignored."""
-    return F.try_to_date(F.regexp_extract(col, r"^\s*([0-9]{1,2}/[0-9]{1,2}/[0-9]{1,4})", 1), "d/M/y")
+    found = F.regexp_extract(col, r"^\s*([0-9]{1,2}/[0-9]{1,2}/[0-9]{1,4})", 1)
+    return F.when(found != "", _split_date(found, "/"))
 
 
 def month_start(date: Column) -> Column:
@@ -54,11 +75,10 @@ def period_label(date: Column, report: Report) -> Column:
     return year if report.yearly else F.concat(year, F.lit("_Q"), F.quarter(date).cast("string"))
 
 
-def in_period(date: Column, year: Column | int, report: Report) -> Column:
+def in_period(date: Column, year: int, report: Report) -> Column:
     """Whether a date lies in the report period of ``year``; a plain range test."""
-    year = year if isinstance(year, Column) else F.lit(year)
-    first = F.make_date(year, F.lit(report.first_month), F.lit(1))
-    return (date >= first) & (date < F.add_months(first, report.months))
+    first = datetime.date(year, report.first_month, 1)
+    return (date >= first) & (date < report.window_end(first))
 
 
 def window_cutoff(latest: Column, report: Report) -> Column:

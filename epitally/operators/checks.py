@@ -18,14 +18,13 @@ class CoverageError(ValueError):
     """An input does not cover what the report asks for."""
 
 
-def coverage_flags(windowed: DataFrame, report: Report, year: Column | int, date_col: str = "month_start") -> DataFrame:
+def coverage_flags(windowed: DataFrame, report: Report, year: int, date_col: str = "month_start") -> DataFrame:
     """One row: first and latest year, and whether the report can be made.
 
     The report quarter is covered when the latest year that has it is the latest
     year of all; a yearly report has no such demand.
     """
     date = F.col(date_col)
-    year = year if isinstance(year, Column) else F.lit(year)
     spans = windowed.agg(
         F.min(F.year(date)).alias("first_year"),
         F.max(F.year(date)).alias("latest_year"),
@@ -40,7 +39,7 @@ def coverage_flags(windowed: DataFrame, report: Report, year: Column | int, date
     )
 
 
-def require_coverage(windowed: DataFrame, name: str, report: Report, year: Column | int) -> None:
+def require_coverage(windowed: DataFrame, name: str, report: Report, year: int) -> None:
     flags = coverage_flags(windowed, report, year).first()
     if not flags["period_covered"]:
         raise CoverageError(f"{name}: no rows in period {report.kind} of {flags['latest_year']}")
@@ -61,9 +60,8 @@ def require_values(df: DataFrame, col: str, values: Iterable[str]) -> None:
         raise CoverageError(f"no such value in {col}: {', '.join(missing)}")
 
 
-def denominator_flags(population: DataFrame, year: Column | int) -> DataFrame:
+def denominator_flags(population: DataFrame, year: int) -> DataFrame:
     """One row: latest population year, and whether it serves the report year (its own year plus one)."""
-    year = year if isinstance(year, Column) else F.lit(year)
     latest = population.agg(F.max("pop_year").alias("latest_pop_year"))
     return latest.withColumn("fresh", F.coalesce(F.col("latest_pop_year") >= year - 1, F.lit(False)))
 

@@ -36,18 +36,28 @@ def report_window(df: DataFrame, report: Report, date_col: str = "event_date") -
     """All earlier years, and the latest year up to the end of the report period.
 
     The latest date is one scalar computed beside the scan, so no row moves for
-    it. Rows without a date drop out. Works on events and on monthly counts alike.
+    it. Rows without a date drop out.
     """
     latest = df.agg(F.max(date_col).alias("latest"))
     cutoff = latest.select(window_cutoff(F.col("latest"), report)).scalar()
     return df.filter(F.col(date_col) < cutoff)
 
 
-def report_year(df: DataFrame, date_col: str = "month_start") -> Column:
-    """Year of the latest date, as a scalar to compare with."""
-    return df.agg(F.max(date_col).alias("latest")).select(F.year("latest")).scalar()
+def window_counts(counts: DataFrame, report: Report) -> DataFrame:
+    """The same window on small, written monthly counts.
+
+    Months suffice to decide it. The latest one is fetched, which turns the
+    window into a plain range of dates for everything that builds on it.
+    """
+    latest = counts.agg(F.max("month_start")).first()[0]
+    return counts.filter(F.lit(False) if latest is None else F.col("month_start") < report.window_end(latest))
+
+
+def report_year(counts: DataFrame) -> int | None:
+    """Year of the latest month; None without any."""
+    return counts.agg(F.max(F.year("month_start"))).first()[0]
 
 
-def at_period(df: DataFrame, year: Column | int, report: Report, date_col: str = "month_start") -> DataFrame:
+def at_period(df: DataFrame, year: int, report: Report, date_col: str = "month_start") -> DataFrame:
     """Rows of the report period of one year."""
     return df.filter(in_period(F.col(date_col), year, report))

@@ -73,7 +73,7 @@ def period_table(
     monthly: DataFrame,
     by: str,
     report: Report,
-    year: Column | int,
+    year: int,
     regions: Sequence[str],
     style: TableStyle,
     national: DataFrame | None = None,

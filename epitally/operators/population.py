@@ -42,7 +42,7 @@ def with_period_parts(df: DataFrame, col: str = "period_code") -> DataFrame:
 def first_of_year(observations: DataFrame) -> DataFrame:
     """Observations of the first month of a year."""
     parts = with_period_parts(observations)
-    return parts.filter(F.col("month") == 1).select("municipality", "pop_year", "population")
+    return parts.filter(F.col("month") == 1).select(F.trim("municipality").alias("municipality"), "pop_year", "population")
 
 
 def _regional_sum(skip_nulls: bool) -> Column:

@@ -16,7 +16,7 @@ def top_topics(
     monthly: DataFrame,
     by: str,
     report: Report,
-    year: Column | int,
+    year: int,
     k: int = 5,
     relabel: Mapping[str, str] | None = None,
     labels: Labels | None = None,

@@ -77,7 +77,7 @@ def harmonise_names(national: DataFrame, first_per_name: DataFrame, by: str = "c
 
 
 def national_incidence(
-    national: DataFrame, population: DataFrame, year: Column | int, labels: Labels | None = None
+    national: DataFrame, population: DataFrame, year: int, labels: Labels | None = None
 ) -> DataFrame:
     """Attach the nation's population of the report year."""
     labels = labels or Labels()
@@ -94,7 +94,7 @@ def disease_monthly(
 
 
 def disease_table(
-    monthly: DataFrame, national: DataFrame, config: SurveillanceConfig, year: Column | int
+    monthly: DataFrame, national: DataFrame, config: SurveillanceConfig, year: int
 ) -> DataFrame:
     return period_table(
         monthly,

@@ -29,11 +29,11 @@ def topic_monthly(counts: DataFrame, population: DataFrame, labels: Labels | Non
     return monthly_incidence(counts, ["topic"], population, None, labels)
 
 
-def top5_long(monthly: DataFrame, config: SurveillanceConfig, year: Column | int) -> DataFrame:
+def top5_long(monthly: DataFrame, config: SurveillanceConfig, year: int) -> DataFrame:
     return top_topics(
         monthly, "topic", config.report, year, k=5, relabel=fixed.TOPIC_RELABELS, labels=config.labels
     )
 
 
-def top5_table(monthly: DataFrame, config: SurveillanceConfig, year: Column | int) -> DataFrame:
+def top5_table(monthly: DataFrame, config: SurveillanceConfig, year: int) -> DataFrame:
     return pivot_topics(top5_long(monthly, config, year), "topic", config.regions)

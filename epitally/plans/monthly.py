@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from epitally.config import Labels, Report
 from epitally.operators.counts import monthly_counts, with_all_regions, zero_filled
-from epitally.operators.filters import report_window
+from epitally.operators.filters import window_counts
 from epitally.operators.rates import with_incidence
 from epitally.staging import stage
 
@@ -20,7 +20,7 @@ def windowed_counts(events: DataFrame, by: Sequence[str], report: Report, name:
     Counting comes before the window: the window depends on whole months only,
     and asking the small staged counts for the latest month spares a second scan.
     """
-    return report_window(stage(monthly_counts(events, by), name), report, "month_start")
+    return window_counts(stage(monthly_counts(events, by), name), report)
 
 
 def monthly_incidence(

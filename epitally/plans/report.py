@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from epitally.config import SurveillanceConfig
 from epitally.operators.checks import CoverageError, require_coverage, require_denominators
+from epitally.operators.filters import report_year
 from epitally.operators.series import SeriesSpec
 from epitally.plans import cases, enquiries, situations
 from epitally.plans.catalogue import QUARTERLY, YEARLY, build_series
@@ -50,7 +50,7 @@ def build_report(
         "enquiries": windowed_counts(enquiries.clean_enquiries(inputs.enquiries), ["topic"], report, "enquiries"),
     }
     # The year of the cases is the year of the whole report.
-    year = counts["cases"].agg(F.max(F.year("month_start"))).first()[0]
+    year = report_year(counts["cases"])
     if year is None:
         raise CoverageError("cases: no dated rows")
     for name, windowed in counts.items():

@@ -43,7 +43,7 @@ def setting_monthly(counts: DataFrame, population: DataFrame, labels: Labels | N
 
 
 def situation_table(
-    monthly: DataFrame, by: str, config: SurveillanceConfig, year: Column | int
+    monthly: DataFrame, by: str, config: SurveillanceConfig, year: int
 ) -> DataFrame:
     """Scenario or setting table; agents are all in, the nation is not."""
     return period_table(

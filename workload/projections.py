@@ -20,6 +20,25 @@ UNKNOWN_REGION = "NATION_23"
 POPULATION_YEARS = tuple(range(1994, 2002))
 
 
+# Declared, so that opening a table reads no file.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+}
+
+
 class Tables:
     """Lazy scans of one scale-factor folder."""
 
@@ -28,18 +47,23 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in SCHEMAS:
+            raise AttributeError(name)
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
 
 def nullif(col: str, value: str) -> Column:
     return F.nullif(F.col(col), F.lit(value))
 
 
+def places(t: Tables) -> DataFrame:
+    """Nations with their region of the world: 25 rows at every scale factor."""
+    return t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+
+
 def customer_regions(t: Tables) -> DataFrame:
-    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", F.col("n_name").alias("region"), F.col("r_name").alias("world_region")
-    )
-    return t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    named = places(t).select("n_nationkey", F.col("n_name").alias("region"), F.col("r_name").alias("world_region"))
+    return t.customer.join(F.broadcast(named), F.col("c_nationkey") == F.col("n_nationkey"))
 
 
 def supra_region_only(df: DataFrame) -> DataFrame:
@@ -64,8 +88,8 @@ def cases(t: Tables) -> DataFrame:
 
 
 def _regional_orders(t: Tables) -> DataFrame:
-    places = supra_region_only(customer_regions(t)).select("c_custkey", "region")
-    return t.orders.join(places, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "region")
+    customers = supra_region_only(customer_regions(t)).select("c_custkey", "region")
+    return t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "region")
 
 
 def situations(t: Tables) -> DataFrame:
@@ -96,28 +120,16 @@ def enquiries(t: Tables) -> DataFrame:
 def population(t: Tables) -> DataFrame:
     """Inhabitants per nation of EUROPE, over all of them, and over the world, by year."""
     per_nation = customer_regions(t).groupBy("region", "world_region").agg(F.count("*").alias("customers"))
-    yearly = per_nation.select(
-        "region", "world_region", "customers", F.explode(F.lit(list(POPULATION_YEARS))).alias("pop_year")
-    ).withColumn("population", F.col("customers") * 10000 + (F.col("pop_year") - 1994) * 1000)
-    inside = F.col("world_region") == SUPRA_REGION
-    by_place = yearly.groupingSets(
-        [["region", "pop_year"], ["pop_year"]], "region", "pop_year"
-    ).agg(
-        F.sum("population").alias("everywhere"),
-        F.sum(F.when(inside, F.col("population"))).alias("supra"),
-        F.grouping("region").alias("total"),
-    )
     rows = F.when(
-        F.col("total") == 1,
-        F.array(
-            F.struct(F.lit("ALL_REGIONS").alias("region"), F.col("supra").alias("population")),
-            F.struct(F.lit("NATIONAL").alias("region"), F.col("everywhere").alias("population")),
-        ),
-    ).otherwise(F.array(F.struct(F.col("region"), F.col("supra").alias("population"))))
+        F.col("world_region") == SUPRA_REGION,
+        F.array(F.col("region"), F.lit("ALL_REGIONS"), F.lit("NATIONAL")),
+    ).otherwise(F.array(F.lit("NATIONAL")))
+    # Some 25 nations by now.
     return (
-        by_place.select(F.explode(rows).alias("row"), "pop_year")
-        .select("row.region", "pop_year", "row.population")
-        .filter(F.col("population").isNotNull())
+        per_nation.select(F.explode(rows).alias("region"), "customers")
+        .select("region", "customers", F.explode(F.lit(list(POPULATION_YEARS))).alias("pop_year"))
+        .groupBy("region", "pop_year")
+        .agg(F.sum(F.col("customers") * 10000 + (F.col("pop_year") - 1994) * 1000).alias("population"))
         .withColumn("year", F.col("pop_year") + 1)
     )
 
@@ -161,8 +173,7 @@ def municipal_observations(t: Tables) -> DataFrame:
 def area_map(t: Tables) -> DataFrame:
     """Boundaries 1996-2001: BUILDING moves in 1999, one municipality ends in 2001."""
     segments = t.customer.select("c_nationkey", "c_mktsegment").distinct()
-    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    yearly = segments.join(places, F.col("c_nationkey") == F.col("n_nationkey")).withColumn(
+    yearly = segments.join(F.broadcast(places(t)), F.col("c_nationkey") == F.col("n_nationkey")).withColumn(
         "boundary_year", F.explode(F.lit(list(range(1996, 2002))))
     )
     ended = (F.col("boundary_year") == 2001) & (F.col("c_nationkey") == 8) & (F.col("c_mktsegment") == "AUTOMOBILE")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epitally.config import Labels, Report
@@ -22,7 +22,7 @@ from epitally.functions import (
 )
 from epitally.operators.checks import coverage_flags, denominator_flags
 from epitally.operators.counts import dense_counts, dense_template, monthly_counts, with_all_regions, zero_filled
-from epitally.operators.filters import admitted, at_period, report_window, report_year
+from epitally.operators.filters import admitted, at_period, report_window, report_year, window_counts
 from epitally.operators.period_table import (
     DISEASE_STYLE,
     SITUATION_STYLE,
@@ -281,8 +281,8 @@ def name_harmonise(t: Tables) -> DataFrame:
 def _disease_table(t: Tables, report: Report) -> DataFrame:
     """Regions and nation from the same staged counts, so from one scan of the orders."""
     events = p.all_cases(t).filter(F.col("category").isNotNull())
-    counts = windowed_counts(events, ["world_region", "category"], report, "cases")
-    regional = less_detail(p.supra_region_only(counts), ["category"])
+    counts = stage(monthly_counts(events, ["world_region", "category"]), "cases")
+    regional = window_counts(less_detail(p.supra_region_only(counts), ["category"]), report)
     year = report_year(regional)
     population = p.population(t)
     diseases = counts.select("category")
@@ -309,9 +309,9 @@ def disease_table_year(t: Tables) -> DataFrame:
     return _disease_table(t, YEAR)
 
 
-def _report_year(t: Tables, report: Report) -> Column:
+def _report_year(t: Tables, report: Report) -> int:
     """The cases set the year for the other data sets too."""
-    return report_year(_case_counts(t, report))
+    return report_year(windowed_counts(p.cases(t), [], report, "case-months"))
 
 
 @query
@@ -338,7 +338,7 @@ def setting_table_year(t: Tables) -> DataFrame:
 def _sparse_cells(t: Tables) -> DataFrame:
     """Counts of the latest, partial month; regions without an event there stay NULL."""
     counts = stage(monthly_counts(p.cases(t), ["category"]), "cases")
-    latest = counts.agg(F.max("month_start").alias("latest")).select("latest").scalar()
+    latest = counts.agg(F.max("month_start")).first()[0]
     cells = counts.filter(F.col("month_start") == latest).withColumn("population", F.lit(0).cast("long"))
     return pivot_regions(cells, ["category"], REGIONS)
 
@@ -437,11 +437,12 @@ def quality_flags(t: Tables) -> DataFrame:
         "enquiries": monthly_counts(p.enquiries(t), []),
     }
     staged = {name: stage(counts, name) for name, counts in sources.items()}
+    population = stage(p.population(t), "population")
     flags = []
     for report in (QUARTER, LAST_QUARTER):
-        windowed = {name: report_window(counts, report, "month_start") for name, counts in staged.items()}
+        windowed = {name: window_counts(counts, report) for name, counts in staged.items()}
         year = report_year(windowed["cases"])
-        fresh = denominator_flags(p.population(t), year).select("fresh").scalar()
+        fresh = denominator_flags(population, year).select("fresh").scalar()
         for name, counts in windowed.items():
             flags.append(
                 coverage_flags(counts, report, year).select(
