@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epitally.functions import id_prefix, is_in
+from epitally.staging import stage
 
 SUPRA_REGION = "EUROPE"
 REGIONS = ("NATION_3", "NATION_8", "NATION_13", "NATION_18", "NATION_23")
@@ -124,14 +125,14 @@ def population(t: Tables) -> DataFrame:
         F.col("world_region") == SUPRA_REGION,
         F.array(F.col("region"), F.lit("ALL_REGIONS"), F.lit("NATIONAL")),
     ).otherwise(F.array(F.lit("NATIONAL")))
-    # Some 25 nations by now.
-    return (
+    # Some 25 nations by now, and a written result whose size the optimizer knows.
+    by_place = (
         per_nation.select(F.explode(rows).alias("region"), "customers")
         .select("region", "customers", F.explode(F.lit(list(POPULATION_YEARS))).alias("pop_year"))
         .groupBy("region", "pop_year")
         .agg(F.sum(F.col("customers") * 10000 + (F.col("pop_year") - 1994) * 1000).alias("population"))
-        .withColumn("year", F.col("pop_year") + 1)
     )
+    return stage(by_place, "population").withColumn("year", F.col("pop_year") + 1)
 
 
 # Municipalities: one per nation and market segment.
