@@ -19,7 +19,7 @@ def unpivot_years(wide: DataFrame, years: Sequence[str] | None = None, region: s
     """One row per region and year. The count of 1 January serves the year after."""
     years = list(years) if years is not None else year_columns(wide)
     return (
-        wide.select(F.col(region).alias("region"), *(F.col(f"`{y}`").cast("long").alias(y) for y in years))
+        wide.select(F.col(region).alias("region"), *(F.col(f"`{y}`").try_cast("double").try_cast("long").alias(y) for y in years))
         .unpivot(["region"], years, "pop_year", "population")
         .withColumn("pop_year", F.col("pop_year").cast("int"))
         .withColumn("year", F.col("pop_year") + 1)

@@ -44,5 +44,5 @@ def wide_population(population: DataFrame, years: Sequence[int]) -> DataFrame:
 
 
 def population_from_wide(wide: DataFrame, row_labels: Mapping[str, str] = fixed.POPULATION_ROW_LABELS) -> DataFrame:
-    """Long form of a stored wide table, its special rows under this library's labels."""
+    """Long form of a stored wide table; its special rows get this library's labels."""
     return unpivot_years(wide).withColumn("region", recode(F.col("region"), row_labels))

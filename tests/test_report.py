@@ -9,6 +9,7 @@ from epitally.operators.series import SeriesSpec
 from epitally.plans.cases import clean_cases, first_link, harmonise_names
 from epitally.plans.catalogue import QUARTERLY, YEARLY
 from epitally.plans.enquiries import clean_enquiries
+from epitally.plans.inputs import InputPaths, read_inputs, write_report
 from epitally.plans.report import ReportInputs, build_report
 from epitally.plans.situations import clean_situations
 from epitally.sources import read_events, schemas
@@ -313,6 +314,43 @@ def test_cases_from_an_export(spark, tmp_path):
     assert rows(found) == [("LN", day("2023-12-31"), "Scabies")]
 
 
+def test_report_from_files_to_files(spark, tmp_path):
+    def write(name, text):
+        (tmp_path / name).write_text(text, encoding="utf-8")
+        return str(tmp_path / name)
+
+    case_header = (
+        "Case Identifier;Time entered;Meldingsplichtige ziekte;Summary Diagnosis;ABR;Infection;Confidence;"
+        "Datum gewist;Status van de melding\n"
+    )
+    paths = InputPaths(
+        cases=write("cases.csv", case_header + "BZO/1;05-01-2024;Mazelen;;;;Confirmed;;Definitief\n"),
+        situations=write(
+            "situations.csv",
+            "Name,Date entered,Artikel 26,Infectious Agent,Scenario,Principal Contextual Setting,Infectious Agent\n"
+            "BZO/1,05-01-2024,Yes,Norovirus,Gastroenteritis,School,Other\n",
+        ),
+        enquiries=write(
+            "enquiries.csv",
+            "Broad Topic,Specific Topic,Received on,GGD\nInfectieziekten,Mazelen,05/01/2024 9:00,Zeeland\n",
+        ),
+        national=write("national.csv", "Ziekte RIVM,Landelijke aantallen in rapportageperiode\nMeasles,20\n"),
+        name_link=write("link.csv", "Ziekte RIVM,Meldingsplichtige ziekte HPZone\nMeasles,Mazelen\n"),
+        population=write("population.csv", "GGD,2023\nBZO,1000000\nRegio,2000000\nNederland,10000000\n"),
+    )
+    specs = (
+        SeriesSpec("measles", "diseases", include=("Mazelen",)),
+        SeriesSpec("noro", "scenario_agents", include=("Gastroenteritis",), breakdown=("agent", ("Norovirus",))),
+    )
+    built = build_report(read_inputs(spark, paths), SurveillanceConfig(Report(1), ("BZO",)), specs)
+    write_report(built, str(tmp_path / "out"))
+    diseases = table(spark.read.parquet(str(tmp_path / "out/tables/diseases")), "category")
+    assert list(diseases["Mazelen"].values())[2:] == [1, 1, 20, 1.0, 1.0, 2.0, None]
+    assert spark.read.parquet(str(tmp_path / "out/tables/top_topics")).columns == ["rank", "BZO_topic", "BZO_n"]
+    noro = spark.read.parquet(str(tmp_path / "out/series/noro")).collect()
+    assert [(r.region, r.n, r.incidence_all) for r in noro] == [("BZO", 1, 0.5)]
+
+
 def test_fixed_values_are_consistent():
     assert set(fixed.REGION_BY_ENQUIRY_NAME.values()) == set(fixed.REGIONS)
     assert set(fixed.REGION_BY_STATISTICS_NAME.values()) == set(fixed.REGIONS)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from epitally.operators.population import pivot_population, population_by_region, unpivot_years, with_period_parts
 from epitally.plans.denominators import population_from_wide, population_table, wide_population
+from epitally.plans.inputs import read_wide_population, refresh_population
 from epitally.sources import (
     add_labels,
     detect_separator,
@@ -246,3 +247,48 @@ def test_schemas_name_each_column_once():
 def test_null_population_sum(spark, area_map, observations):
     found = population_by_region(observations.withColumn("population", F.lit(None).cast("long")), area_map, NAMES, "fixed", 2017)
     assert {r.population for r in found.collect()} == {0}
+
+
+def test_population_is_refreshed_from_exported_tables(spark, tmp_path):
+    dictionary = "ID,Position,ParentID,Type,Key,Title,Description\n" + "".join(
+        f'{i},{"" if pos is None else pos},{"" if parent is None else parent},{kind},{key},"{title}","two\nlines"\n'
+        for i, parent, kind, key, title, pos in DICTIONARY
+    )
+    words = write(tmp_path / "dictionary.csv", dictionary)
+    areas = {
+        year: write(
+            tmp_path / f"areas{year}.csv",
+            "Code_1,Naam_2,Code_14,Naam_15,Code_16,Naam_17\n"
+            f'"GM01    ",One,GG1,"{first} ",J1,Youth\n"GM02    ",Two,GG2,GGD Zeeland,J1,Youth\n',
+        )
+        for year, first in ((2016, "GGD West-Brabant"), (2017, "GGD Zeeland"))
+    }
+    observed = write(
+        tmp_path / "observed.csv",
+        "RegioS,Perioden,BevolkingAanHetBeginVanDePeriode_1\n"
+        + "".join(
+            f"{code:10},{year}{part},{n + year}\n"
+            for code, n in (("GM01", 1000), ("GM02", 2000), ("NL01", 9000))
+            for year in (2016, 2017)
+            for part in ("MM01", "MM02")
+        ),
+    )
+    per_year, fixed_boundaries = str(tmp_path / "per_year.parquet"), str(tmp_path / "fixed.parquet")
+    refresh_population(spark, observed, areas, dict.fromkeys(areas, words), per_year)
+    refresh_population(spark, observed, areas, dict.fromkeys(areas, words), fixed_boundaries, "fixed")
+    assert rows(read_wide_population(spark, per_year), "region", "pop_year", "population") == sorted(
+        [
+            ("WB", 2016, 3016),
+            ("WB", 2017, None),
+            ("Zee", 2016, 4016),
+            ("Zee", 2017, 7034),
+            ("ALL_REGIONS", 2016, 7032),
+            ("ALL_REGIONS", 2017, 7034),
+            ("NATIONAL", 2016, 11016),
+            ("NATIONAL", 2017, 11017),
+        ],
+        key=repr,
+    )
+    assert rows(spark.read.parquet(fixed_boundaries)) == sorted(
+        [("Zee", 7032, 7034), ("ALL_REGIONS", 7032, 7034), ("NATIONAL", 11016, 11017)], key=repr
+    )
