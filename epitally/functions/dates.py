@@ -10,49 +10,44 @@ from pyspark.sql import functions as F
 from epitally.config import Report
 
 
-def _iso_date(year: Column, month: Column, day: Column) -> Column:
-    """Date from three texts, NULL when there is no such day.
+_DAY_MONTH = "([0-9]{1,2})[-/. _]([0-9]{1,2})[-/. _]"
+_MONTH_NAME = "^[0-9]{1,2}-[A-Za-z]+-[0-9]{4}$"
 
-    Casting ISO text needs no pattern parser and, unlike one, raises no internal
-    exception for every text that does not fit, which costs more than the parse.
-    """
-    return F.concat_ws("-", F.lpad(year, 4, "0"), month, day).try_cast("date")
 
+def _rearranged(col: Column, shape: str, iso: str) -> Column:
+    """Date from text of the given shape, put in ISO order; NULL for any other text.
 
-def _split_date(text: Column, separator: str, year: Column | None = None) -> Column:
-    """Date from ``day<sep>month<sep>year`` text known to have that shape."""
-    day = F.substring_index(text, separator, 1)
-    month = F.substring_index(F.substring_index(text, separator, 2), separator, -1)
-    return _iso_date(F.substring_index(text, separator, -1) if year is None else year, month, day)
+    One regex and one cast per row. Unlike a date pattern, neither raises an
+    internal exception for text that does not fit, which would cost more than
+    the parse. The mark in front keeps other text from being taken for a date.
+    """
+    return F.regexp_replace(F.concat(F.lit("~"), col), f"^~{shape}$", iso).try_cast("date")
 
 
 def parse_day_month_year(col: Column) -> Column:
     """Day-month-year text with any usual separator, two- or four-digit year,
     month number or English month name. NULL when it is not a date.
 
-    Separators are unified first, then the shape of the text decides.
+    Each further shape is only tried on rows that are not a date yet.
     """
-    text = F.translate(F.trim(col), "/. _", "----")
-    two_digits = F.substring_index(text, "-", -1)
-    century = F.when(two_digits > "68", F.concat(F.lit("19"), two_digits)).otherwise(
-        F.concat(F.lit("20"), two_digits)
-    )
-    return (
-        F.when(text.rlike("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"), _split_date(text, "-"))
-        .when(text.rlike("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}$"), _split_date(text, "-", century))
-        .when(
-            text.rlike("^[0-9]{8}$"),
-            _iso_date(F.substring(text, 5, 4), F.substring(text, 3, 2), F.substring(text, 1, 2)),
-        )
-        .when(text.rlike("^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$"), F.try_to_date(text, "d-MMM-yyyy"))
-        .when(text.rlike("^[0-9]{1,2}-[A-Za-z]{4,}-[0-9]{4}$"), F.try_to_date(text, "d-MMMM-yyyy"))
+    named = F.translate(F.trim(col), "/. _", "----")
+    return F.coalesce(
+        _rearranged(col, rf"\s*{_DAY_MONTH}([0-9]{{4}})\s*", "$3-$2-$1"),
+        # Two digits: up to 68 is this century.
+        _rearranged(col, rf"\s*{_DAY_MONTH}([0-5][0-9]|6[0-8])\s*", "20$3-$2-$1"),
+        _rearranged(col, rf"\s*{_DAY_MONTH}(69|[7-9][0-9])\s*", "19$3-$2-$1"),
+        _rearranged(col, r"\s*([0-9]{2})([0-9]{2})([0-9]{4})\s*", "$3-$2-$1"),
+        F.when(
+            named.rlike(_MONTH_NAME),
+            F.coalesce(F.try_to_date(named, "d-MMM-yyyy"), F.try_to_date(named, "d-MMMM-yyyy")),
+        ),
     )
 
 
 def parse_leading_date(col: Column) -> Column:
     """``dd/mm/yyyy`` at the start of the text; whatever follows is ignored."""
-    found = F.regexp_extract(col, r"^\s*([0-9]{1,2}/[0-9]{1,2}/[0-9]{1,4})", 1)
-    return F.when(found != "", _split_date(found, "/"))
+    # Padding makes a short year a valid one: 20 is the year 20.
+    return _rearranged(col, r"\s*([0-9]{1,2})/([0-9]{1,2})/([0-9]{1,4})[\s\S]*", "000$3-$2-$1")
 
 
 def month_start(date: Column) -> Column:
