@@ -62,9 +62,14 @@ def dense_template(counts: DataFrame, by: Sequence[str], categories: DataFrame |
     each of its rows unfolds the region and month lists in place, so nothing is
     cross joined. NULL is a value like any other here.
     """
-    categories = (counts if categories is None else categories).select(*by).distinct()
+    values = (counts if categories is None else categories).select(*by)
+    # A row turns into regions x months rows, so the rows are spread by number of
+    # tasks; left to itself, Spark would size the tasks by the rows before that.
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        categories.withColumn("_calendar", _calendar(counts))
+        values.repartition(tasks, *by)
+        .distinct()
+        .withColumn("_calendar", _calendar(counts))
         .select(*by, F.explode("_calendar.regions").alias("_region"), "_calendar")
         .select(F.col("_region.region").alias("region"), F.explode("_calendar.months").alias("month_start"), *by)
     )

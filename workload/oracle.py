@@ -354,6 +354,8 @@ merged AS (SELECT *, CASE category WHEN '5-LOW' THEN '3-MEDIUM' ELSE category EN
 SELECT category, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'works' WHEN status = 'P' THEN 'pending'
        WHEN merged IN ('1-URGENT', '2-HIGH') THEN 'fast' ELSE merged END AS classified, count(*) AS n
 FROM merged GROUP BY ALL""",
+    "spelling": """
+SELECT p_name, regexp_replace(p_name, 'widg.t', 'gadget', 'g') AS unified, count(*) AS n FROM part GROUP BY ALL""",
     "id_prefix_region": f"""WITH {_PLACES},
 prefixed AS (SELECT split_part(n_name || '/' || c_custkey, '/', 1) AS prefix FROM customer_regions)
 SELECT prefix, CASE prefix WHEN 'NATION_3' THEN 'N3' WHEN 'NATION_8' THEN 'N8' ELSE prefix END AS region_kept,

@@ -18,6 +18,7 @@ from epitally.functions import (
     parse_leading_date,
     recode,
     round_half_away,
+    unify_spelling,
     with_date_parts,
 )
 from epitally.operators.checks import coverage_flags, denominator_flags
@@ -113,6 +114,12 @@ def classify_rules(t: Tables) -> DataFrame:
     )
 
 
+@query
+def spelling(t: Tables) -> DataFrame:
+    parts = t.part.select("p_name", unify_spelling(F.col("p_name"), "widg.t", "gadget").alias("unified"))
+    return parts.groupBy("p_name", "unified").agg(F.count("*").alias("n"))
+
+
 @query
 def id_prefix_region(t: Tables) -> DataFrame:
     prefix = F.col("prefix")
