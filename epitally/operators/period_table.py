@@ -97,7 +97,7 @@ def period_table(
         in_period(date, previous_year, report) & (region == labels.all_regions), F.lit(_PREVIOUS)
     )
     cells = (
-        # Stated as date ranges as well, so that other months are dropped before they are made dense.
+        # Stated as date ranges as well: other months are dropped before the dense cells are shuffled.
         monthly.filter(in_period(date, year, report) | in_period(date, previous_year, report))
         .withColumn("_column", column)
         .filter(F.col("_column").isNotNull())

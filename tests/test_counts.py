@@ -9,7 +9,7 @@ from epitally.functions import is_in
 from epitally.operators.counts import dense_counts, dense_template, monthly_counts, with_all_regions, zero_filled
 from epitally.operators.filters import admitted, at_period, report_window, report_year, window_counts
 from epitally.operators.rates import drop_breakdown, to_period, with_incidence
-from tests.conftest import day, rows
+from helpers import day, rows
 
 EVENTS = [
     ("A", day("2020-11-05"), "x"),

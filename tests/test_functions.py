@@ -1,5 +1,3 @@
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,7 +25,7 @@ from epitally.functions import (
     window_cutoff,
     with_date_parts,
 )
-from tests.conftest import day
+from helpers import day
 
 
 def values(spark, kind, items, expr):
@@ -95,51 +93,51 @@ def test_decimal_comma(spark):
     assert values(spark, "string", ["1.234"], lambda x: decimal_comma(x, "bigint")) == [1234]
 
 
-@pytest.mark.parametrize(
-    ("text", "expected"),
-    [
-        ("01/02/2020", "2020-02-01"),
-        ("1-2-2020", "2020-02-01"),
-        ("01.02.2020", "2020-02-01"),
-        (" 1 2 2020 ", "2020-02-01"),
-        ("01022020", "2020-02-01"),
-        ("1-2-20", "2020-02-01"),
-        ("1-2-68", "2068-02-01"),
-        ("1-2-69", "1969-02-01"),
-        ("3 Jan 2020", "2020-01-03"),
-        ("3-JAN-2020", "2020-01-03"),
-        ("3 March 2020", "2020-03-03"),
-        ("29/02/2020", "2020-02-29"),
-        ("29/02/2021", None),
-        ("31/04/2020", None),
-        ("01/13/2020", None),
-        ("00/01/2020", None),
-        ("2020-02-01", None),
-        ("01/02/2020 13:45", None),
-        ("soon", None),
-        ("", None),
-        (None, None),
-    ],
-)
-def test_parse_day_month_year(spark, text, expected):
-    assert values(spark, "string", [text], parse_day_month_year) == [expected and day(expected)]
-
-
-@pytest.mark.parametrize(
-    ("text", "expected"),
-    [
-        ("01/02/2020", "2020-02-01"),
-        ("1/2/2020 13:45", "2020-02-01"),
-        ("01/02/2020, by phone", "2020-02-01"),
-        ("31/02/2020", None),
-        ("1-2-2020", None),
-        ("on 01/02/2020", None),
-        ("", None),
-        (None, None),
-    ],
-)
-def test_parse_leading_date(spark, text, expected):
-    assert values(spark, "string", [text], parse_leading_date) == [expected and day(expected)]
+DAY_MONTH_YEAR = {
+    "01/02/2020": "2020-02-01",
+    "1-2-2020": "2020-02-01",
+    "01.02.2020": "2020-02-01",
+    " 1 2 2020 ": "2020-02-01",
+    "01022020": "2020-02-01",
+    "1-2-20": "2020-02-01",
+    "1-2-68": "2068-02-01",
+    "1-2-69": "1969-02-01",
+    "3 Jan 2020": "2020-01-03",
+    "3-JAN-2020": "2020-01-03",
+    "3 March 2020": "2020-03-03",
+    "3 Jam 2020": None,
+    "29/02/2020": "2020-02-29",
+    "29/02/2021": None,
+    "31/04/2020": None,
+    "01/13/2020": None,
+    "00/01/2020": None,
+    "31022020": None,
+    "2020-02-01": None,
+    "01/02/2020 13:45": None,
+    "soon": None,
+    "": None,
+    None: None,
+}
+
+LEADING = {
+    "01/02/2020": "2020-02-01",
+    "1/2/2020 13:45": "2020-02-01",
+    "01/02/2020, by phone": "2020-02-01",
+    "01/02/2020\nby phone": "2020-02-01",
+    "01/02/20201": "2020-02-01",
+    "31/02/2020": None,
+    "1-2-2020": None,
+    "2020-02-01": None,
+    "on 01/02/2020": None,
+    "": None,
+    None: None,
+}
+
+
+@pytest.mark.parametrize(("parse", "cases"), [(parse_day_month_year, DAY_MONTH_YEAR), (parse_leading_date, LEADING)])
+def test_date_texts(spark, parse, cases):
+    found = dict(zip(cases, values(spark, "string", list(cases), parse), strict=True))
+    assert found == {text: expected and day(expected) for text, expected in cases.items()}
 
 
 def test_a_short_leading_year_is_taken_literally(spark):
@@ -209,7 +207,3 @@ def test_the_two_sums(spark):
         for r in df.groupBy("k").agg(sum_or_zero(F.col("x")), null_propagating_sum(F.col("x"))).collect()
     }
     assert found == {"a": (1, None), "b": (0, None), "c": (2, 2)}
-
-
-def test_dates_type(spark):
-    assert isinstance(values(spark, "string", ["01/02/2020"], parse_day_month_year)[0], dt.date)

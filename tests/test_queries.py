@@ -13,7 +13,7 @@ from epitally.plans.monthly import monthly_incidence, windowed_counts
 from epitally.config import Report
 from epitally.operators.period_table import SITUATION_STYLE, period_table
 from epitally.staging import stage, staging_dir
-from tests.conftest import day
+from helpers import day
 from workload.compare import connect, differences
 from workload.oracle import ORACLE
 from workload.queries import REGISTRY

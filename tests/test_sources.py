@@ -22,7 +22,7 @@ from epitally.sources import (
 from epitally.sources import schemas
 from epitally.sources.dimensions import RegionColumns
 from epitally.sources.schemas import InputColumn
-from tests.conftest import rows
+from helpers import rows
 
 
 def write(path, text):

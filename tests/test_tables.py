@@ -13,7 +13,7 @@ from epitally.operators.checks import (
     require_denominators,
 )
 from epitally.operators.topics import pivot_topics, top_topics
-from tests.conftest import day, rows, table
+from helpers import day, rows, table
 
 MILLION = 1000000
 
