@@ -3,37 +3,46 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _first_match(branches: Iterable[tuple[Column, object]], otherwise: Column) -> Column:
-    branches = list(branches)
-    if not branches:
-        return otherwise
-    (cond, value), *rest = branches
-    chain = reduce(lambda acc, b: acc.when(b[0], F.lit(b[1])), rest, F.when(cond, F.lit(value)))
-    return chain.otherwise(otherwise)
+def _lookup(col: Column, mapping: Mapping[str, str]) -> Column:
+    """Value for a key of a small fixed mapping, else NULL; evaluates ``col`` once."""
+    if not mapping:
+        return F.lit(None).cast("string")
+    pairs = F.create_map(*(F.lit(text) for pair in mapping.items() for text in pair))
+    return F.try_element_at(pairs, col)
 
 
 def recode(col: Column, mapping: Mapping[str, str]) -> Column:
     """Replace exact values; everything else, NULL included, stays."""
-    return _first_match(((col == old, new) for old, new in mapping.items()), col)
+    return F.coalesce(_lookup(col, mapping), col)
 
 
 def map_region(col: Column, mapping: Mapping[str, str], default: str | None = "keep") -> Column:
     """Region short name for a code or a full name; unknown ones kept or NULL."""
     if default not in ("keep", None):
         raise ValueError("default must be 'keep' or None")
-    otherwise = col if default == "keep" else F.lit(None).cast("string")
-    return _first_match(((col == old, new) for old, new in mapping.items()), otherwise)
+    return recode(col, mapping) if default == "keep" else _lookup(col, mapping)
 
 
 def classify(rules: Iterable[tuple[str, Iterable[str], str]], otherwise: Column) -> Column:
-    """Label of the first rule ``(column, values, label)`` that matches, else ``otherwise``."""
-    return _first_match(((F.col(column).isin(*values), label) for column, values, label in rules), otherwise)
+    """Label of the first rule ``(column, values, label)`` that matches, else ``otherwise``.
+
+    Successive rules on one column are one lookup, so that a column that is
+    costly to compute is computed once and not once per rule.
+    """
+    lookups = []
+    for column, group in groupby(rules, key=lambda rule: rule[0]):
+        labels: dict[str, str] = {}
+        for _, values, label in group:
+            for value in values:
+                labels.setdefault(value, label)
+        lookups.append(_lookup(F.col(column), labels))
+    return F.coalesce(*lookups, otherwise)
 
 
 def unify_spelling(col: Column, pattern: str, replacement: str) -> Column:

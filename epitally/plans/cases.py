@@ -44,7 +44,8 @@ def clean_cases(raw: DataFrame) -> DataFrame:
         exempt_categories=fixed.STATUS_EXEMPT_DISEASES,
         blocked_statuses=fixed.BLOCKED_STATUS,
     )
-    return classified.filter(F.col("category").isNotNull() & admission).select(
+    # Plain columns decide first, so that most rows to drop are dropped before they are classified.
+    return classified.filter(admission & F.col("category").isNotNull()).select(
         map_region(id_prefix(F.col("case_identifier")), fixed.REGION_BY_PREFIX).alias("region"),
         parse_day_month_year(F.col("time_entered")).alias("event_date"),
         "category",
