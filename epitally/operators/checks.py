@@ -6,8 +6,6 @@ monthly tables, not for events.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,19 +45,6 @@ def require_coverage(windowed: DataFrame, name: str, report: Report, year: int)
         raise CoverageError(f"{name}: starts in {flags['first_year']}, after the report year")
 
 
-def missing_values(df: DataFrame, col: str, values: Iterable[str]) -> list[str]:
-    """The given values that do not occur; at most that many rows come back."""
-    values = list(dict.fromkeys(values))
-    found = {row[0] for row in df.filter(F.col(col).isin(*values)).select(col).distinct().collect()}
-    return [value for value in values if value not in found]
-
-
-def require_values(df: DataFrame, col: str, values: Iterable[str]) -> None:
-    missing = missing_values(df, col, values)
-    if missing:
-        raise CoverageError(f"no such value in {col}: {', '.join(missing)}")
-
-
 def denominator_flags(population: DataFrame, year: int) -> DataFrame:
     """One row: latest population year, and whether it serves the report year (its own year plus one)."""
     latest = population.agg(F.max("pop_year").alias("latest_pop_year"))

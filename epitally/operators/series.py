@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from epitally.config import Labels
 from epitally.functions import axis_label, is_in, not_in
-from epitally.operators.checks import require_values
+from epitally.operators.checks import CoverageError
 from epitally.operators.rates import summed_incidence
 
 
@@ -26,39 +28,74 @@ class SeriesSpec:
     years: tuple[int, ...] | None = None
 
 
-def select_rows(monthly: DataFrame, by: str, spec: SeriesSpec, check: bool = True) -> DataFrame:
-    """Apply the filters of a series; with ``check``, unknown values raise first.
+def _requested_rows(monthly: DataFrame, by: str, specs: Sequence[SeriesSpec]) -> list[Row]:
+    """Which requested values occur together, per year; everything else is left out.
 
-    The year filter comes first, so that a value has to occur in those years;
-    likewise a breakdown value has to occur among the included rows.
+    At most as many rows as there are requested combinations and years come back.
     """
+    requested: dict[str, set[str]] = {by: set()}
+    for spec in specs:
+        requested[by] |= {*spec.exclude, *(spec.include or ())}
+        if spec.breakdown is not None:
+            requested.setdefault(spec.breakdown[0], set()).update(spec.breakdown[1])
+    hits = {col: F.col(col).isin(*sorted(values)) for col, values in requested.items() if values}
+    if not hits:
+        return []
+    picked = [F.when(hit, F.col(col)).alias(col) for col, hit in hits.items()]
+    return monthly.filter(reduce(or_, hits.values())).select("year", *picked).distinct().collect()
+
+
+def _missing(spec: SeriesSpec, by: str, found: Sequence[Row]) -> list[str]:
+    """Values the series asks for that do not occur where it looks for them."""
+
+    def absent(col: str, values: Sequence[str]) -> list[str]:
+        seen = {row[col] for row in found} if values else set()
+        return [value for value in values if value not in seen]
+
+    found = [row for row in found if spec.years is None or row["year"] in spec.years]
+    missing = absent(by, spec.exclude)
+    if spec.exclude:
+        found = [row for row in found if row[by] not in spec.exclude]
+    if spec.include is not None:
+        missing += absent(by, spec.include)
+        found = [row for row in found if row[by] in spec.include]
+    if spec.breakdown is not None:
+        missing += absent(*spec.breakdown)
+    return missing
+
+
+def require_values(monthly: DataFrame, by: str, specs: Sequence[SeriesSpec]) -> None:
+    """Raise when a series asks for a value that does not occur, with one job for all of them.
+
+    A value has to occur in the years of its series, and a breakdown value among
+    the included rows.
+    """
+    found = _requested_rows(monthly, by, specs)
+    for spec in specs:
+        missing = _missing(spec, by, found)
+        if missing:
+            raise CoverageError(f"series {spec.name}: no such value: {', '.join(missing)}")
 
-    def present(df: DataFrame, col: str, values: Iterable[str]) -> None:
-        if check and values:
-            require_values(df, col, values)
 
+def select_rows(monthly: DataFrame, by: str, spec: SeriesSpec) -> DataFrame:
+    """The rows of a series."""
     if spec.years is not None:
         monthly = monthly.filter(F.col("year").isin(*spec.years))
-    present(monthly, by, spec.exclude)
     if spec.exclude:
         monthly = monthly.filter(not_in(F.col(by), spec.exclude))
     if spec.include is not None:
-        present(monthly, by, spec.include)
         monthly = monthly.filter(is_in(F.col(by), spec.include))
     if spec.breakdown is not None:
         column, values = spec.breakdown
-        present(monthly, column, values)
         monthly = monthly.filter(is_in(F.col(column), values))
     return monthly
 
 
-def series(
-    monthly: DataFrame, by: str, spec: SeriesSpec, labels: Labels | None = None, check: bool = True
-) -> DataFrame:
+def series(monthly: DataFrame, by: str, spec: SeriesSpec, labels: Labels | None = None) -> DataFrame:
     """One point per region and month, with the supra-region's incidence of that month."""
     labels = labels or Labels()
     points = (
-        select_rows(monthly, by, spec, check)
+        select_rows(monthly, by, spec)
         .groupBy("region", "month_start")
         .agg(F.sum("n").alias("n"), summed_incidence().alias("incidence"))
     )

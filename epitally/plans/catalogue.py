@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 
 from epitally.config import Labels
-from epitally.operators.series import SeriesSpec, series
+from epitally.operators.series import SeriesSpec, require_values, series
 
 # Monthly tables that charts draw from, with the category column of each.
 SOURCES = {
@@ -60,4 +60,9 @@ def build_series(
     labels: Labels | None = None,
     check: bool = True,
 ) -> dict[str, DataFrame]:
-    return {spec.name: series(monthly[spec.source], SOURCES[spec.source], spec, labels, check) for spec in specs}
+    if check:
+        for source, by in SOURCES.items():
+            wanted = [spec for spec in specs if spec.source == source]
+            if wanted:
+                require_values(monthly[source], by, wanted)
+    return {spec.name: series(monthly[spec.source], SOURCES[spec.source], spec, labels) for spec in specs}

@@ -3,12 +3,11 @@ from pyspark.sql import functions as F
 
 from epitally.config import Report
 from epitally.operators.period_table import DISEASE_STYLE, SITUATION_STYLE, period_table, with_total
-from epitally.operators.series import SeriesSpec, rename_all_regions, select_rows, series
+from epitally.operators.series import SeriesSpec, rename_all_regions, require_values, select_rows, series
 from epitally.operators.checks import (
     CoverageError,
     coverage_flags,
     denominator_flags,
-    missing_values,
     require_coverage,
     require_denominators,
 )
@@ -243,6 +242,13 @@ def test_series_breakdown(spark):
     )
 
 
+def test_a_breakdown_alone_is_checked_too(spark):
+    frame = monthly(spark, SERIES).withColumn("agent", F.when(F.col("n") > 3, F.lit("p")))
+    require_values(frame, "category", [SeriesSpec("s", "s", breakdown=("agent", ("p",)))])
+    with pytest.raises(CoverageError):
+        require_values(frame, "category", [SeriesSpec("s", "s", breakdown=("agent", ("nope",)))])
+
+
 @pytest.mark.parametrize(
     "spec",
     [
@@ -251,12 +257,16 @@ def test_series_breakdown(spark):
         SeriesSpec("s", "s", include=("y",), years=(2021,)),
         SeriesSpec("s", "s", include=("x",), breakdown=("agent", ("nope",))),
         SeriesSpec("s", "s", include=("y",), breakdown=("agent", ("p",))),
+        SeriesSpec("s", "s", exclude=("x",), include=("x",)),
+        SeriesSpec("s", "s", breakdown=("agent", ("nope",))),
     ],
 )
 def test_series_values_must_occur(spark, spec):
     frame = monthly(spark, SERIES).withColumn("agent", F.when(F.col("n") > 3, F.lit("p")))
-    with pytest.raises(CoverageError):
-        series(frame, "category", spec)
+    fine = SeriesSpec("fine", "s", exclude=("y",), include=("x",), breakdown=("agent", ("p",)), years=(2020, 2021))
+    require_values(frame, "category", [fine, SeriesSpec("all", "s")])
+    with pytest.raises(CoverageError, match="series s: no such value"):
+        require_values(frame, "category", [fine, spec])
 
 
 def test_rename_all_regions(spark):
@@ -299,8 +309,3 @@ def test_denominators_must_reach_the_report_year(spark):
     for frame, year in ((people, 2022), (people.limit(0), 2021)):
         with pytest.raises(CoverageError):
             require_denominators(frame, year)
-
-
-def test_missing_values(spark):
-    frame = monthly(spark, SERIES)
-    assert missing_values(frame, "category", ["x", "nope", "y", "nope"]) == ["nope"]

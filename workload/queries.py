@@ -405,25 +405,25 @@ def series_total(t: Tables) -> DataFrame:
 
 @query
 def series_excluding(t: Tables) -> DataFrame:
-    return series(_case_monthly(t), "category", SeriesSpec("excluding", "cases", exclude=("5-LOW",)), check=False)
+    return series(_case_monthly(t), "category", SeriesSpec("excluding", "cases", exclude=("5-LOW",)))
 
 
 @query
 def series_multi(t: Tables) -> DataFrame:
     spec = SeriesSpec("multi", "topics", include=("Brand#3", "Brand#7"))
-    return series(_topic_monthly(t), "topic", spec, check=False)
+    return series(_topic_monthly(t), "topic", spec)
 
 
 @query
 def series_breakdown(t: Tables) -> DataFrame:
     spec = SeriesSpec("breakdown", "pairs", include=("R",), breakdown=("agent", ("O",)))
-    return series(_pair_monthly(t), "scenario", spec, check=False)
+    return series(_pair_monthly(t), "scenario", spec)
 
 
 @query
 def series_years(t: Tables) -> DataFrame:
     spec = SeriesSpec("years", "cases", include=("1-URGENT",), years=(2000, 2001))
-    return series(_case_monthly(t), "category", spec, check=False)
+    return series(_case_monthly(t), "category", spec)
 
 
 @query
