@@ -11,7 +11,7 @@ from epitally.config import Report
 
 
 _DAY_MONTH = "([0-9]{1,2})[-/. _]([0-9]{1,2})[-/. _]"
-_MONTH_NAME = "^[0-9]{1,2}-[A-Za-z]+-[0-9]{4}$"
+_MONTH_NAME = r"^\s*[0-9]{1,2}[-/. _][A-Za-z]+[-/. _][0-9]{4}\s*$"
 
 
 def _rearranged(col: Column, shape: str, iso: str) -> Column:
@@ -28,17 +28,19 @@ def parse_day_month_year(col: Column) -> Column:
     """Day-month-year text with any usual separator, two- or four-digit year,
     month number or English month name. NULL when it is not a date.
 
-    Each further shape is only tried on rows that are not a date yet.
+    Each further shape is only tried on rows that are not a date yet and could have it.
     """
-    named = F.translate(F.trim(col), "/. _", "----")
-    return F.coalesce(
-        _rearranged(col, rf"\s*{_DAY_MONTH}([0-9]{{4}})\s*", "$3-$2-$1"),
+    short_forms = F.coalesce(
         # Two digits: up to 68 is this century.
         _rearranged(col, rf"\s*{_DAY_MONTH}([0-5][0-9]|6[0-8])\s*", "20$3-$2-$1"),
         _rearranged(col, rf"\s*{_DAY_MONTH}(69|[7-9][0-9])\s*", "19$3-$2-$1"),
         _rearranged(col, r"\s*([0-9]{2})([0-9]{2})([0-9]{4})\s*", "$3-$2-$1"),
-        F.when(
-            named.rlike(_MONTH_NAME),
+    )
+    named = F.translate(F.trim(col), "/. _", "----")
+    return F.coalesce(
+        _rearranged(col, rf"\s*{_DAY_MONTH}([0-9]{{4}})\s*", "$3-$2-$1"),
+        F.when(F.length(F.trim(col)) <= len("ddmmyyyy"), short_forms).when(
+            col.rlike(_MONTH_NAME),
             F.coalesce(F.try_to_date(named, "d-MMM-yyyy"), F.try_to_date(named, "d-MMMM-yyyy")),
         ),
     )
