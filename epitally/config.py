@@ -58,5 +58,5 @@ class SurveillanceConfig:
 
     report: Report
     regions: tuple[str, ...]
-    display_name: str = "ZeeBraLim"
+    display_name: str = "All regions"
     labels: Labels = field(default_factory=Labels)

@@ -220,12 +220,12 @@ SPECS = (
 
 @pytest.fixture(scope="module")
 def report(inputs):
-    return build_report(inputs, SurveillanceConfig(Report(1), ("BZO", "Zee")), SPECS)
+    return build_report(inputs, SurveillanceConfig(Report(1), ("BZO", "Zee"), "South"), SPECS)
 
 
 def test_report_frame(report):
     assert report.year == 2024
-    assert report.comparison_label == "ZeeBraLim 2023 Q1"
+    assert report.comparison_label == "South 2023 Q1"
     assert set(report.tables) == {"diseases", "scenarios", "settings", "top_topics"}
 
 
@@ -293,10 +293,10 @@ def test_report_stops_on_unknown_series_values(inputs):
 
 
 def test_yearly_report(inputs):
-    found = build_report(inputs, SurveillanceConfig(Report(5), ("BZO", "Zee")), SPECS)
+    found = build_report(inputs, SurveillanceConfig(Report(5), ("BZO", "Zee"), "South"), SPECS)
     diseases = table(found.tables["diseases"], "category")
     assert diseases["Mazelen"]["BZO_n"] == 3
-    assert found.comparison_label == "ZeeBraLim 2023"
+    assert found.comparison_label == "South 2023"
 
 
 def test_cases_from_an_export(spark, tmp_path):
