@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from epitally.functions import id_prefix, is_in
 from epitally.staging import stage
@@ -21,23 +22,10 @@ UNKNOWN_REGION = "NATION_23"
 POPULATION_YEARS = tuple(range(1994, 2002))
 
 
-# Declared, so that opening a table reads no file.
-SCHEMAS = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
-    "orders": (
-        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-        "o_orderdate timestamp_ntz, o_orderpriority string"
-    ),
-    "lineitem": (
-        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
-        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
-        "l_shipdate timestamp_ntz"
-    ),
-}
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+# Schema by folder and table, so that a session looks into each table's footer once.
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
 class Tables:
@@ -48,9 +36,13 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name not in SCHEMAS:
+        if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        schema = _SCHEMAS.get((self.folder, name))
+        if schema is None:
+            schema = _SCHEMAS[(self.folder, name)] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(schema).parquet(path)
 
 
 def nullif(col: str, value: str) -> Column:
