@@ -11,13 +11,12 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import DataFrame
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for table in TABLES:
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    for path in sorted(Path(folder).glob("*.parquet")):
+        files = f"{path}/*.parquet" if path.is_dir() else str(path)
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{files}'")
     return con
 
 
