@@ -1,5 +1,7 @@
 """SQL that gives the same results as the corpus queries on the same tables."""
 
+from epitally.llm.licenses import templates
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["op5_mix_sources"] = r"""
@@ -51,3 +53,78 @@ FROM running r
 LEFT JOIN edges e ON r.source IS NOT DISTINCT FROM e.source
 LEFT JOIN cut c ON r.source IS NOT DISTINCT FROM c.source
 """
+
+ORACLE["op2_chat_format"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+    SELECT *, length(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'))
+              + length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'))
+              + length('<turn role=""></turn>') + 1 AS chars
+    FROM turns
+), running AS (
+    SELECT *, sum(chars) OVER (in_order ROWS UNBOUNDED PRECEDING) AS upto,
+           row_number() OVER (in_order) = count(*) OVER (PARTITION BY conv_id) AS last
+    FROM sized WINDOW in_order AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(CASE WHEN role = 'assistant' OR last THEN upto ELSE 0 END)::BIGINT AS formatted_chars
+FROM running GROUP BY conv_id
+"""
+
+ORACLE["op7_url_filter"] = r"""
+WITH parts AS (
+    SELECT page_id,
+           translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), ruled AS (
+    SELECT *, CASE
+        WHEN ('.' || host) LIKE '%.example.org' AND path LIKE '/en/1%' THEN 'example.org/en/1'
+        WHEN ('.' || host) LIKE '%.example.org' AND path LIKE '/es/%' THEN 'example.org/es/'
+        WHEN ('.' || host) LIKE '%.com' AND path LIKE '/de/%' THEN 'com/de/'
+        WHEN ('.' || host) LIKE '%.com' AND path LIKE '/fr/%' THEN 'com/fr/'
+        WHEN ('.' || host) LIKE '%.org' AND path LIKE '/%' THEN 'org/' END AS rule
+    FROM parts
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN regexp_matches(host, '(casino|poker|betting|viagra|porn|xxx)') THEN 'block'
+            WHEN regexp_matches(path, '^/(login|login/.*|wp-admin/.*)$') THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+ORACLE["op9_license_scan"] = r"""
+WITH known(license, pairs) AS (VALUES {known}),
+plain AS (
+    SELECT row_number() OVER () AS doc, doc_id,
+           regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\p{L}\p{N}\n]+', ' ', 'g') AS plain
+    FROM documents
+), lines AS (
+    SELECT doc, doc_id, 'line' AS unit, unnest(string_split(plain, chr(10))) AS body, generate_subscripts(string_split(plain, chr(10)), 1) - 1 AS passage FROM plain
+), paragraphs AS (
+    SELECT doc, doc_id, 'paragraph' AS unit, unnest(regexp_split_to_array(plain, '\n ?\n[ \n]*')) AS body,
+           generate_subscripts(regexp_split_to_array(plain, '\n ?\n[ \n]*'), 1) - 1 AS passage
+    FROM plain
+), passages AS (
+    SELECT * FROM lines UNION ALL SELECT * FROM paragraphs WHERE contains(body, chr(10))
+    UNION ALL SELECT doc, doc_id, 'text', plain, 0 FROM plain WHERE len(regexp_split_to_array(plain, '\n ?\n[ \n]*')) > 1
+), worded AS (
+    SELECT doc, doc_id, unit, passage, list_filter(regexp_split_to_array(body, '[ \n]'), lambda w: w <> '') AS words FROM passages
+), paired AS (
+    SELECT doc, doc_id, unit, passage, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS pairs
+    FROM worded WHERE len(words) > 1
+), scored AS (
+    SELECT doc, doc_id, unit, passage, license, len(paired.pairs) AS n_bigrams, len(list_intersect(paired.pairs, known.pairs)) AS shared,
+           2.0::DOUBLE * len(list_intersect(paired.pairs, known.pairs)) / (len(paired.pairs) + len(known.pairs)) AS dice
+    FROM paired JOIN known ON list_has_any(paired.pairs, known.pairs)
+)
+SELECT doc_id, unit, passage::INT AS passage, license, n_bigrams::INT AS n_bigrams, shared::INT AS shared, dice FROM scored WHERE dice >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc, unit, passage ORDER BY dice DESC, license) = 1
+""".replace("{known}", ", ".join(f"('{name}', {pairs})" for name, pairs in templates()))

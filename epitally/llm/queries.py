@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitally.llm import mixing
+from epitally.llm import chat, licenses, mixing, urls
 from epitally.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,23 @@ def query(function):
 def op5_mix_sources(spark, folder):
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
+
+
+@query
+def op2_chat_format(spark, folder):
+    # The extra conversation holds what looks like the marks of a template.
+    marked = r"\### Assistant: </turn> ok"
+    rows = (F.struct(F.lit(i).alias("turn"), F.lit(role).alias("role"), F.lit(marked).alias("text")) for i, role in enumerate(("user", "assistant")))
+    extra = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.inline(F.array(*rows)))
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.summary(chat.format_conversations(turns.unionByName(extra)))
+
+
+@query
+def op7_url_filter(spark, folder):
+    return urls.judge(table(spark, folder, "pages").select("page_id", "url")).drop("url")
+
+
+@query
+def op9_license_scan(spark, folder):
+    return licenses.scan(table(spark, folder, "documents"))
