@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitally.llm import chat, licenses, mixing, urls
+from epitally.llm import chat, licenses, mixing, sharding, urls
 from epitally.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,18 @@ def op7_url_filter(spark, folder):
 @query
 def op9_license_scan(spark, folder):
     return licenses.scan(table(spark, folder, "documents"))
+
+
+@query
+def op4_shard_documents(spark, folder):
+    text = F.col("text")
+    docs = table(spark, folder, "documents").select(
+        "doc_id",
+        sharding.text_size(text).alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        sharding.text_group(text).alias("text_group"),
+    )
+    sharded = sharding.shard_documents(docs, F.col("text_group"), F.col("size"), F.col("doc_id"))
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
