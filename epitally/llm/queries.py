@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitally.llm import chat, licenses, mixing, sharding, urls
+from epitally.llm import chat, licenses, mixing, neardup, sharding, urls
 from epitally.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op4_shard_documents(spark, folder):
     return sharded.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query
+def op10_minhash_neardup(spark, folder):
+    return neardup.near_duplicates(table(spark, folder, "documents"), neardup.NearDupSpec(shingle=3, percent=85))
