@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitally.llm import chat, licenses, mixing, neardup, sharding, urls
+from epitally.llm import chat, language, licenses, mixing, neardup, sharding, urls
 from epitally.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,11 @@ def op4_shard_documents(spark, folder):
 @query
 def op10_minhash_neardup(spark, folder):
     return neardup.near_duplicates(table(spark, folder, "documents"), neardup.NearDupSpec(shingle=3, percent=85))
+
+
+@query
+def op6_language_id(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", language.held_out(F.col("doc_id"), 3, 1))
+    model = language.fit(docs.filter("NOT held_out"))
+    return language.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
