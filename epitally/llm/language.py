@@ -173,7 +173,6 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ("lang_pred", "score")])
     if model is None:
         return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.batched(batches, "text"):
@@ -182,7 +181,7 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
             data, at = W.buffer(batch.column("text"))
             for low in range(0, batch.num_rows, 256):
                 part = at[low : low + 257]
-                name, score = shared.value.predict(features(data[part[0] : part[-1]], part - part[0]))
+                name, score = model.predict(features(data[part[0] : part[-1]], part - part[0]))
                 names += name
                 scores.append(score)
             letters = batch.column("_letters").to_numpy(zero_copy_only=False)

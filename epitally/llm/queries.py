@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitally.llm import chat, language, licenses, mixing, neardup, sharding, urls
+from epitally.llm import chat, language, licenses, mixing, neardup, sharding, toxicity, urls
 from epitally.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,11 @@ def op6_language_id(spark, folder):
     docs = docs.withColumn("held_out", language.held_out(F.col("doc_id"), 3, 1))
     model = language.fit(docs.filter("NOT held_out"))
     return language.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+@query
+def op8_toxicity(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").filter(F.col("doc_id").isNotNull() & ~language.held_out(F.col("doc_id"), 4, 2))
+    model = toxicity.fit(docs, labels.select("doc_id", "toxic"))
+    return toxicity.score(docs.withColumn("held_out", language.held_out(F.col("doc_id"), 4, 2)), model).drop("text")
