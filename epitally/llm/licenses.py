@@ -2,7 +2,7 @@
 
 Three kinds of passages are compared: every line, every paragraph of more than
 one line (blank lines part them), and the whole text if it has more than one
-paragraph. A passage and a wording are normalised alike: A-Z in lower case, and
+paragraph. A passage and a wording are normalised alike: lower case, and
 one blank for each run of anything but letters and digits. With a and b distinct
 bigrams, s of them shared, the coefficient is 2s / (a + b).
 
@@ -23,15 +23,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epitally.llm.common import lower_ascii
 from epitally.llm.license_texts import NOTICES, TEXTS
 
 THRESHOLD = 0.8
 _GAPS = r"[^\p{L}\p{N}\n]+"
+_BLANK_LINES = r"\n ?\n[ \n]*"
 
 
 def bigrams(text: str) -> list[str]:
@@ -47,45 +48,68 @@ def templates(wordings: Sequence[tuple[str, str]] = NOTICES + TEXTS) -> list[tup
 def _passages() -> Column:
     """Kind, number and words of each passage of the normalised text."""
 
-    def words(passage: Column) -> Column:
-        return F.filter(F.split(passage, r"[ \n]"), lambda w: w != "")
-
-    def listed(parts: Column, kind: str) -> Column:
-        return F.transform(parts, lambda p, i: F.struct(F.lit(kind).alias("unit"), i.alias("passage"), p.alias("body")))
+    def listed(parts: Column, kind: str, split: str) -> Column:
+        return F.transform(
+            parts, lambda p, i: F.struct(F.lit(kind).alias("unit"), i.alias("passage"), F.split(F.trim(p), split).alias("words"))
+        )
 
-    lines = F.split("_plain", "\n")
-    paragraphs = F.split("_plain", r"\n ?\n[ \n]*")
-    longer = F.filter(listed(paragraphs, "paragraph"), lambda p: p.body.contains("\n"))
-    whole = F.when(F.size(paragraphs) > 1, listed(F.array("_plain"), "text")).otherwise(listed(F.array().cast("array<string>"), "text"))
-    return F.transform(
-        F.concat(listed(lines, "line"), longer, whole), lambda p: F.struct(p.unit.alias("unit"), p.passage.alias("passage"), words(p.body).alias("words"))
-    )
+    several = F.col("_plain").contains("\n\n") | F.col("_plain").contains("\n \n")
+    paragraphs = F.when(several, F.split("_plain", _BLANK_LINES)).otherwise(F.array("_plain"))
+    # A paragraph of one line is a line already; it keeps its number and loses its words.
+    longer = listed(F.transform(paragraphs, lambda p: F.when(p.contains("\n"), p).otherwise("")), "paragraph", r"[ \n]+")
+    none = F.array().cast("array<string>")
+    whole = listed(F.when(several, F.array("_plain")).otherwise(none), "text", r"[ \n]+")
+    return F.concat(listed(F.split("_plain", "\n"), "line", " "), longer, whole)
 
 
 def scan(docs: DataFrame, wordings: Sequence[tuple[str, str]] = NOTICES + TEXTS, threshold: float = THRESHOLD) -> DataFrame:
     """Matches: doc_id, unit, passage (its number from 0), license, n_bigrams, shared, dice."""
     known = templates(wordings)
     ratio = threshold / (2 - threshold)
-    fewest = min(len(b) for _, b in known) * ratio
-    most = max(len(b) for _, b in known) / ratio
-    plain = docs.select("doc_id", F.regexp_replace(lower_ascii(F.col("text")), _GAPS, " ").alias("_plain"))
-    found = plain.select("doc_id", F.explode(_passages()).alias("p")).select("doc_id", "p.*")
-    found = found.filter((F.size("words") - 1 >= fewest) & (F.size(F.array_distinct("words")) - 1 <= most))
-    pairs = F.array_distinct(F.transform(F.slice("words", 1, F.size("words") - 1), lambda w, i: F.concat(w, F.lit(" "), F.element_at("words", i + 2))))
-    found = found.select("doc_id", "unit", "passage", pairs.alias("pairs")).withColumn("n", F.size("pairs"))
-    found = found.filter(F.col("n").between(fewest, most))
-    scored = [
-        F.when(
-            F.col("n").between(len(own) * ratio, len(own) / ratio),
-            F.struct(F.lit(name).alias("license"), F.lit(len(own)).alias("size"), F.size(F.array_intersect("pairs", F.array(*map(F.lit, own)))).alias("shared")),
+    spans: list[list[float]] = []  # sizes that some wording allows, as disjoint intervals
+    for size in sorted({len(b) for _, b in known}):
+        if spans and size * ratio <= spans[-1][1]:
+            spans[-1][1] = size / ratio
+        else:
+            spans.append([size * ratio, size / ratio])
+
+    most = spans[-1][1]
+
+    def allowed(least: Column, most: Column) -> Column:
+        return reduce(Column.__or__, ((most >= low) & (least <= high) for low, high in spans))
+
+    def pairs(words: Column) -> Column:
+        return F.array_distinct(F.transform(F.slice(words, 1, F.size(words) - 1), lambda w, i: F.concat(w, F.lit(" "), F.element_at(words, i + 2))))
+
+    def scores(found: Column, n: Column) -> Column:
+        near = F.array(
+            *(
+                F.when(
+                    n.between(len(own) * ratio, len(own) / ratio),
+                    F.struct(F.lit(name).alias("license"), F.lit(len(own)).alias("size"), F.size(F.array_intersect(found, F.array(*map(F.lit, own)))).alias("shared")),
+                )
+                for name, own in known
+            )
         )
-        for name, own in known
-    ]
-    dice = lambda c: 2.0 * c.shared / (F.col("n") + c.size)
-    near = F.filter(F.array(*scored), lambda c: dice(c) >= threshold)
-    best = F.array_sort(F.transform(near, lambda c: F.struct((-dice(c)).alias("d"), c.license.alias("license"), c.shared.alias("shared"))))
-    found = found.select("doc_id", "unit", "passage", "n", best.alias("best")).filter(F.size("best") > 0)
+        with_dice = F.transform(near, lambda c: F.struct((-2.0 * c.shared / (n + c.size)).alias("less"), c.license.alias("license"), c.shared.alias("shared")))
+        return F.array_sort(F.filter(with_dice, lambda c: c.less <= -threshold))
+
+    # One chain of array functions, so that no step is computed again for a filter that follows it.
+    steps = F.filter(_passages(), lambda p: (F.size(p.words) > 1) & allowed(F.lit(1), F.size(p.words) - 1))
+    # Distinct words among the first ones bound the number of bigrams from below as well, and settle long texts.
+    some = lambda words: F.slice(words, 1, int(2 * most) + 2)
+    steps = F.transform(steps, lambda p: F.struct(p.unit.alias("unit"), p.passage.alias("passage"), p.words.alias("words"), F.size(F.array_distinct(some(p.words))).alias("different")))
+    steps = F.filter(steps, lambda p: allowed(p.different - 1, F.size(p.words) - 1))
+    steps = F.transform(steps, lambda p: F.struct(p.unit.alias("unit"), p.passage.alias("passage"), pairs(p.words).alias("pairs")))
+    steps = F.filter(steps, lambda p: allowed(F.size(p.pairs), F.size(p.pairs)))
+    steps = F.transform(
+        steps, lambda p: F.struct(p.unit.alias("unit"), p.passage.alias("passage"), F.size(p.pairs).alias("n_bigrams"), scores(p.pairs, F.size(p.pairs)).alias("best"))
+    )
+    steps = F.filter(steps, lambda p: F.size(p.best) > 0)
+    plain = docs.select("doc_id", F.regexp_replace(F.lower("text"), _GAPS, " ").alias("_plain"))
+    # Outer, because the plan would evaluate the whole chain again to skip empty arrays ahead of a plain explode.
+    found = plain.select("doc_id", F.explode_outer(steps).alias("p")).filter("p IS NOT NULL")
     return found.select(
-        "doc_id", "unit", "passage", F.col("best")[0].license.alias("license"), F.col("n").alias("n_bigrams"),
-        F.col("best")[0].shared.alias("shared"), (-F.col("best")[0].d).alias("dice"),
+        "doc_id", "p.unit", "p.passage", F.col("p.best")[0].license.alias("license"), "p.n_bigrams",
+        F.col("p.best")[0].shared.alias("shared"), (-F.col("p.best")[0].less).alias("dice"),
     )

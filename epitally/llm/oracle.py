@@ -104,7 +104,7 @@ ORACLE["op9_license_scan"] = r"""
 WITH known(license, pairs) AS (VALUES {known}),
 plain AS (
     SELECT row_number() OVER () AS doc, doc_id,
-           regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\p{L}\p{N}\n]+', ' ', 'g') AS plain
+           regexp_replace(lower(text), '[^\p{L}\p{N}\n]+', ' ', 'g') AS plain
     FROM documents
 ), lines AS (
     SELECT doc, doc_id, 'line' AS unit, unnest(string_split(plain, chr(10))) AS body, generate_subscripts(string_split(plain, chr(10)), 1) - 1 AS passage FROM plain
@@ -128,3 +128,15 @@ plain AS (
 SELECT doc_id, unit, passage::INT AS passage, license, n_bigrams::INT AS n_bigrams, shared::INT AS shared, dice FROM scored WHERE dice >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc, unit, passage ORDER BY dice DESC, license) = 1
 """.replace("{known}", ", ".join(f"('{name}', {pairs})" for name, pairs in templates()))
+
+ORACLE["op3_topk_search"] = r"""
+WITH vectors AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS vector FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, q.vector, c.vec_id, list_inner_product(q.vector::DOUBLE[], c.vector::DOUBLE[])::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id, vector ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitally.llm import chat, language, licenses, mixing, neardup, sharding, toxicity, urls
+from epitally.llm import chat, language, licenses, mixing, neardup, sharding, topk, toxicity, urls
 from epitally.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op8_toxicity(spark, folder):
     labels = table(spark, folder, "labels").filter(F.col("doc_id").isNotNull() & ~language.held_out(F.col("doc_id"), 4, 2))
     model = toxicity.fit(docs, labels.select("doc_id", "toxic"))
     return toxicity.score(docs.withColumn("held_out", language.held_out(F.col("doc_id"), 4, 2)), model).drop("text")
+
+
+@query
+def op3_topk_search(spark, folder):
+    return topk.top_k(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
