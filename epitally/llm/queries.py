@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitally.llm import chat, language, licenses, mixing, neardup, sharding, topk, toxicity, urls
+from epitally.llm import chat, decontaminate, language, licenses, mixing, neardup, sharding, topk, toxicity, urls
 from epitally.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def query(function):
     return function
 
 
+@query
+def op1_decontaminate(spark, folder):
+    return decontaminate.find_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op5_mix_sources(spark, folder):
     mixed = mixing.mix(table(spark, folder, "documents"))
