@@ -53,8 +53,8 @@ class DecontaminateSpec:
     tolerance: float = 0.15
     least_words: int = 5
     widest: int = 8
-    #: Places of the embedding that a repetition compares.
-    samples: int = 7
+    #: Share of the places of the embedding that a repetition compares.
+    sampled: float = 0.44
     #: Share of occurrences at the full tolerance that the repetitions have to find.
     recall: float = 0.99
     most_repetitions: int = 64
@@ -74,7 +74,7 @@ class Embedding:
         rng = np.random.default_rng([spec.seed, width, repetition])
         steps = 2 * width
         self.width, self.factor = width, np.uint64(rng.integers(1, 1 << 62) * 2 + 1)
-        self.places = set(np.sort(rng.choice(steps, min(spec.samples, steps), replace=False)).tolist())
+        self.places = set(np.sort(rng.choice(steps, max(1, round(spec.sampled * steps)), replace=False)).tolist())
         self.last = max(self.places)
         self.salt = np.uint64(rng.integers(1 << 62))
 
@@ -187,14 +187,14 @@ class BenchmarkIndex:
         if not pairs:
             return []
         found: dict[tuple[int, int], tuple[int, int, int]] = {}
-        done: set[tuple[int, int, int]] = set()
+        done: dict[tuple[int, int], set[tuple[int, int]]] = {}
         for t, i, p in np.unique(np.concatenate(pairs, axis=1), axis=1).T.tolist():
             own = self.items[i]
             slack = int(self.spec.tolerance * len(own))
             low, high = max(int(begin[t]), p - slack), min(int(end[t]), p + len(own) + slack)
-            if (t, i, low) in done:
+            if (low, high) in done.setdefault((t, i), set()):
                 continue
-            done.add((t, i, low))
+            done[t, i].add((low, high))
             near = words[low:high]
             if np.isin(own, near).sum() < len(own) - slack:  # every word that is not there costs an edit
                 continue
@@ -214,7 +214,7 @@ class _Trials:
         picked = rng.choice(len(items), min(len(items), 256), replace=False)
         texts, self.of = [], []
         for i in picked.tolist():
-            for _ in range(4):
+            for _ in range(-(-1024 // len(picked))):
                 text = items[i].tolist()
                 for _ in range(int(spec.tolerance * len(text))):
                     at, kind = int(rng.integers(len(text))), int(rng.integers(3))

@@ -1,0 +1,88 @@
+"""Plain versions of the corpus operators, for small inputs."""
+
+import re
+import string
+
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(_LOWER))
+
+
+def shingle_set(text, length):
+    found = words(text)
+    run = min(length, len(found))
+    return frozenset(tuple(found[i : i + run]) for i in range(len(found) - run + 1)) if run else frozenset()
+
+
+def components(n, linked):
+    """The smallest index that each of n can reach."""
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(n):
+        for j in range(i):
+            if linked(i, j):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]
+
+
+def near_duplicate_components(texts, length, percent):
+    sets = [shingle_set(t, length) for t in texts]
+
+    def linked(i, j):
+        a, b = sets[i], sets[j]
+        if not a or not b:
+            return False
+        both = len(a & b)
+        return 100 * both >= percent * (len(a) + len(b) - both)
+
+    return components(len(texts), linked), [len(s) for s in sets]
+
+
+def edit_distance_to_stretch(item, text):
+    """The smallest distance of the item to any stretch of the text."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        above, row = row, [i]
+        for j, b in enumerate(text, 1):
+            row.append(min(above[j] + 1, row[j - 1] + 1, above[j - 1] + (a != b)))
+    return min(row)
+
+
+def plain_words(text):
+    """Words without case and punctuation: ASCII letters and digits, and all beyond ASCII."""
+    return re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").translate(_LOWER))
+
+
+def smallest_capacity(sizes, shards):
+    """By dynamic programming over all contiguous partitions."""
+    best = [0] + [float("inf")] * len(sizes)
+    for _ in range(shards):
+        now = list(best)
+        for end in range(1, len(sizes) + 1):
+            total = 0
+            for start in range(end - 1, -1, -1):
+                total += sizes[start]
+                now[end] = min(now[end], max(best[start], total))
+        best = now
+    return best[-1]
+
+
+def water_filling(sizes, weights, epochs):
+    """Targets by clamping and resharing, round after round."""
+    total, clamped = sum(sizes), set()
+    while True:
+        rest = total - sum(epochs * sizes[i] for i in clamped)
+        weight = sum(w for i, w in enumerate(weights) if i not in clamped)
+        level = rest / weight if weight else 0
+        above = {i for i, w in enumerate(weights) if i not in clamped and w * level > epochs * sizes[i]}
+        if not above:
+            return [epochs * s if i in clamped else weights[i] * level for i, s in enumerate(sizes)]
+        clamped |= above

@@ -1,0 +1,99 @@
+import random
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from brute import components as plain_components
+from brute import near_duplicate_components
+from epitally.llm import words as W
+from epitally.llm.components import connected_components
+from epitally.llm.neardup import NearDupSpec, drop_near_duplicates, near_duplicates
+
+SCHEMA = "doc_id long, text string, PRINT string"
+
+
+def texts(seed=5):
+    """Copies with few and many edits of some texts, short, empty and missing ones."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("aeiouklmnst") for _ in range(rng.randrange(2, 7)))
+    out = ["", None, "one", "One two", "one  TWO\n", "ÉTÉ été", " \t\n"]
+    for _ in range(6):
+        base = [word() for _ in range(rng.choice([20, 80, 300]))]
+        for _ in range(25):
+            own = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 4, 9])):
+                own[rng.randrange(len(own))] = word()
+            out.append(" ".join(own))
+    shared = [word() for _ in range(60)]  # a long passage that does not make its documents alike
+    out += [" ".join(shared + [word() for _ in range(60)]) for _ in range(30)]
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("spec", [NearDupSpec(3, 85, block=16), NearDupSpec(5, 80)], ids=["3 words", "5 words"])
+def test_components_equal_brute_force(spark, spec):
+    found_texts = texts()
+    docs = spark.createDataFrame([(10 + i, t, None) for i, t in enumerate(found_texts)], SCHEMA)
+    roots, sizes = near_duplicate_components(found_texts, spec.shingle, spec.percent)
+    expected = {10 + i: (n, 10 + r, i == r) for i, (n, r) in enumerate(zip(sizes, roots, strict=True))}
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs, spec).collect()}
+    assert found == expected
+    kept = drop_near_duplicates(docs, spec)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, (_, _, k) in expected.items() if k)
+
+
+def test_missing_and_repeated_ids(spark):
+    long = " ".join(f"w{i}" for i in range(50))
+    data = [(None, long, None), (None, long, None), (None, "quite another text", None), (4, long + " w", None), (4, long + " w", None)]
+    data += [(4, "something else altogether here", None), (None, None, None), (5, "", None), (5, "", None)]
+    docs = spark.createDataFrame(data, SCHEMA)
+    found = near_duplicates(docs, NearDupSpec(3, 85)).collect()
+    assert sorted((r.n_shingles, repr(r.component_id)) for r in found) == sorted(
+        [(48, "4")] * 2 + [(49, "4")] * 2 + [(1, "None"), (2, "4"), (0, "None"), (0, "5"), (0, "5")]
+    )
+    kept = sorted(map(repr, ((r.doc_id, r.text) for r in drop_near_duplicates(docs, NearDupSpec(3, 85)).collect())))
+    expected = [(None, "quite another text"), (4, long + " w"), (4, "something else altogether here"), (None, None), (5, "")]
+    assert kept == sorted(map(repr, expected))
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert near_duplicates(docs).count() == 0 and drop_near_duplicates(docs).count() == 0
+    assert near_duplicates(spark.createDataFrame([(1, None, None)], SCHEMA)).first().asDict() == {"doc_id": 1, "n_shingles": 0, "component_id": 1, "kept": True}
+
+
+def test_a_large_group_of_copies(spark):
+    text = F.when(F.col("id") % 3 == 0, "the same words in every copy of it").otherwise(F.concat_ws(" ", *(F.concat(F.lit(c), F.xxhash64("id", F.lit(c))) for c in "abcdef")))
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    kept = near_duplicates(docs).filter("kept")
+    assert kept.count() == 2001 and near_duplicates(docs).filter("component_id = 0").count() == 1000
+
+
+@pytest.mark.parametrize("n, m", [(40, 30), (300, 310)])
+def test_connected_components(spark, n, m):
+    rng = random.Random(n)
+    edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)] + [(i, i + 1) for i in range(n, n + 50)] + [(n + 100, n + 200 + i) for i in range(60)]
+    linked = {frozenset(e) for e in edges}
+    roots = plain_components(n + 300, lambda i, j: frozenset((i, j)) in linked)
+    found = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
+    assert found == {i: roots[i] for e in linked if len(e) > 1 for i in e}
+    assert connected_components(spark.createDataFrame([], "a long, b long"), "test").count() == 0
+
+
+def test_word_hashes_do_not_depend_on_the_batch():
+    rng = random.Random(1)
+    found = ["".join(rng.choice("ab \tÀZ\n") for _ in range(rng.randrange(40))) for _ in range(300)] + ["x" * 3_000_000 + " y", "y"]
+    hasher = W.WordHasher()
+    data, at = W.buffer(pa.array(found))
+    hashes, starts, text = hasher.spans(data, at)
+    assert len(hashes) == sum(len(t.encode().split()) for t in found)
+    for i in [*range(0, 300, 17), 300, 301]:
+        alone, _, _ = hasher.spans(*W.buffer(pa.array([found[i]])))
+        assert (alone == hashes[text == i]).all()
+    names = {}
+    for h, s, i in zip(hashes.tolist(), starts.tolist(), text.tolist(), strict=True):
+        word = bytes(data[s : at[i + 1]]).split(None, 1)[0].lower()
+        assert names.setdefault(h, word) == word
+    assert W.shingles(hashes[:0], 3).size == 0 and len(W.shingles(hashes[:2], 3)) == 1
