@@ -13,7 +13,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("m"))
     linked = both.join(least, F.col("a") == F.col("node")).filter("b > node")
-    return linked.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return linked.select(F.col("b").alias("a"), F.col("m").alias("b"))  # repeats go with the next step's
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epitally.llm import words as W
+from epitally.llm.common import fresh
 from epitally.llm.components import connected_components
 from epitally.staging import stage
 
@@ -133,24 +134,22 @@ def _blocks(members: DataFrame, group: str, spec: NearDupSpec) -> DataFrame:
 
 
 def _links_by_signature(spec: NearDupSpec):
-    """Links between members of different groups that signatures allow: enough of them to join what they connect."""
+    """Links by signature between members of different groups, and so between groups."""
 
     def links(table: pa.Table) -> pa.Table:
-        ids, label, sizes = (table[c].to_numpy().copy() for c in ("id", "root", "n"))
+        root, sizes = (table[c].to_numpy() for c in ("root", "n"))
+        label = root.copy()
         signatures = np.stack([np.frombuffer(s, np.uint32) for s in table["payload"].to_pylist()])
-        out = []
-        for i in range(len(ids)):
+        for i in range(len(root)):
             for j in np.flatnonzero(_alike(signatures, sizes, i, spec) & (label != label[i])):
-                if label[j] != label[i]:
-                    label[label == label[j]] = label[i]
-                    out.append((ids[i], ids[j]))
-        return _pairs(out)
+                label[label == label[j]] = label[i]
+        return _stars(root, label)
 
     return links
 
 
 def _links_by_sets(spec: NearDupSpec):
-    """Links that hold on full sets: enough of them to join what they connect."""
+    """Links that hold on full sets, as far as they connect what is not connected yet."""
 
     def links(table: pa.Table) -> pa.Table:
         ids, sizes, own = (table[c].to_numpy() for c in ("id", "n", "own"))
@@ -158,7 +157,6 @@ def _links_by_sets(spec: NearDupSpec):
         sets = [np.frombuffer(s, np.uint64) for s in table["items"].to_pylist()]
         label = np.arange(len(ids))
         cross = own.min() != own.max()  # two blocks: links inside either are another task's
-        out = []
         for i in range(len(ids)):
             open_ = _alike(signatures, sizes, i, spec) & (label != label[i])
             for j in np.flatnonzero(open_ & (own > own[i]) if cross else open_[i:]) + (0 if cross else i):
@@ -167,15 +165,18 @@ def _links_by_sets(spec: NearDupSpec):
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if 100 * both >= spec.percent * (len(sets[i]) + len(sets[j]) - both):
                     label[label == label[j]] = label[i]
-                    out.append((ids[i], ids[j]))
-        return _pairs(out)
+        return _stars(ids, label)
 
     return links
 
 
-def _pairs(pairs: list[tuple[int, int]]) -> pa.Table:
-    found = np.array(pairs, np.int64).reshape(-1, 2)
-    return pa.table({"a": found[:, 0], "b": found[:, 1]})
+def _stars(ids: np.ndarray, label: np.ndarray) -> pa.Table:
+    """Of everything with one label, each id linked to the smallest: what the links connect, in as many rows."""
+    order = np.lexsort((ids, label))
+    ids, label = ids[order], label[order]
+    first = np.concatenate(([True], label[1:] != label[:-1]))
+    least = ids[np.flatnonzero(first)][np.cumsum(first) - 1]
+    return pa.table({"a": ids[ids != least], "b": least[ids != least]})
 
 
 _PAIR = "a long, b long"
@@ -214,17 +215,19 @@ def _candidate_groups(classes: DataFrame, spec: NearDupSpec) -> DataFrame:
     rooted = stage(rooted.select("id", "bucket", F.coalesce("root", "id").alias("root")), "neardup-rooted")
     apart = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("bucket")
     apart = rooted.join(apart, "bucket").join(side, "id")
-    tasks = _blocks(apart, "bucket", spec).select("task", "id", "root", "n", "payload")
-    second = tasks.groupBy("task").applyInArrow(_links_by_signature(spec), _PAIR)
-    return connected_components(first.toDF("a", "b").unionByName(second), "neardup-groups")
-
-
-def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataFrame:
-    """One row for each document: doc_id, n_shingles, component_id, kept.
-
-    ``component_id`` is the smallest doc_id that links lead to, its own included;
-    ``kept`` says that this is the document itself.
-    """
+    tasks = _blocks(apart, "bucket", spec).select("task", "root", "n", "payload")
+    second = stage(tasks.groupBy("task").applyInArrow(_links_by_signature(spec), _PAIR), "neardup-apart")
+    if second.isEmpty():
+        return first
+    # These links are between whole groups. A class that was in none may now be in one.
+    joined = connected_components(second, "neardup-groups").toDF("old", "new")
+    singles = joined.join(first, F.col("old") == F.col("node"), "left_anti").select(F.col("old").alias("node"), F.col("old").alias("root"))
+    regrouped = first.unionByName(singles).join(joined, F.col("root") == F.col("old"), "left")
+    return regrouped.select("node", F.coalesce("new", "root").alias("root"))
+
+
+def _components(docs: DataFrame, spec: NearDupSpec) -> DataFrame:
+    """doc_id, print (of the text), n, component_id and, unless the text is wordless, root of each row of ``docs``."""
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("print"))
     signed = stage(_sets(docs, ["doc_id", "print"], spec, full=False), "neardup-signed")
     classes = signed.filter("n > 0").groupBy("class").agg(
@@ -246,8 +249,35 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     rooted = classes.select("id", "class", "doc").join(components, F.col("id") == F.col("node"), "left")
     rooted = stage(rooted.select("class", "doc", F.coalesce("root", "id").alias("root")), "neardup-roots")
     least = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))
-    named = stage(rooted.join(least, "root").select(F.col("class").alias("of"), "component_id"), "neardup-named")
-    linked = signed.filter("n > 0").join(named, F.col("class") == F.col("of")).select("doc_id", "n", "component_id")
-    empty = signed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    both = linked.unionByName(empty)
-    return both.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    named = stage(rooted.join(least, "root").select(F.col("class").alias("of"), "root", "component_id"), "neardup-named")
+    linked = signed.filter("n > 0").join(named, F.col("class") == F.col("of")).select("doc_id", "print", "n", "root", "component_id")
+    empty = signed.filter("n = 0").select("doc_id", "print", "n", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component_id"))
+    return linked.unionByName(empty)
+
+
+def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataFrame:
+    """One row for each document: doc_id, n_shingles, component_id, kept.
+
+    ``component_id`` is the smallest doc_id that links lead to, its own included;
+    ``kept`` says that this is the document itself.
+    """
+    found = _components(docs, spec)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataFrame:
+    """``docs`` with one row of each component, that of its smallest id; texts without words all stay.
+
+    Rows that repeat an id and its text count as copies of each other, wordless or not.
+    """
+    own, print_, of, copies = fresh(docs, "_own", "_print", "_of", "_copies")
+    rows = _components(docs, spec).groupBy("root", "doc_id", "print").agg(F.count("*").alias(copies))
+    # Of different texts under one id, or without an id, one stands for their component.
+    first = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print", copies)).alias("at"))
+    chosen = first.select("at.*").unionByName(rows.filter("root IS NULL"), allowMissingColumns=True)
+    kept = stage(chosen.select(F.col("doc_id").alias(own), F.col("print").alias(of), copies), "neardup-kept")
+    printed = docs.withColumn(print_, F.xxhash64("text"))
+    found = printed.join(kept, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(print_) == F.col(of)))
+    once = found.filter(F.col(copies) == 1)
+    again = found.filter(F.col(copies) > 1).dropDuplicates([own, of])
+    return once.unionByName(again).select(*docs.columns)
