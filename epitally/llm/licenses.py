@@ -67,11 +67,13 @@ def scan(docs: DataFrame, wordings: Sequence[tuple[str, str]] = NOTICES + TEXTS,
     known = templates(wordings)
     ratio = threshold / (2 - threshold)
     spans: list[list[float]] = []  # sizes that some wording allows, as disjoint intervals
-    for size in sorted({len(b) for _, b in known}):
-        if spans and size * ratio <= spans[-1][1]:
-            spans[-1][1] = size / ratio
+    # A hair wider than exact, so that rounding cannot lose a passage that just reaches the threshold.
+    bounds = {len(own): (len(own) * ratio - 1e-6, len(own) / ratio + 1e-6) for _, own in known}
+    for low, high in sorted(bounds.values()):
+        if spans and low <= spans[-1][1]:
+            spans[-1][1] = high
         else:
-            spans.append([size * ratio, size / ratio])
+            spans.append([low, high])
 
     most = spans[-1][1]
 
@@ -85,7 +87,7 @@ def scan(docs: DataFrame, wordings: Sequence[tuple[str, str]] = NOTICES + TEXTS,
         near = F.array(
             *(
                 F.when(
-                    n.between(len(own) * ratio, len(own) / ratio),
+                    n.between(*bounds[len(own)]),
                     F.struct(F.lit(name).alias("license"), F.lit(len(own)).alias("size"), F.size(F.array_intersect(found, F.array(*map(F.lit, own)))).alias("shared")),
                 )
                 for name, own in known
