@@ -50,6 +50,7 @@ class Labels:
     national: str = "NATIONAL"
     total: str = "TOTAL"
     empty: str = "(leeg)"
+    other_regions: str = "OTHER_REGIONS"
 
 
 @dataclass(frozen=True)

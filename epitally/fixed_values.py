@@ -43,19 +43,6 @@ REGION_BY_STATISTICS_NAME = {
 POPULATION_ROW_LABELS = {"Regio": "ALL_REGIONS", "Nederland": "NATIONAL"}
 NATION_CODE = "NL01"
 
-# Boundary year -> code of the municipality table of that year.
-AREA_TABLE_BY_YEAR = {
-    2016: "83287NED",
-    2017: "83553NED",
-    2018: "83859NED",
-    2019: "84378NED",
-    2020: "84721NED",
-    2021: "84929NED",
-    2022: "85067NED",
-    2023: "85385NED",
-    2024: "85755NED",
-}
-
 # Diseases left out when reading cases.
 EXCLUDED_DISEASES = ("COVID-19", "Coronavirus", "Wuhan Novel Coronavirus")
 
@@ -70,6 +57,7 @@ DISEASE_RECODES = {
 
 # Spelling of a diagnosis with a garbled diacritic.
 DIAGNOSIS_PATTERN = "Scabi.s"
+DIAGNOSIS_HEAD = "Scabi"
 DIAGNOSIS_REPLACEMENT = "Scabies"
 
 # Fixed values: (column, values, disease); the first match decides.

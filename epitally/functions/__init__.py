@@ -7,7 +7,6 @@ from epitally.functions.dates import (
     parse_day_month_year,
     parse_leading_date,
     period_label,
-    window_cutoff,
     with_date_parts,
 )
 from epitally.functions.measures import incidence, mask_zero, null_propagating_sum, round_half_away, sum_or_zero
@@ -34,6 +33,5 @@ __all__ = [
     "round_half_away",
     "sum_or_zero",
     "unify_spelling",
-    "window_cutoff",
     "with_date_parts",
 ]

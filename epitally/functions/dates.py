@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,46 +11,72 @@ from pyspark.sql import functions as F
 from epitally.config import Report
 
 
-_DAY_MONTH = "([0-9]{1,2})[-/. _]([0-9]{1,2})[-/. _]"
-_MONTH_NAME = r"^\s*[0-9]{1,2}[-/. _][A-Za-z]+[-/. _][0-9]{4}\s*$"
+_MARK = r"\s*[-/. _,]\s*"
+
+
+def _digits(year: str) -> str:
+    """Day, month and year apart by marks (groups 1 to 3), or two digits each and nothing between (4 to 6)."""
+    return rf"\s*(?:([0-9]{{1,2}}){_MARK}([0-9]{{1,2}}){_MARK}({year})|([0-9]{{2}})([0-9]{{2}})({year}))\s*"
+
+
+_ISO = "$3$6-$2$5-$1$4"
+_NAMED = r"^\s*([0-9]{1,2})[-/. _,\s]*([a-z]+)[-/. _,\s]*([0-9]{4}|[0-9]{2})\s*$"
+
+#: Spellings of the twelve months, in English and Dutch.
+MONTH_NAMES = (
+    ("jan", "january", "januari"),
+    ("feb", "february", "februari"),
+    ("mar", "mrt", "march", "maart"),
+    ("apr", "april"),
+    ("may", "mei"),
+    ("jun", "june", "juni"),
+    ("jul", "july", "juli"),
+    ("aug", "august", "augustus"),
+    ("sep", "sept", "september"),
+    ("oct", "okt", "october", "oktober"),
+    ("nov", "november"),
+    ("dec", "december"),
+)
 
 
 def _rearranged(col: Column, shape: str, iso: str) -> Column:
-    """Date from text of the given shape, put in ISO order; NULL for any other text.
+    """Text of the given shape, put in ISO order; any other text comes back with a mark in front.
 
-    One regex and one cast per row. Unlike a date pattern, neither raises an
-    internal exception for text that does not fit, which would cost more than
-    the parse. The mark in front keeps other text from being taken for a date.
+    One regex per row. Unlike a date pattern, neither it nor the cast that follows
+    raises an internal exception for text that does not fit, which would cost more
+    than the parse. The mark keeps other text from being taken for a date.
     """
-    return F.regexp_replace(F.concat(F.lit("~"), col), f"^~{shape}$", iso).try_cast("date")
+    return F.regexp_replace(F.concat(F.lit("~"), col), f"^~{shape}$", iso)
 
 
-def parse_day_month_year(col: Column) -> Column:
-    """Day-month-year text with any usual separator, two- or four-digit year,
-    month number or English month name. NULL when it is not a date.
+def _with_century(iso: Column) -> Column:
+    """Two digits up to 68 are this century."""
+    return F.concat(F.when(iso < "69", "20").otherwise("19"), iso)
 
-    Each further shape is only tried on rows that are not a date yet and could have it.
+
+def parse_day_month_year(col: Column, month_names: Sequence[Sequence[str]] = MONTH_NAMES) -> Column:
+    """Day-month-year text with any usual separator, or none, two- or four-digit
+    year, month number or name, and any white space around it. NULL when it is not a date.
+
+    Each further shape is only tried on rows that are not a date yet.
     """
-    short_forms = F.coalesce(
-        # Two digits: up to 68 is this century.
-        _rearranged(col, rf"\s*{_DAY_MONTH}([0-5][0-9]|6[0-8])\s*", "20$3-$2-$1"),
-        _rearranged(col, rf"\s*{_DAY_MONTH}(69|[7-9][0-9])\s*", "19$3-$2-$1"),
-        _rearranged(col, r"\s*([0-9]{2})([0-9]{2})([0-9]{4})\s*", "$3-$2-$1"),
-    )
-    named = F.translate(F.trim(col), "/. _", "----")
+    low = F.lower(col)
+    names = F.create_map(*(F.lit(x) for i, spellings in enumerate(month_names, 1) for name in spellings for x in (name, f"{i:02}")))
+    year = F.regexp_extract(low, _NAMED, 3)
+    month = F.try_element_at(names, F.regexp_extract(low, _NAMED, 2))
+    iso = F.concat(year, F.lit("-"), month, F.lit("-"), F.regexp_extract(low, _NAMED, 1))
     return F.coalesce(
-        _rearranged(col, rf"\s*{_DAY_MONTH}([0-9]{{4}})\s*", "$3-$2-$1"),
-        F.when(F.length(F.trim(col)) <= len("ddmmyyyy"), short_forms).when(
-            col.rlike(_MONTH_NAME),
-            F.coalesce(F.try_to_date(named, "d-MMM-yyyy"), F.try_to_date(named, "d-MMMM-yyyy")),
-        ),
+        _rearranged(col, _digits("[0-9]{4}"), _ISO).try_cast("date"),
+        F.when(
+            col.rlike("[A-Za-z]"), F.when(F.length(year) == 2, _with_century(iso)).otherwise(iso).try_cast("date")
+        ).otherwise(_with_century(_rearranged(col, _digits("[0-9]{2}"), _ISO)).try_cast("date")),
     )
 
 
 def parse_leading_date(col: Column) -> Column:
     """``dd/mm/yyyy`` at the start of the text; whatever follows is ignored."""
     # Padding makes a short year a valid one: 20 is the year 20.
-    return _rearranged(col, r"\s*([0-9]{1,2})/([0-9]{1,2})/([0-9]{1,4})[\s\S]*", "000$3-$2-$1")
+    return _rearranged(col, r"\s*([0-9]{1,2})/([0-9]{1,2})/([0-9]{1,4})[\s\S]*", "000$3-$2-$1").try_cast("date")
 
 
 def month_start(date: Column) -> Column:
@@ -78,11 +105,6 @@ def in_period(date: Column, year: int, report: Report) -> Column:
     return (date >= first) & (date < report.window_end(first))
 
 
-def window_cutoff(latest: Column, report: Report) -> Column:
-    """First day after the report window, given the latest date in the data."""
-    return F.add_months(F.make_date(F.year(latest), F.lit(1), F.lit(1)), report.first_month - 1 + report.months)
-
-
 def axis_label(date: Column) -> Column:
     """Month name; January carries the year on a second line."""
     return F.when(F.month(date) == 1, F.date_format(date, "MMM\nyyyy")).otherwise(F.date_format(date, "MMM"))

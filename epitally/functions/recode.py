@@ -45,10 +45,10 @@ def classify(rules: Iterable[tuple[str, Iterable[str], str]], otherwise: Column)
     return F.coalesce(*lookups, otherwise)
 
 
-def unify_spelling(col: Column, pattern: str, replacement: str) -> Column:
-    """Regex substitution that only runs where the literal head of the pattern occurs."""
-    head = pattern.split(".", 1)[0]
-    return F.when(col.contains(head), F.regexp_replace(col, pattern, replacement)).otherwise(col)
+def unify_spelling(col: Column, pattern: str, replacement: str, only_with: str | None = None) -> Column:
+    """Regex substitution; ``only_with`` is a text that every match contains, and spares other rows the regex."""
+    replaced = F.regexp_replace(col, pattern, replacement)
+    return replaced if only_with is None else F.when(col.contains(only_with), replaced).otherwise(col)
 
 
 def id_prefix(col: Column) -> Column:
@@ -57,6 +57,9 @@ def id_prefix(col: Column) -> Column:
 
 
 def decimal_comma(col: Column, data_type: str = "double") -> Column:
-    """Number written as ``1.234,5``; NULL when it is not one."""
+    """Number written as ``1.234,5``; NULL when it is not one, or has a fraction where a whole one is asked for."""
     plain = F.replace(F.replace(F.trim(col), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return plain.try_cast(data_type)
+    if data_type == "double":
+        return plain.try_cast(data_type)
+    number = plain.try_cast("decimal(38,9)")
+    return F.when(number == F.floor(number), number.try_cast(data_type))

@@ -6,6 +6,8 @@ monthly tables, not for events.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,13 +47,22 @@ def require_coverage(windowed: DataFrame, name: str, report: Report, year: int)
         raise CoverageError(f"{name}: starts in {flags['first_year']}, after the report year")
 
 
-def denominator_flags(population: DataFrame, year: int) -> DataFrame:
-    """One row: latest population year, and whether it serves the report year (its own year plus one)."""
-    latest = population.agg(F.max("pop_year").alias("latest_pop_year"))
-    return latest.withColumn("fresh", F.coalesce(F.col("latest_pop_year") >= year - 1, F.lit(False)))
+def denominator_flags(population: DataFrame, year: int, regions: Sequence[str] = ()) -> DataFrame:
+    """One row: the latest year with a known population, whether it serves the report year (its own
+    year plus one), and whether each of ``regions`` has a known population for the report year."""
+    known = population.filter(F.col("population").isNotNull())
+    serving = F.when((F.col("pop_year") == year - 1) & F.col("region").isin(*regions), F.col("region")) if regions else F.lit(None)
+    facts = known.agg(F.max("pop_year").alias("latest_pop_year"), F.count_distinct(serving).alias("_regions"))
+    return facts.select(
+        "latest_pop_year",
+        F.coalesce(F.col("latest_pop_year") >= year - 1, F.lit(False)).alias("fresh"),
+        (F.col("_regions") == len(set(regions))).alias("complete"),
+    )
 
 
-def require_denominators(population: DataFrame, year: int) -> None:
-    flags = denominator_flags(population, year).first()
+def require_denominators(population: DataFrame, year: int, regions: Sequence[str] = ()) -> None:
+    flags = denominator_flags(population, year, regions).first()
     if not flags["fresh"]:
         raise CoverageError(f"population: latest year {flags['latest_pop_year']}, too old for report year {year}")
+    if not flags["complete"]:
+        raise CoverageError(f"population: not known in {year - 1} for each of {', '.join(regions)}")

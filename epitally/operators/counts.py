@@ -9,12 +9,13 @@ more to move than any other.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epitally.config import Labels
-from epitally.functions import month_start
+from epitally.functions import is_in, month_start
 
 _DEFAULT_LABELS = Labels()
 
@@ -33,71 +34,90 @@ def monthly_counts(events: DataFrame, by: Sequence[str], date_col: str = "event_
     )
 
 
-def _calendar(counts: DataFrame) -> Column:
-    """One struct with the regions seen and the months of all years seen.
+def _axes(counts: DataFrame, regions: Sequence[str], labels: Labels) -> tuple[list[str | None], list[date]]:
+    """The regions and months that a template covers.
 
     Months run from January of each year that occurs up to the latest month in
-    the data. Both lists describe the time and place axes only; the open-ended
-    axis, the category, never ends up in a list.
+    the data. Regions are the listed ones, then NULL and the label of all others
+    where such occur. One row of bounded size comes back, whatever is written in
+    the region column.
     """
-    axes = counts.agg(
-        # Wrapped in a struct because a bare NULL region would be left out.
-        F.collect_set(F.struct("region")).alias("regions"),
+    region, listed = F.col("region"), list(regions)
+    known = is_in(region, listed)
+    facts = counts.agg(
         F.collect_set(F.year("month_start")).alias("years"),
         F.max("month_start").alias("latest"),
-    )
-    months = F.flatten(
-        F.transform(
-            "years",
-            lambda year: F.transform(
-                F.sequence(F.lit(1), F.lit(12)), lambda month: F.make_date(year, month, F.lit(1))
-            ),
-        )
-    )
-    return axes.select(
-        F.struct("regions", F.filter(months, lambda m: m <= F.col("latest")).alias("months"))
-    ).scalar()
-
-
-def dense_template(counts: DataFrame, by: Sequence[str], categories: DataFrame | None = None) -> DataFrame:
+        F.max(region.isNull()).alias("none"),
+        F.max(region.isNotNull() & ~known).alias("other"),
+    ).first()
+    months = [date(year, month, 1) for year in sorted(facts.years) for month in range(1, 13)]
+    axis = [*listed, *([None] if facts.none else []), *([labels.other_regions] if facts.other else [])]
+    return axis, [m for m in months if m <= facts.latest]
+
+
+def on_axis(df: DataFrame, regions: Sequence[str], labels: Labels = _DEFAULT_LABELS) -> DataFrame:
+    """Regions outside the list under one label, so that their events still count in the supra-region."""
+    region = F.col("region")
+    return df.withColumn("region", F.when(is_in(region, [*regions, None]), region).otherwise(F.lit(labels.other_regions)))
+
+
+def dense_template(
+    counts: DataFrame,
+    by: Sequence[str],
+    regions: Sequence[str],
+    categories: DataFrame | None = None,
+    labels: Labels = _DEFAULT_LABELS,
+) -> DataFrame:
     """Every region x month x category, once.
 
     ``categories`` lists the category values (several columns: the combinations)
-    to cover; by default those that occur. They stay a distributed table, and
-    each of its rows unfolds the region and month lists in place, so nothing is
-    cross joined. NULL is a value like any other here.
+    to cover; by default those that occur. They stay a distributed table, reduced
+    in each task before they move, and each of its rows unfolds the region and
+    month lists in place, so nothing is cross joined. NULL is a value like any
+    other here. ``counts`` should be a written table; its axes are fetched.
     """
-    values = (counts if categories is None else categories).select(*by)
-    # A row turns into regions x months rows, so the rows are spread by number of
-    # tasks; left to itself, Spark would size the tasks by the rows before that.
-    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        values.repartition(tasks, *by)
-        .distinct()
-        .withColumn("_calendar", _calendar(counts))
-        .select(*by, F.explode("_calendar.regions").alias("_region"), "_calendar")
-        .select(F.col("_region.region").alias("region"), F.explode("_calendar.months").alias("month_start"), *by)
-    )
-
-
-def zero_filled(counts: DataFrame, by: Sequence[str], categories: DataFrame | None = None) -> DataFrame:
+    axis, months = _axes(counts, regions, labels)
+    values = (counts if categories is None else categories).select(*by).distinct()
+    if not axis or not months:
+        values = values.limit(0)
+    region_list = F.array(*(F.lit(r).cast("string") for r in axis)) if axis else F.array(F.lit(None).cast("string"))
+    month_list = F.array(*map(F.lit, months)) if months else F.array(F.lit(None).cast("date"))
+    spread = values.select(F.explode(region_list).alias("region"), *by).repartition("region", *by)
+    return spread.select("region", F.explode(month_list).alias("month_start"), *by)
+
+
+def zero_filled(
+    counts: DataFrame,
+    by: Sequence[str],
+    regions: Sequence[str],
+    categories: DataFrame | None = None,
+    labels: Labels = _DEFAULT_LABELS,
+) -> DataFrame:
     """The counts together with a zero for every cell of the template.
 
     A cell may show up twice; summing settles that. Stacking instead of joining
     matches NULL keys by itself and lets the next aggregation be the only shuffle.
     """
+    domain = None if categories is None else categories.select(*by).distinct()
     # The axes come from all counts, also from those outside ``categories``.
-    zeros = dense_template(counts, by, categories).withColumn("n", F.lit(0).cast("long"))
-    if categories is not None:
-        domain = categories.select(*(F.col(c).alias(f"_{c}") for c in by)).distinct()
-        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
-        counts = counts.join(domain, same, "left_semi")
+    zeros = dense_template(counts, by, regions, domain, labels).withColumn("n", F.lit(0).cast("long"))
+    counts = on_axis(counts, regions, labels)
+    if domain is not None:
+        named = domain.select(*(F.col(c).alias(f"_{c}") for c in by))
+        counts = counts.join(named, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by], "left_semi")
     return zeros.unionByName(counts.select(*zeros.columns))
 
 
-def dense_counts(counts: DataFrame, by: Sequence[str], categories: DataFrame | None = None) -> DataFrame:
+def dense_counts(
+    counts: DataFrame,
+    by: Sequence[str],
+    regions: Sequence[str],
+    categories: DataFrame | None = None,
+    labels: Labels = _DEFAULT_LABELS,
+) -> DataFrame:
     """Counts with a row, possibly zero, for every region x month x category."""
-    return zero_filled(counts, by, categories).groupBy("region", "month_start", *by).agg(F.sum("n").alias("n"))
+    filled = zero_filled(counts, by, regions, categories, labels)
+    return filled.groupBy("region", "month_start", *by).agg(F.sum("n").alias("n"))
 
 
 def with_all_regions(df: DataFrame, by: Sequence[str], labels: Labels = _DEFAULT_LABELS) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epitally.config import Report
-from epitally.functions import in_period, is_in, not_in, window_cutoff
+from epitally.functions import in_period, is_in, not_in
 
 
 def admitted(
@@ -36,12 +36,13 @@ def admitted(
 def report_window(df: DataFrame, report: Report, date_col: str = "event_date") -> DataFrame:
     """All earlier years, and the latest year up to the end of the report period.
 
-    The latest date is one scalar computed beside the scan, so no row moves for
-    it. Rows without a date drop out.
+    The latest date is fetched, which makes the window a plain range of dates that
+    reaches the scan. That reads the dates of ``df`` once more; where counts will
+    do, ``window_counts`` on written monthly counts needs one pass in all. Rows
+    without a date drop out.
     """
-    latest = df.agg(F.max(date_col).alias("latest"))
-    cutoff = latest.select(window_cutoff(F.col("latest"), report)).scalar()
-    return df.filter(F.col(date_col) < cutoff)
+    latest = df.agg(F.max(date_col)).first()[0]
+    return df.filter(F.lit(False) if latest is None else F.col(date_col) < report.window_end(latest))
 
 
 def window_counts(counts: DataFrame, report: Report) -> DataFrame:

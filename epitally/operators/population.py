@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,8 +12,8 @@ from epitally.config import Labels
 from epitally.functions import recode
 
 
-def year_columns(df: DataFrame, prefix: str = "20") -> list[str]:
-    return [name for name in df.columns if name.startswith(prefix)]
+def year_columns(df: DataFrame) -> list[str]:
+    return [name for name in df.columns if re.fullmatch("[0-9]{4}", name)]
 
 
 def unpivot_years(wide: DataFrame, years: Sequence[str] | None = None, region: str = "region") -> DataFrame:

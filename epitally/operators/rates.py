@@ -14,10 +14,14 @@ from epitally.functions import incidence, not_in, period_label
 def with_incidence(df: DataFrame, population: DataFrame) -> DataFrame:
     """Attach the population of (region, year) and the incidence per million.
 
-    ``population`` has one row per region and report year. Rows without one keep
-    a NULL incidence.
+    ``population`` has one row per region and report year; more than one stops
+    the job, as each would count the events again. Rows without one keep a NULL
+    incidence.
     """
-    denominators = population.select("region", "year", "population")
+    twice = F.raise_error(F.concat_ws(" ", F.lit("population: more than one row for"), "region", "year"))
+    denominators = population.groupBy("region", "year").agg(
+        F.when(F.count("*") > 1, twice.cast("long")).otherwise(F.max("population")).alias("population")
+    )
     return (
         df.withColumn("year", F.year("month_start"))
         .join(denominators, ["region", "year"], "left")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from epitally.config import Labels
@@ -64,43 +64,47 @@ def _missing(spec: SeriesSpec, by: str, found: Sequence[Row]) -> list[str]:
     return missing
 
 
-def require_values(monthly: DataFrame, by: str, specs: Sequence[SeriesSpec]) -> None:
-    """Raise when a series asks for a value that does not occur, with one job for all of them.
+def missing_values(monthly: DataFrame, by: str, specs: Sequence[SeriesSpec]) -> dict[str, list[str]]:
+    """For each series the values it asks for that do not occur, from one job for all of them.
 
     A value has to occur in the years of its series, and a breakdown value among
     the included rows.
     """
     found = _requested_rows(monthly, by, specs)
-    for spec in specs:
-        missing = _missing(spec, by, found)
+    return {spec.name: _missing(spec, by, found) for spec in specs}
+
+
+def require_values(monthly: DataFrame, by: str, specs: Sequence[SeriesSpec]) -> None:
+    """Raise when a series asks for a value that does not occur."""
+    for name, missing in missing_values(monthly, by, specs).items():
         if missing:
-            raise CoverageError(f"series {spec.name}: no such value: {', '.join(missing)}")
+            raise CoverageError(f"series {name}: no such value: {', '.join(missing)}")
 
 
-def select_rows(monthly: DataFrame, by: str, spec: SeriesSpec) -> DataFrame:
-    """The rows of a series."""
+def row_filter(by: str, spec: SeriesSpec) -> Column:
+    """Whether a row belongs to a series."""
+    tests = [F.lit(True)]
     if spec.years is not None:
-        monthly = monthly.filter(F.col("year").isin(*spec.years))
+        tests.append(is_in(F.col("year"), spec.years))
     if spec.exclude:
-        monthly = monthly.filter(not_in(F.col(by), spec.exclude))
+        tests.append(not_in(F.col(by), spec.exclude))
     if spec.include is not None:
-        monthly = monthly.filter(is_in(F.col(by), spec.include))
+        tests.append(is_in(F.col(by), spec.include))
     if spec.breakdown is not None:
         column, values = spec.breakdown
-        monthly = monthly.filter(is_in(F.col(column), values))
-    return monthly
+        tests.append(is_in(F.col(column), values))
+    return reduce(and_, tests)
 
 
-def series(monthly: DataFrame, by: str, spec: SeriesSpec, labels: Labels | None = None) -> DataFrame:
-    """One point per region and month, with the supra-region's incidence of that month."""
-    labels = labels or Labels()
-    points = (
-        select_rows(monthly, by, spec)
-        .groupBy("region", "month_start")
-        .agg(F.sum("n").alias("n"), summed_incidence().alias("incidence"))
-    )
+def select_rows(monthly: DataFrame, by: str, spec: SeriesSpec) -> DataFrame:
+    """The rows of a series."""
+    return monthly.filter(row_filter(by, spec))
+
+
+def _points(rows: DataFrame, keys: Sequence[str], labels: Labels) -> DataFrame:
+    points = rows.groupBy("region", "month_start", *keys).agg(F.sum("n").alias("n"), summed_incidence().alias("incidence"))
     is_all = is_in(F.col("region"), [labels.all_regions])
-    month = Window.partitionBy("month_start")
+    month = Window.partitionBy("month_start", *keys)
     return (
         points.withColumn("incidence_all", F.max(F.when(is_all, F.col("incidence"))).over(month))
         .filter(~is_all)
@@ -108,6 +112,20 @@ def series(monthly: DataFrame, by: str, spec: SeriesSpec, labels: Labels | None
     )
 
 
+def series(monthly: DataFrame, by: str, spec: SeriesSpec, labels: Labels | None = None) -> DataFrame:
+    """One point per region and month, with the supra-region's incidence of that month."""
+    return _points(select_rows(monthly, by, spec), [], labels or Labels())
+
+
+def all_series(monthly: DataFrame, by: str, specs: Sequence[SeriesSpec], labels: Labels | None = None) -> DataFrame:
+    """The points of several series, told apart by ``chart``.
+
+    Every row is tagged with the charts it belongs to, so the monthly table is read and shuffled once for all.
+    """
+    charts = F.array_compact(F.array(*(F.when(row_filter(by, spec), F.lit(spec.name)) for spec in specs)))
+    return _points(monthly.withColumn("chart", F.explode(charts)), ["chart"], labels or Labels())
+
+
 def rename_all_regions(df: DataFrame, name: str, labels: Labels | None = None) -> DataFrame:
     """Show the supra-region under its own name."""
     labels = labels or Labels()

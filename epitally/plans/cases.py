@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ def clean_cases(raw: DataFrame) -> DataFrame:
     some of them get one from their diagnosis afterwards.
     """
     disease = recode(F.col("disease"), fixed.DISEASE_RECODES)
-    diagnosis = unify_spelling(F.col("summary_diagnosis"), fixed.DIAGNOSIS_PATTERN, fixed.DIAGNOSIS_REPLACEMENT)
+    diagnosis = unify_spelling(F.col("summary_diagnosis"), fixed.DIAGNOSIS_PATTERN, fixed.DIAGNOSIS_REPLACEMENT, fixed.DIAGNOSIS_HEAD)
     classified = (
         raw.filter(not_in(F.col("disease"), fixed.EXCLUDED_DISEASES))
         .withColumns({"disease": disease, "summary_diagnosis": diagnosis})
@@ -53,12 +55,8 @@ def clean_cases(raw: DataFrame) -> DataFrame:
 
 
 def first_link(link: DataFrame) -> DataFrame:
-    """One local name per national name: the first one listed.
-
-    The row number is taken in file order, which a single small file has.
-    """
-    listed = link.filter(F.col("national_name").isNotNull()).withColumn("_order", F.monotonically_increasing_id())
-    return first_match(listed, "national_name", "local_name", "_order")
+    """One local name per national name: the first one listed, by ``list_order`` of the link."""
+    return first_match(link.filter(F.col("national_name").isNotNull()), "national_name", "local_name", "list_order")
 
 
 def first_match(link: DataFrame, key: str, value: str, order: str) -> DataFrame:
@@ -87,11 +85,11 @@ def national_incidence(
 
 
 def disease_monthly(
-    counts: DataFrame, population: DataFrame, link: DataFrame, labels: Labels | None = None
+    counts: DataFrame, population: DataFrame, link: DataFrame, regions: Sequence[str], labels: Labels | None = None
 ) -> DataFrame:
     """Monthly incidence of every disease in the link table, seen or not."""
     diseases = link.select(F.col("local_name").alias("category"))
-    return monthly_incidence(counts, ["category"], population, diseases, labels)
+    return monthly_incidence(counts, ["category"], population, regions, diseases, labels)
 
 
 def disease_table(

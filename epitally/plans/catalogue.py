@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 
 from epitally.config import Labels
-from epitally.operators.series import SeriesSpec, require_values, series
+from epitally.operators.series import SeriesSpec, all_series, require_values, series
 
 # Monthly tables that charts draw from, with the category column of each.
 SOURCES = {
@@ -66,3 +66,13 @@ def build_series(
             if wanted:
                 require_values(monthly[source], by, wanted)
     return {spec.name: series(monthly[spec.source], SOURCES[spec.source], spec, labels) for spec in specs}
+
+
+def build_charts(
+    monthly: Mapping[str, DataFrame], specs: Sequence[SeriesSpec], labels: Labels | None = None
+) -> dict[str, DataFrame]:
+    """One table per source with all its charts, from one pass over the monthly table."""
+    by_source: dict[str, list[SeriesSpec]] = {}
+    for spec in specs:
+        by_source.setdefault(spec.source, []).append(spec)
+    return {source: all_series(monthly[source], SOURCES[source], own, labels) for source, own in by_source.items()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +27,8 @@ def clean_enquiries(raw: DataFrame) -> DataFrame:
     )
 
 
-def topic_monthly(counts: DataFrame, population: DataFrame, labels: Labels | None = None) -> DataFrame:
-    return monthly_incidence(counts, ["topic"], population, None, labels)
+def topic_monthly(counts: DataFrame, population: DataFrame, regions: Sequence[str], labels: Labels | None = None) -> DataFrame:
+    return monthly_incidence(counts, ["topic"], population, regions, None, labels)
 
 
 def top5_long(monthly: DataFrame, config: SurveillanceConfig, year: int) -> DataFrame:

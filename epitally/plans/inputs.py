@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from epitally.functions import decimal_comma
+from epitally.operators.population import year_columns
 from epitally.plans.denominators import population_from_wide, population_table, wide_population
 from epitally.plans.report import ReportInputs, SurveillanceReport
 from epitally.sources import (
+    detect_separator,
     normalize_columns,
     period_codes,
     read_area_map,
@@ -17,6 +21,7 @@ from epitally.sources import (
     read_population,
     resolve_region_columns,
     schemas,
+    source_modified,
     write_table,
 )
 
@@ -38,22 +43,33 @@ class InputPaths:
 
 def read_wide_population(spark: SparkSession, path: str) -> DataFrame:
     """Region and one column per year, in long form."""
-    is_parquet = path.rstrip("/").endswith(".parquet")
-    raw = spark.read.parquet(path) if is_parquet else spark.read.csv(path, header=True)
-    wide = normalize_columns(raw)
+    if path.rstrip("/").endswith(".parquet"):
+        wide, sep = normalize_columns(spark.read.parquet(path)), ","
+    else:
+        sep = detect_separator(spark, path)
+        wide = normalize_columns(spark.read.csv(path, header=True, sep=sep, quote='"', escape='"', multiLine=True))
     if REGION_HEADER in wide.columns:
         wide = wide.withColumnRenamed(REGION_HEADER, "region")
+    if sep == ";":
+        wide = wide.withColumns({year: decimal_comma(F.col(f"`{year}`"), "bigint") for year in year_columns(wide)})
     return population_from_wide(wide)
 
 
-def read_inputs(spark: SparkSession, paths: InputPaths) -> ReportInputs:
+def read_inputs(spark: SparkSession, paths: InputPaths, splittable: Collection[str] = ()) -> ReportInputs:
+    """The inputs of a report. ``splittable`` names those whose CSV files have no line breaks inside quotes."""
+
+    def read(name: str, schema: Sequence[schemas.InputColumn], **more) -> DataFrame:
+        return read_events(spark, getattr(paths, name), schema, multi_line=name not in splittable, **more)
+
+    modified = {name: source_modified(spark, getattr(paths, name)) for name in ("cases", "situations", "enquiries")}
     return ReportInputs(
-        cases=read_events(spark, paths.cases, schemas.CASES),
-        situations=read_events(spark, paths.situations, schemas.SITUATIONS, duplicated=["Infectious.Agent"]),
-        enquiries=read_events(spark, paths.enquiries, schemas.ENQUIRIES),
-        national=read_events(spark, paths.national, schemas.NATIONAL),
-        name_link=read_events(spark, paths.name_link, schemas.NAME_LINK),
+        cases=read("cases", schemas.CASES),
+        situations=read("situations", schemas.SITUATIONS, duplicated=["Infectious.Agent"]),
+        enquiries=read("enquiries", schemas.ENQUIRIES),
+        national=read("national", schemas.NATIONAL),
+        name_link=read("name_link", schemas.NAME_LINK, order="list_order"),
         population=read_wide_population(spark, paths.population),
+        modified=modified,
     )
 
 
@@ -90,7 +106,9 @@ def refresh_population(
 
 
 def write_report(report: SurveillanceReport, folder: str) -> None:
-    """One Parquet table per report table and per chart."""
-    for kind, frames in (("tables", report.tables), ("series", report.series)):
-        for name, df in frames.items():
-            write_table(df, f"{folder.rstrip('/')}/{kind}/{name}")
+    """One Parquet table per report table, and one per chart source with a folder for each chart."""
+    folder = folder.rstrip("/")
+    for name, df in report.tables.items():
+        write_table(df, f"{folder}/tables/{name}")
+    for source, df in report.charts.items():
+        write_table(df, f"{folder}/series/{source}", partition_by=["chart"])

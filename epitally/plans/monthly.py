@@ -27,12 +27,17 @@ def monthly_incidence(
     counts: DataFrame,
     by: Sequence[str],
     population: DataFrame,
+    regions: Sequence[str],
     categories: DataFrame | None = None,
     labels: Labels | None = None,
 ) -> DataFrame:
-    """Dense counts per region and month with supra-region, population and incidence."""
+    """Dense counts per region and month with supra-region, population and incidence.
+
+    Events of regions outside the list are one region, and count in the supra-region.
+    """
     labels = labels or Labels()
-    return with_incidence(with_all_regions(zero_filled(counts, by, categories), by, labels), population)
+    filled = zero_filled(counts, by, regions, categories, labels)
+    return with_incidence(with_all_regions(filled, by, labels), population)
 
 
 def less_detail(counts: DataFrame, by: Sequence[str]) -> DataFrame:

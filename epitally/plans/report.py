@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 
@@ -12,14 +13,17 @@ from epitally.operators.checks import CoverageError, require_coverage, require_d
 from epitally.operators.filters import report_year
 from epitally.operators.series import SeriesSpec
 from epitally.plans import cases, enquiries, situations
-from epitally.plans.catalogue import QUARTERLY, YEARLY, build_series
+from epitally.plans.catalogue import QUARTERLY, YEARLY, build_charts, build_series
 from epitally.plans.monthly import windowed_counts
 from epitally.staging import stage
 
 
 @dataclass(frozen=True)
 class ReportInputs:
-    """Raw tables with the columns of ``sources.schemas``; population in long form."""
+    """Raw tables with the columns of ``sources.schemas``; population in long form.
+
+    ``list_order`` of the name link tells which of several local names comes first.
+    """
 
     cases: DataFrame
     situations: DataFrame
@@ -27,6 +31,7 @@ class ReportInputs:
     national: DataFrame
     name_link: DataFrame
     population: DataFrame
+    modified: Mapping[str, datetime] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -35,6 +40,10 @@ class SurveillanceReport:
     comparison_label: str
     tables: dict[str, DataFrame]
     series: dict[str, DataFrame]
+    #: The same series by source, those of a source in one table with the name of the ``chart``.
+    charts: dict[str, DataFrame]
+    #: When the files of the event inputs were last written.
+    modified: Mapping[str, datetime]
 
 
 def build_report(
@@ -55,17 +64,17 @@ def build_report(
         raise CoverageError("cases: no dated rows")
     for name, windowed in counts.items():
         require_coverage(windowed, name, report, year)
-    require_denominators(inputs.population, year)
+    require_denominators(inputs.population, year, [*config.regions, labels.all_regions, labels.national])
 
     population = inputs.population
     link = inputs.name_link
-    scenario_agents = situations.scenario_agent_monthly(counts["situations"], population, labels)
+    scenario_agents = situations.scenario_agent_monthly(counts["situations"], population, config.regions, labels)
     monthly = {
-        "diseases": cases.disease_monthly(counts["cases"], population, link, labels),
+        "diseases": cases.disease_monthly(counts["cases"], population, link, config.regions, labels),
         "scenario_agents": scenario_agents,
         "scenarios": situations.scenario_chart_monthly(scenario_agents),
-        "settings": situations.setting_monthly(counts["situations"], population, labels),
-        "topics": enquiries.topic_monthly(counts["enquiries"], population, labels),
+        "settings": situations.setting_monthly(counts["situations"], population, config.regions, labels),
+        "topics": enquiries.topic_monthly(counts["enquiries"], population, config.regions, labels),
     }
     # Tables and some twenty charts read these.
     monthly = {name: stage(df, name) for name, df in monthly.items()}
@@ -84,4 +93,6 @@ def build_report(
             "top_topics": enquiries.top5_table(monthly["topics"], config, year),
         },
         series=build_series(monthly, specs, labels, check),
+        charts=build_charts(monthly, specs, labels),
+        modified=inputs.modified,
     )

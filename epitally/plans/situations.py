@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +30,9 @@ def clean_situations(raw: DataFrame) -> DataFrame:
     )
 
 
-def scenario_agent_monthly(counts: DataFrame, population: DataFrame, labels: Labels | None = None) -> DataFrame:
+def scenario_agent_monthly(counts: DataFrame, population: DataFrame, regions: Sequence[str], labels: Labels | None = None) -> DataFrame:
     """Monthly incidence per (scenario, agent) pair that occurs; two columns, never glued together."""
-    return monthly_incidence(less_detail(counts, ["scenario", "agent"]), ["scenario", "agent"], population, None, labels)
+    return monthly_incidence(less_detail(counts, ["scenario", "agent"]), ["scenario", "agent"], population, regions, None, labels)
 
 
 def scenario_chart_monthly(scenario_agent: DataFrame) -> DataFrame:
@@ -38,8 +40,8 @@ def scenario_chart_monthly(scenario_agent: DataFrame) -> DataFrame:
     return drop_breakdown(scenario_agent, ["scenario"], "agent", fixed.AGENTS_OUTSIDE_CHARTS)
 
 
-def setting_monthly(counts: DataFrame, population: DataFrame, labels: Labels | None = None) -> DataFrame:
-    return monthly_incidence(less_detail(counts, ["setting"]), ["setting"], population, None, labels)
+def setting_monthly(counts: DataFrame, population: DataFrame, regions: Sequence[str], labels: Labels | None = None) -> DataFrame:
+    return monthly_incidence(less_detail(counts, ["setting"]), ["setting"], population, regions, None, labels)
 
 
 def situation_table(

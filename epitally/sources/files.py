@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,22 +35,31 @@ def first_column_like(df: DataFrame, prefix: str) -> DataFrame:
     return df.drop(*matches[1:]).withColumnRenamed(matches[0], prefix)
 
 
-def _csv(spark: SparkSession, path: str | Sequence[str], sep: str, multi_line: bool, checked: bool) -> DataFrame:
-    return spark.read.csv(
-        path,
-        header=True,
-        sep=sep,
-        quote='"',
-        escape='"',
-        multiLine=multi_line,
-        # Compare the header of every file with that of the first one.
-        enforceSchema=not checked,
-    )
+def _csv(spark: SparkSession, path: str | Sequence[str], sep: str, multi_line: bool) -> DataFrame:
+    reader = spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=multi_line)
+    if not multi_line:
+        # A record torn apart by a line break has too few columns. All columns are
+        # parsed so that it is noticed, and it stops the reading.
+        reader = reader.options(mode="FAILFAST", columnPruning=False)
+    return reader.csv(path)
 
 
-def detect_separator(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> str:
+def _files_by_header(spark: SparkSession, path: str | Sequence[str], sep: str, multi_line: bool) -> list[list[str]]:
+    """The files under ``path``, those with the same header together. Reads one header per file."""
+    files = sorted(unquote(f) for f in spark.read.text(path, pathGlobFilter="*").inputFiles())
+    if len(files) < 2:
+        return [[path] if isinstance(path, str) else list(path)]
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda file: tuple(_csv(spark, file, sep, multi_line).columns), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for header, file in zip(headers, files, strict=True):
+        groups.setdefault(header, []).append(file)
+    return list(groups.values())
+
+
+def detect_separator(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> str:
     """Comma, or semicolon when splitting at commas leaves a single column. Reads headers only."""
-    return "," if len(_csv(spark, path, ",", multi_line, checked=False).columns) > 1 else ";"
+    return "," if len(_csv(spark, path, ",", multi_line).columns) > 1 else ";"
 
 
 def _typed(col: Column, data_type: str, sep: str) -> Column:
@@ -63,27 +75,43 @@ def read_events(
     path: str | Sequence[str],
     schema: Sequence[InputColumn],
     sep: str = "auto",
-    multi_line: bool = False,
+    multi_line: bool = True,
     duplicated: Sequence[str] = (),
+    order: str | None = None,
 ) -> DataFrame:
     """Read the columns of ``schema`` from CSV or Parquet, by name.
 
     CSV is read as text without a type-guessing pass, and only the columns asked
-    for are parsed. ``multi_line`` allows line breaks inside quotes, at the price
-    of one task per file; leave it off for large exports. ``duplicated`` names
-    headers that occur more than once, of which the first is used.
+    for are parsed. Files may order their columns differently, and each may use
+    its own separator. Line breaks inside quotes are text, which makes a file one
+    task; large exports come as many files. Where no text has line breaks,
+    ``multi_line=False`` lets Spark split the files, and a record with another
+    number of columns then stops the reading. ``duplicated`` names headers that
+    occur more than once, of which the first is used. ``order`` names a further
+    column that orders the rows as the files list them.
     """
-    first = path if isinstance(path, str) else path[0]
-    if first.rstrip("/").endswith(".parquet"):
-        paths = [path] if isinstance(path, str) else list(path)
-        raw, sep = spark.read.parquet(*paths), ","
-    else:
-        sep = detect_separator(spark, path, multi_line) if sep == "auto" else sep
-        raw = _csv(spark, path, sep, multi_line, checked=not duplicated)
+    paths = [path] if isinstance(path, str) else list(path)
+    if paths[0].rstrip("/").endswith(".parquet"):
+        return _selected(spark.read.parquet(*paths), schema, ",", duplicated, order)
+    parts = []
+    for files in _files_by_header(spark, paths, "," if sep == "auto" else sep, multi_line):
+        own = detect_separator(spark, files, multi_line) if sep == "auto" else sep
+        parts.append(_selected(_csv(spark, files, own, multi_line), schema, own, duplicated, order))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _selected(
+    raw: DataFrame, schema: Sequence[InputColumn], sep: str, duplicated: Sequence[str], order: str | None
+) -> DataFrame:
+    more = []
+    if order is not None:
+        # Rows of one block of a file come in order in one task.
+        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+        raw, more = raw.withColumn(order, place), [order]
     raw = normalize_columns(raw)
     for header in duplicated:
         raw = first_column_like(raw, header)
-    return raw.select(*(_typed(F.col(f"`{c.header}`"), c.data_type, sep).alias(c.name) for c in schema))
+    return raw.select(*(_typed(F.col(f"`{c.header}`"), c.data_type, sep).alias(c.name) for c in schema), *more)
 
 
 def source_modified(spark: SparkSession, path: str) -> datetime:

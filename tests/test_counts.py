@@ -2,6 +2,7 @@ import itertools
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from epitally.config import Report
@@ -38,7 +39,7 @@ def test_monthly_counts_drop_undated_events(spark):
 
 
 def test_template_spans_whole_years_up_to_the_latest_month(spark):
-    template = rows(dense_template(monthly_counts(events(spark), ["category"]), ["category"]))
+    template = rows(dense_template(monthly_counts(events(spark), ["category"]), ["category"], "AB"))
     months = [day(f"2020-{m:02}-01") for m in range(1, 13)] + [day("2021-01-01"), day("2021-02-01")]
     expected = itertools.product(["A", "B", None], months, ["x", "y", None])
     assert template == sorted(expected, key=repr)
@@ -46,13 +47,13 @@ def test_template_spans_whole_years_up_to_the_latest_month(spark):
 
 def test_template_skips_years_without_events(spark):
     data = [("A", day("2018-03-01"), "x"), ("A", day("2020-01-09"), "x")]
-    template = dense_template(monthly_counts(events(spark, data), ["category"]), ["category"])
+    template = dense_template(monthly_counts(events(spark, data), ["category"]), ["category"], "A")
     assert sorted({r.month_start.year for r in template.collect()}) == [2018, 2020]
     assert template.count() == 13
 
 
 def test_dense_counts_match_null_keys(spark):
-    dense = dense_counts(monthly_counts(events(spark), ["category"]), ["category"])
+    dense = dense_counts(monthly_counts(events(spark), ["category"]), ["category"], "AB")
     assert dense.count() == 3 * 14 * 3
     found = {(r.region, r.month_start, r.category): r.n for r in dense.collect() if r.n}
     assert found == {
@@ -65,7 +66,7 @@ def test_dense_counts_match_null_keys(spark):
 
 def test_category_domain_adds_unseen_and_drops_unlisted_values(spark):
     domain = spark.createDataFrame([("x",), ("z",), ("x",)], "category string")
-    dense = dense_counts(monthly_counts(events(spark), ["category"]), ["category"], domain)
+    dense = dense_counts(monthly_counts(events(spark), ["category"]), ["category"], "AB", domain)
     # Region B only has unlisted categories, yet stays an axis value.
     assert dense.count() == 3 * 14 * 2
     assert {r.category: r.n for r in dense.groupBy("category").agg(F.sum("n").alias("n")).collect()} == {"x": 3, "z": 0}
@@ -75,7 +76,7 @@ def test_category_domain_adds_unseen_and_drops_unlisted_values(spark):
 def test_pairs_are_observed_pairs_not_all_combinations(spark):
     data = [("A", day("2020-01-01"), "r", "p"), ("B", day("2020-01-01"), "s", None)]
     df = spark.createDataFrame(data, "region string, event_date date, scenario string, agent string")
-    dense = dense_counts(monthly_counts(df, ["scenario", "agent"]), ["scenario", "agent"])
+    dense = dense_counts(monthly_counts(df, ["scenario", "agent"]), ["scenario", "agent"], "AB")
     assert rows(dense) == sorted(
         [
             ("A", day("2020-01-01"), "r", "p", 1),
@@ -116,10 +117,45 @@ def test_random_events_against_brute_force(spark):
         key = ("ALL_REGIONS", m, c)
         expected[key] = expected.get(key, 0) + n
     by = ["category"]
-    rolled = with_all_regions(zero_filled(monthly_counts(events(spark, data), by), by), by)
+    rolled = with_all_regions(zero_filled(monthly_counts(events(spark, data), by), by, "ABC"), by)
     assert {(r.region, r.month_start, r.category): r.n for r in rolled.collect()} == expected
 
 
+def test_unlisted_regions_are_one_region_that_still_counts(spark):
+    """Malformed identifiers must not blow up the calendar, nor lose an event."""
+    i = F.col("id")
+    region = F.when(i % 20 == 0, F.concat(F.lit("bad "), i)).otherwise("A")
+    many = spark.range(20000).select(region.alias("region"), F.lit(day("2021-03-05")).alias("event_date"), F.lit("x").alias("category"))
+    dense = dense_counts(monthly_counts(many, ["category"]), ["category"], ["A", "B"])
+    assert dense.count() == 3 * 3
+    march = {r.region: r.n for r in dense.filter("month_start = '2021-03-01'").collect()}
+    assert march == {"A": 19000, "B": 0, "OTHER_REGIONS": 1000}
+    total = with_all_regions(dense, ["category"]).filter("region = 'ALL_REGIONS'").agg(F.sum("n")).first()[0]
+    assert total == 20000
+
+
+def test_categories_are_reduced_before_they_move(spark, tmp_path):
+    path = str(tmp_path / "domain.parquet")
+    spark.range(1000).select((F.col("id") % 3).cast("string").alias("category")).write.parquet(path)
+    counts = monthly_counts(events(spark), ["category"])
+    plan = dense_template(counts, ["category"], "AB", spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange") :]
+    assert "HashAggregate" in below and "FileScan" in below
+    assert "REPARTITION_BY_NUM" not in plan and "collect_set" not in plan
+
+
+def test_nothing_gives_an_empty_template(spark):
+    counts = monthly_counts(events(spark, []), ["category"])
+    assert dense_template(counts, ["category"], "AB").count() == 0
+    assert dense_counts(counts, ["category"], "AB").count() == 0
+
+
+def test_a_denominator_given_twice_stops_the_job(spark):
+    counts = spark.createDataFrame([("A", day("2021-01-01"), 5)], "region string, month_start date, n long")
+    with pytest.raises(Exception, match="more than one row for A 2021"):
+        with_incidence(counts, population(spark, [("A", 2021, 10), ("A", 2021, 10)])).collect()
+
+
 def test_report_window_on_events_and_on_counts(spark):
     data = [("A", day(d), "x") for d in ("2020-12-31", "2021-03-31", "2021-04-01", "2021-08-09")]
     df = events(spark, [*data, ("A", None, "x")])
@@ -216,7 +252,7 @@ def test_breakdown_exclusion_keeps_unknown_values(spark):
 
 def test_properties_of_dense_counts(spark):
     counts = monthly_counts(events(spark), ["category"])
-    dense = dense_counts(counts, ["category"])
+    dense = dense_counts(counts, ["category"], "AB")
     rolled = with_all_regions(dense, ["category"])
     is_all = is_in(F.col("region"), ["ALL_REGIONS"])
     assert rows(dense.filter("n > 0").select(*counts.columns)) == rows(counts)

@@ -12,6 +12,7 @@ from epitally.operators.series import SeriesSpec, series
 from epitally.plans.monthly import monthly_incidence, windowed_counts
 from epitally.config import Report
 from epitally.operators.period_table import SITUATION_STYLE, period_table
+from epitally import staging
 from epitally.staging import stage, staging_dir
 from helpers import day
 from workload.compare import connect, differences
@@ -29,16 +30,44 @@ def database(data_dir):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(REGISTRY) == set(ORACLE)
+    assert set(REGISTRY) <= set(entry_points.queries()) and set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
-def test_query_equals_sql(spark, data_dir, database, name):
+def test_query_equals_sql(spark, data_dir, database, name, monkeypatch):
+    staged = []
+    write = staging.stage
+
+    def watched(frame, label):
+        staged.append(plan_of(frame))
+        return write(frame, label)
+
+    for module in ("workload.queries", "workload.projections", "epitally.plans.monthly"):
+        monkeypatch.setattr(f"{module}.stage", watched)
     df = REGISTRY[name](spark, data_dir)
     assert differences(df, database, ORACLE[name]) == []
-    plan = plan_of(df)
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+    for plan in [*staged, plan_of(df)]:  # also what was written on the way
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+        assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+        assert "hashpartitioning(category" not in plan or "REPARTITION_BY_NUM" not in plan
+
+
+@pytest.mark.parametrize("name", ["report_window", "quality_flags"])
+def test_each_event_table_is_read_once(spark, data_dir, name, monkeypatch):
+    staged = []
+    write = staging.stage
+
+    def watched(frame, label):
+        staged.append(plan_of(frame))
+        return write(frame, label)
+
+    for module in ("workload.queries", "workload.projections", "epitally.plans.monthly"):
+        monkeypatch.setattr(f"{module}.stage", watched)
+    plans = "".join([plan_of(REGISTRY[name](spark, data_dir)), *staged])
+    scans = Counter(re.findall(r"(\w+)\.parquet\]", plans))
+    assert scans["lineitem"] <= 1 and scans["part"] == 0
+    assert scans["orders"] == (2 if name == "quality_flags" else 1)  # cases, and the orders of the line items
 
 
 def test_entry(spark):
@@ -79,7 +108,7 @@ def test_events_are_scanned_once_for_a_whole_table(spark, tmp_path):
     path = str(tmp_path / "events.parquet")
     hot_events(spark).write.parquet(path)
     counts = windowed_counts(spark.read.parquet(path), ["category"], Report(2), "hot")
-    monthly = monthly_incidence(counts, ["category"], people(spark))
+    monthly = monthly_incidence(counts, ["category"], people(spark), ["A", *(f"R{i}" for i in range(7))])
     tables = [
         period_table(monthly, "category", Report(2), 2021, ["A"], SITUATION_STYLE),
         series(monthly, "category", SeriesSpec("x", "s", include=("x",))),
@@ -94,8 +123,9 @@ def test_events_are_scanned_once_for_a_whole_table(spark, tmp_path):
 
 def test_the_dense_table_takes_one_shuffle_of_its_cells(spark):
     counts = stage(monthly_counts(hot_events(spark), ["category"]), "cells")
-    plan = plan_of(monthly_incidence(counts, ["category"], people(spark)))
-    cells = re.findall(r"Exchange hashpartitioning\((region[^)]*)\)", plan)
+    plan = plan_of(monthly_incidence(counts, ["category"], people(spark), ["A", *(f"R{i}" for i in range(7))]))
+    # Before the months unfold, only the regions of each category are spread.
+    cells = re.findall(r"Exchange hashpartitioning\((region[^)]*month_start[^)]*)\)", plan)
     assert len(cells) == 1, Counter(cells)
 
 

@@ -148,9 +148,9 @@ def test_enquiry_rules(spark):
 
 def test_names_are_translated_once_and_summed(spark):
     link = spark.createDataFrame(
-        [("Measles", "Mazelen"), ("Measles", "Other"), ("Rubeola", "Mazelen"), ("Gone", None)],
-        "national_name string, local_name string",
-    ).coalesce(1)
+        [("Measles", "Other", 5), ("Measles", "Mazelen", 2), ("Rubeola", "Mazelen", 3), ("Gone", None, 4)],
+        "national_name string, local_name string, list_order int",
+    ).repartition(3)
     national = spark.createDataFrame(
         [("Measles", 3), ("Rubeola", 4), ("Tetanus", 5), ("Gone", 6)], "national_name string, n long"
     )
@@ -203,8 +203,8 @@ def inputs(spark):
             [("Measles", 30), ("TB", 5), ("Tetanus", 10)], "national_name string, n long"
         ),
         name_link=spark.createDataFrame(
-            [("Measles", "Mazelen"), ("TB", "Tuberculose"), ("Polio", "Polio")],
-            "national_name string, local_name string",
+            [("Measles", "Mazelen", 1), ("TB", "Tuberculose", 2), ("Polio", "Polio", 3)],
+            "national_name string, local_name string, list_order int",
         ),
         population=spark.createDataFrame(people, "region string, pop_year int, population long, year int"),
     )
@@ -263,12 +263,12 @@ def test_report_series(report):
     assert len(measles) == 3 * 15
     assert measles[("BZO", day("2024-01-01"))] == (1, 1.0, 0.5)
     assert measles[("Zee", day("2024-02-01"))] == (1, 2.0, 1.0)
-    assert measles[("XYZ", day("2024-02-01"))] == (1, 0.0, 1.0)
+    assert measles[("OTHER_REGIONS", day("2024-02-01"))] == (1, 0.0, 1.0)
     scenarios = {(r.region, r.month_start): r.n for r in report.series["situations"].collect()}
     # Without the coronavirus agent, with the unknown one.
     assert scenarios[("BZO", day("2024-01-01"))] == 1
     noro = {(r.region, r.month_start): r.n for r in report.series["noro"].collect()}
-    assert noro[("BZO", day("2024-01-01"))] == 0 and noro[("ZL", day("2023-01-01"))] == 1
+    assert noro[("BZO", day("2024-01-01"))] == 0 and noro[("OTHER_REGIONS", day("2023-01-01"))] == 1
     calls = {r.region: (r.n, r.incidence_all) for r in report.series["calls"].collect()}
     assert calls == {"Zee": (3, 2.5), "BZO": (1, 2.5), None: (1, 2.5)}
 
@@ -345,7 +345,9 @@ def test_report_from_files_to_files(spark, tmp_path):
     diseases = table(spark.read.parquet(str(tmp_path / "out/tables/diseases")), "category")
     assert list(diseases["Mazelen"].values())[2:] == [1, 1, 20, 1.0, 1.0, 2.0, None]
     assert spark.read.parquet(str(tmp_path / "out/tables/top_topics")).columns == ["rank", "BZO_topic", "BZO_n"]
-    noro = spark.read.parquet(str(tmp_path / "out/series/noro")).collect()
+    assert built.modified.keys() == {"cases", "situations", "enquiries"}
+    charts = spark.read.parquet(str(tmp_path / "out/series/scenario_agents"))
+    noro = charts.filter("chart = 'noro'").collect()
     assert [(r.region, r.n, r.incidence_all) for r in noro] == [("BZO", 1, 0.5)]
 
 

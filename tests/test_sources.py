@@ -55,11 +55,38 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
     assert rows(read_events(spark, path, SMALL, multi_line=True)) == [("a\nb", 1, 2.5)]
 
 
-def test_files_with_another_header_are_refused(spark, tmp_path):
+def test_line_breaks_are_read_unless_excluded_and_then_stop_the_reading(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'Broad Topic,Count,Rate\n"a\nb",1,2.5\nc,2,3.5\n')
+    assert rows(read_events(spark, path, SMALL)) == [("a\nb", 1, 2.5), ("c", 2, 3.5)]
+    with pytest.raises(Exception, match="FAILFAST"):
+        read_events(spark, path, SMALL, multi_line=False).collect()
+    with pytest.raises(Exception, match="FAILFAST"):
+        read_events(spark, path, SMALL[1:2], multi_line=False).collect()
+    plain = write(tmp_path / "b.csv", "Broad Topic,Count,Rate\nc,2,3.5\n")
+    assert rows(read_events(spark, plain, SMALL, multi_line=False)) == [("c", 2, 3.5)]
+
+
+def test_files_are_read_by_their_own_header_and_separator(spark, tmp_path):
     write(tmp_path / "a.csv", "Broad Topic,Count,Rate\na,1,2.5\n")
-    write(tmp_path / "b.csv", "Count,Broad Topic,Rate\n1,a,2.5\n")
-    with pytest.raises(Exception, match="header does not conform"):
-        read_events(spark, str(tmp_path), SMALL).collect()
+    write(tmp_path / "b.csv", "Count,Broad Topic,Rate\n2,b,2.5\n")
+    write(tmp_path / "c d.csv", "Rate;Extra;Count;Broad Topic\n0,5;x;1.003;c\n")
+    assert rows(read_events(spark, str(tmp_path), SMALL)) == [("a", 1, 2.5), ("b", 2, 2.5), ("c", 1003, 0.5)]
+    both = [str(tmp_path / "b.csv"), str(tmp_path / "a.csv")]
+    assert rows(read_events(spark, both, SMALL)) == [("a", 1, 2.5), ("b", 2, 2.5)]
+
+
+def test_duplicated_headers_do_not_swap_columns_of_other_files(spark, tmp_path):
+    write(tmp_path / "a.csv", "Name,Agent,Scenario,Agent\n1,first,s,second\n")
+    write(tmp_path / "b.csv", "Scenario,Name,Agent,Agent\nt,2,other,last\n")
+    schema = (InputColumn("Name", "name"), InputColumn("Agent", "agent"), InputColumn("Scenario", "scenario"))
+    assert rows(read_events(spark, str(tmp_path), schema, duplicated=["Agent"])) == [("1", "first", "s"), ("2", "other", "t")]
+
+
+def test_order_of_the_files(spark, tmp_path):
+    write(tmp_path / "b.csv", "Broad Topic,Count,Rate\n" + "".join(f"b{i},1,2\n" for i in range(50)))
+    write(tmp_path / "a.csv", "Broad Topic,Count,Rate\na,1,2\n")
+    found = read_events(spark, str(tmp_path), SMALL, order="place").repartition(5).orderBy("place").collect()
+    assert [r.topic for r in found] == ["a", *(f"b{i}" for i in range(50))]
 
 
 def test_duplicated_header_means_its_first_column(spark, tmp_path):

@@ -303,9 +303,12 @@ def test_coverage(spark):
 
 
 def test_denominators_must_reach_the_report_year(spark):
-    people = spark.createDataFrame([("A", 2019), ("A", 2020)], "region string, pop_year int")
+    data = [("A", 2019, 5), ("A", 2020, 5), ("B", 2020, 0), ("C", 2020, None), ("C", 2021, None)]
+    people = spark.createDataFrame(data, "region string, pop_year int, population long")
     assert denominator_flags(people, 2021).first().fresh
     require_denominators(people, 2021)
-    for frame, year in ((people, 2022), (people.limit(0), 2021)):
+    require_denominators(people, 2021, ["A", "B"])
+    # A count that is not known does not serve, and every region needs one.
+    for frame, year, regions in ((people, 2022, ()), (people.limit(0), 2021, ()), (people, 2021, ("A", "C")), (people, 2021, ("A", "D"))):
         with pytest.raises(CoverageError):
-            require_denominators(frame, year)
+            require_denominators(frame, year, regions)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from epitally.plans.catalogue import QUARTERLY
+from workload import projections as p
 from workload.projections import REGIONS
 
 _PLACES = """
@@ -44,10 +46,15 @@ events AS (
     FROM lineitem JOIN regional_orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 )"""
 
-_POPULATION = """
+_YEARS = """
+population_years AS (
+    SELECT unnest(range((SELECT min(year(o_orderdate)) - 1 FROM orders), (SELECT max(year(o_orderdate)) + 1 FROM orders))) AS pop_year
+)"""
+
+_POPULATION = f"""{_YEARS},
 per_nation AS (
     SELECT n_name, r_name, y.pop_year, count(*) * 10000 + (y.pop_year - 1994) * 1000 AS inhabitants
-    FROM customer_regions CROSS JOIN (SELECT unnest(range(1994, 2002)) AS pop_year) y
+    FROM customer_regions CROSS JOIN population_years y
     GROUP BY n_name, r_name, y.pop_year
 ),
 population AS (
@@ -86,7 +93,7 @@ months AS (
 ),
 template AS (
     SELECT r.region, months.month_start, d.*
-    FROM (SELECT DISTINCT region FROM windowed) r CROSS JOIN months CROSS JOIN ({domain}) d
+    FROM (SELECT unnest({list(REGIONS)}) AS region UNION SELECT DISTINCT region FROM windowed) r CROSS JOIN months CROSS JOIN ({domain}) d
 )"""
 
 
@@ -231,7 +238,7 @@ ranked AS (
     FROM totals QUALIFY rank <= 5
 )"""
 
-_MUNICIPAL = f"""{_PLACES},
+_MUNICIPAL = f"""{_PLACES},{_YEARS},
 counted AS (
     SELECT c_nationkey, c_mktsegment, r_name,
            'GM' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || substr(c_mktsegment, 1, 2) AS municipality,
@@ -243,7 +250,7 @@ observations AS (
            customers * 100 + (y - 1994) * 10 AS value,
            CASE WHEN c_nationkey = 3 AND c_mktsegment = 'MACHINERY' AND y = 1997 THEN NULL
                 ELSE customers * 100 + (y - 1994) * 10 END AS population
-    FROM counted CROSS JOIN (SELECT unnest(range(1994, 2002)) AS y)
+    FROM counted CROSS JOIN (SELECT pop_year AS y FROM population_years)
 ),
 area AS (
     SELECT CAST(b AS INTEGER) AS boundary_year, municipality,
@@ -273,7 +280,8 @@ SELECT '{dataset}' AS dataset, {report} AS report,
        count(*) FILTER (quarter(event_date) = {report} AND year(event_date) = (SELECT max(year(event_date)) FROM {window})) > 0
            AS period_covered,
        min(year(event_date)) <= {year} AS starts_in_time,
-       (SELECT max(pop_year) FROM population) >= {year} - 1 AS fresh
+       (SELECT max(pop_year) FROM population) >= {year} - 1 AS fresh,
+       (SELECT count(DISTINCT region) FROM population WHERE pop_year = {year} - 1 AND population IS NOT NULL) = {len(REGIONS) + 2} AS complete
 FROM {window}"""
 
 
@@ -296,17 +304,10 @@ report_year AS (SELECT max(year(event_date)) AS y FROM cases),{_POPULATION}"""
     return head + " UNION ALL ".join(_flags(name, name, report) for report in (2, 4) for name in names)
 
 
+# The texts are not parsed here: their dates are known. A time after the date is not one for the first parser.
 _DATE_FORMS = """
 written AS (
-    SELECT l_linenumber AS form, CASE l_linenumber
-        WHEN 1 THEN strftime(l_shipdate, '%d/%m/%Y')
-        WHEN 2 THEN strftime(l_shipdate, '%-d-%-m-%Y')
-        WHEN 3 THEN strftime(l_shipdate, '%d.%m.%Y')
-        WHEN 4 THEN strftime(l_shipdate, '%d %m %Y')
-        WHEN 5 THEN '31/02/' || year(l_shipdate)
-        WHEN 6 THEN strftime(l_shipdate, '%d%m%Y')
-        ELSE strftime(l_shipdate, '%d/%m/%Y') || ' 13:45' END AS written
-    FROM lineitem
+    SELECT CAST(l_linenumber + 10 * (l_orderkey % 2) AS INTEGER) AS form, CAST(l_shipdate AS DATE) AS date FROM lineitem
 )"""
 
 _HARMONISE = """
@@ -321,8 +322,8 @@ FROM national LEFT JOIN link ON national.national_name = link.national_name GROU
 _NATION_COLUMNS = ", ".join(f"sum(n) FILTER (region = '{r}') AS {r}_n" for r in REGIONS)
 _SPARSE = f"""WITH {_CASES},
 cells AS (
-    SELECT region, category, count(*) AS n FROM events
-    WHERE date_trunc('month', event_date) = (SELECT date_trunc('month', max(event_date)) FROM events) GROUP BY ALL
+    SELECT region, category, CASE WHEN NOT (region = '{REGIONS[1]}' AND category IS NOT DISTINCT FROM '2-HIGH') THEN count(*) END AS n
+    FROM events GROUP BY region, category
 ),
 wide AS (SELECT category, {_NATION_COLUMNS} FROM cells GROUP BY category)"""
 
@@ -355,18 +356,16 @@ SELECT category, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'works
        WHEN merged IN ('1-URGENT', '2-HIGH') THEN 'fast' ELSE merged END AS classified, count(*) AS n
 FROM merged GROUP BY ALL""",
     "spelling": """
-SELECT p_name, regexp_replace(p_name, 'widg.t', 'gadget', 'g') AS unified, count(*) AS n FROM part GROUP BY ALL""",
+SELECT p_name, regexp_replace(p_name, 'widg.t', 'gadget', 'g') AS unified,
+       regexp_replace(p_name, '^[aeiouAEIOU]?[a-zA-Z]', '*') AS without_head, count(*) AS n FROM part GROUP BY ALL""",
     "id_prefix_region": f"""WITH {_PLACES},
 prefixed AS (SELECT split_part(n_name || '/' || c_custkey, '/', 1) AS prefix FROM customer_regions)
 SELECT prefix, CASE prefix WHEN 'NATION_3' THEN 'N3' WHEN 'NATION_8' THEN 'N8' ELSE prefix END AS region_kept,
        CASE prefix WHEN 'NATION_3' THEN 'N3' WHEN 'NATION_13' THEN 'N13' END AS region_known, count(*) AS n
 FROM prefixed GROUP BY ALL""",
     "parse_dates": f"""WITH {_DATE_FORMS}
-SELECT form,
-       CAST(try_strptime(written, ['%d/%m/%Y', '%d-%m-%Y', '%d.%m.%Y', '%d %m %Y', '%d%m%Y']) AS DATE) AS event_date,
-       CAST(try_strptime(regexp_extract(written, '^[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}'), '%d/%m/%Y') AS DATE)
-           AS leading_date,
-       count(*) AS n
+SELECT form, CASE WHEN form NOT IN (5, 7, 15) THEN date END AS event_date,
+       CASE WHEN form IN (1, 7) THEN date END AS leading_date, count(*) AS n
 FROM written GROUP BY ALL""",
     "report_window": f"""WITH {_CASES}
 SELECT CAST(year(event_date) AS INTEGER) AS year, CAST(quarter(event_date) AS INTEGER) AS quarter, region, count(*) AS n
@@ -378,7 +377,7 @@ GROUP BY ALL""",
     "dense_counts": f"WITH {_CASES},{_dense('category')} SELECT * FROM dense",
     "domain_dense_counts": f"""WITH {_CASES},{_dense('category', '''
     SELECT DISTINCT c_mktsegment AS category FROM customer
-    UNION SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority < '3' ''')} SELECT * FROM dense""",
+    UNION SELECT DISTINCT CASE WHEN o_orderpriority < '3' THEN o_orderpriority ELSE 'not ' || o_orderpriority END FROM orders ''')} SELECT * FROM dense""",
     "pair_dense_counts": f"WITH {_SITUATIONS},{_dense('scenario, agent')} SELECT * FROM dense",
     "region_rollup": f"""WITH {_ENQUIRIES},{_dense('topic')}
 SELECT CASE WHEN grouping(region) = 1 THEN 'ALL_REGIONS' ELSE region END AS region, month_start, topic,
@@ -466,6 +465,111 @@ SELECT CASE WHEN region = 'ALL_REGIONS' THEN 'Europe as a whole' ELSE region END
 FROM monthly GROUP BY 1""",
     "quality_flags": _all_flags(),
     "value_presence": f"""WITH {_CASES}
-SELECT v.value, coalesce(v.value IN (SELECT category FROM events WHERE category IS NOT NULL), FALSE) AS occurs
-FROM (SELECT unnest(['1-URGENT', '5-LOW', '9-NONE']) AS value) v""",
+SELECT v.series, v.value,
+       EXISTS (SELECT 1 FROM events WHERE category = v.value AND (v.year IS NULL OR year(event_date) = v.year)) AS occurs
+FROM (VALUES ('both', '1-URGENT', NULL), ('both', '9-NONE', NULL), ('left_out', '5-LOW', NULL), ('left_out', '0-NONE', NULL),
+             ('too_late', '2-HIGH', 2090)) v(series, value, year)""",
+}
+
+
+# The charts of the catalogue, on categories that are given their names.
+
+_CATALOGUE_NAMES = {
+    "diseases": ("category", "'1-URGENT' THEN 'Kinkhoest (Pertussis)' WHEN '2-HIGH' THEN 'Scabies' WHEN '3-MEDIUM' THEN 'Legionellose'"),
+    "topics": ("topic", "'Brand#1' THEN 'Scabies (Schurft)' WHEN 'Brand#2' THEN 'Buiktyfus' WHEN 'Brand#3' THEN 'Anders'"),
 }
+
+
+def _catalogue() -> str:
+    charts = []
+    for spec in QUARTERLY:
+        if spec.source not in _CATALOGUE_NAMES:
+            continue
+        by, names = _CATALOGUE_NAMES[spec.source]
+        name = f"CASE {by} WHEN {names} ELSE {by} END"
+        listed = lambda values: ", ".join(f"'{v}'" for v in values)
+        where = "TRUE"
+        if spec.include is not None:
+            where += f" AND {name} IN ({listed(spec.include)})"
+        if spec.exclude:
+            where += f" AND coalesce({name} NOT IN ({listed(spec.exclude)}), TRUE)"
+        if spec.years is not None:
+            where += f" AND year IN ({', '.join(map(str, spec.years))})"
+        head = _CASE_MONTHLY if spec.source == "diseases" else _TOPIC_MONTHLY
+        charts.append(f"SELECT '{spec.name}' AS chart, c.* FROM ({_series(head, where)}) c")
+    return " UNION ALL ".join(charts)
+
+
+ORACLE["series_catalogue"] = _catalogue()
+
+
+# Raw exports, cleaned by rules that are written out here.
+
+
+def _pick(key: str, values: list[str | None]) -> str:
+    listed = ", ".join("NULL" if v is None else "'" + v.replace("'", "''").replace("\n", "' || chr(10) || '") + "'" for v in values)
+    return f"([{listed}])[CAST(({key}) % {len(values)} AS INTEGER) + 1]"
+
+
+def _region(prefix: str) -> str:
+    return f"CASE {prefix} WHEN 'WBT' THEN 'WB' WHEN 'HVB' THEN 'HvB' WHEN 'ZEE' THEN 'Zee' WHEN 'NLG' THEN 'LN' WHEN 'ZLG' THEN 'ZL' ELSE {prefix} END"
+
+
+_RAW_CASES = f"""
+raw AS (
+    SELECT {_pick("o_custkey", p.PREFIXES)} AS prefix, CAST(o_orderdate AS DATE) AS event_date,
+           CASE o_orderpriority WHEN '1-URGENT' THEN 'Hepatitis B' WHEN '2-HIGH' THEN 'Kinkhoest (Pertussis)'
+                WHEN '4-NOT SPECIFIED' THEN 'COVID-19' WHEN '5-LOW' THEN 'Legionellose' END AS disease,
+           {_pick("o_orderkey", p.DIAGNOSES)} AS diagnosis,
+           o_orderkey % 11 = 0 AS cpe, o_orderkey % 13 = 0 AS dengue,
+           {_pick("o_orderkey // 8", p.CONFIDENCES)} AS confidence, o_totalprice < 20000 AS deleted,
+           {_pick("o_custkey + o_orderkey", p.STATUSES)} AS status, CAST(o_totalprice AS DECIMAL(18, 2)) AS amount
+    FROM orders
+)"""
+
+ORACLE["cleaned_cases"] = f"""WITH {_RAW_CASES},
+classified AS (
+    SELECT *, CASE WHEN diagnosis = '{p.DIAGNOSES[0]}' THEN 'Scabies' WHEN diagnosis = 'Acute hepatitis B' THEN 'Hepatitis B, acuut'
+                   WHEN diagnosis = 'Monkeypox' THEN 'Monkeypox' WHEN cpe THEN 'CPE' WHEN dengue THEN 'Dengue Fever'
+                   WHEN disease = 'Hepatitis B' THEN 'Hepatitis B, niet gespecificeerd' ELSE disease END AS category
+    FROM raw WHERE disease IS DISTINCT FROM 'COVID-19'
+)
+SELECT {_region("prefix")} AS region, CAST(date_trunc('month', event_date) AS DATE) AS month_start, category, count(*) AS n
+FROM classified
+WHERE category IS NOT NULL AND NOT deleted AND confidence IN ('Confirmed', 'Possible', 'Probable')
+  AND (coalesce(status IN ('Definitief', 'Gefiatteerd'), FALSE) OR (category = 'Scabies' AND status IS DISTINCT FROM 'Gewist'))
+GROUP BY ALL"""
+
+ORACLE["cleaned_situations"] = f"""
+SELECT {_region(_pick("l_suppkey", p.PREFIXES))} AS region, CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start,
+       CASE l_returnflag WHEN 'A' THEN '(leeg)' ELSE l_returnflag END AS scenario, nullif(l_linestatus, 'F') AS agent,
+       CASE l_linenumber WHEN 7 THEN '(leeg)' ELSE CAST(l_linenumber AS VARCHAR) END AS setting, count(*) AS n
+FROM lineitem WHERE l_discount > 0.05 GROUP BY ALL"""
+
+ORACLE["cleaned_enquiries"] = f"""
+WITH raw AS (
+    SELECT {_pick("l_suppkey", ["BZO", "HvB", "WB", "Zee", "LN", "ZL", None])} AS region, {_pick("l_partkey", p.TOPICS)} AS topic, l_shipdate
+    FROM lineitem WHERE l_returnflag <> 'A' AND l_linenumber < 7
+)
+SELECT region, CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start, topic, count(*) AS n
+FROM raw WHERE topic IS DISTINCT FROM 'COVID-19' GROUP BY ALL"""
+
+ORACLE["csv_cases"] = f"""WITH {_RAW_CASES}
+SELECT disease, diagnosis AS summary_diagnosis, confidence, status, count(*) AS n, CAST(sum(amount * 100) AS BIGINT) AS cents
+FROM raw GROUP BY ALL"""
+
+ORACLE["population_refresh"] = f"""WITH {_MUNICIPAL},
+cells AS (
+    SELECT CASE w.region WHEN 'EU' THEN 'Zee' ELSE 'WB' END AS region, o.pop_year, o.population FROM observations o
+    JOIN wanted w ON w.municipality = o.municipality AND w.boundary_year = {max(p.AREA_YEARS)}
+    WHERE o.pop_year BETWEEN {min(p.AREA_YEARS)} AND {max(p.AREA_YEARS)}
+),
+regional AS (SELECT region, pop_year, coalesce(sum(population), 0) AS population FROM cells GROUP BY ALL),
+stacked AS (
+    SELECT * FROM regional
+    UNION ALL SELECT 'ALL_REGIONS', pop_year, sum(population) FROM regional GROUP BY pop_year
+    UNION ALL SELECT 'NATIONAL', pop_year, population FROM nation_rows
+    WHERE pop_year BETWEEN {min(p.AREA_YEARS)} AND {max(p.AREA_YEARS)}
+)
+SELECT region, CAST(pop_year AS INTEGER) AS pop_year, CAST(population AS BIGINT) AS population, CAST(pop_year + 1 AS INTEGER) AS year
+FROM stacked"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from epitally.functions import (
 )
 from epitally.operators.checks import coverage_flags, denominator_flags
 from epitally.operators.counts import dense_counts, dense_template, monthly_counts, with_all_regions, zero_filled
-from epitally.operators.filters import admitted, at_period, report_window, report_year, window_counts
+from epitally.operators.filters import admitted, at_period, report_year, window_counts
 from epitally.operators.period_table import (
     DISEASE_STYLE,
     SITUATION_STYLE,
@@ -33,13 +34,17 @@ from epitally.operators.period_table import (
 )
 from epitally.operators.population import pivot_population, unpivot_years
 from epitally.operators.rates import drop_breakdown, to_period
-from epitally.operators.series import SeriesSpec, rename_all_regions, series
+from epitally.operators.series import SeriesSpec, missing_values, rename_all_regions, series
 from epitally.operators.topics import pivot_topics, top_topics
-from epitally.plans.cases import first_match, harmonise_names, national_incidence
+from epitally.plans.cases import clean_cases, first_link, harmonise_names, national_incidence
+from epitally.plans.catalogue import QUARTERLY, build_charts
 from epitally.plans.denominators import population_table
+from epitally.plans.enquiries import clean_enquiries
+from epitally.plans.inputs import read_wide_population, refresh_population
 from epitally.plans.monthly import less_detail, monthly_incidence, windowed_counts
-from epitally.sources import add_labels
-from epitally.staging import stage
+from epitally.plans.situations import clean_situations
+from epitally.sources import add_labels, normalize_columns, read_events, schemas, write_table
+from epitally.staging import stage, staging_dir
 from workload import projections as p
 from workload.projections import REGIONS, Tables
 
@@ -116,8 +121,13 @@ def classify_rules(t: Tables) -> DataFrame:
 
 @query
 def spelling(t: Tables) -> DataFrame:
-    parts = t.part.select("p_name", unify_spelling(F.col("p_name"), "widg.t", "gadget").alias("unified"))
-    return parts.groupBy("p_name", "unified").agg(F.count("*").alias("n"))
+    name = F.col("p_name")
+    parts = t.part.select(
+        "p_name",
+        unify_spelling(name, "widg.t", "gadget", only_with="widg").alias("unified"),
+        unify_spelling(name, "(?i)^[aeiou]?[a-z]", "*").alias("without_head"),
+    )
+    return parts.groupBy("p_name", "unified", "without_head").agg(F.count("*").alias("n"))
 
 
 @query
@@ -151,8 +161,9 @@ def parse_dates(t: Tables) -> DataFrame:
 
 @query
 def q_report_window(t: Tables) -> DataFrame:
-    windowed = with_date_parts(report_window(p.cases(t), QUARTER))
-    return windowed.groupBy("year", "quarter", "region").agg(F.count("*").alias("n"))
+    """The window on monthly counts, as a report has it: the events are read once."""
+    windowed = with_date_parts(windowed_counts(p.cases(t), [], QUARTER, "cases"), "month_start")
+    return windowed.groupBy("year", "quarter", "region").agg(F.sum("n").alias("n"))
 
 
 # Dense monthly counts and rates
@@ -172,44 +183,45 @@ def _enquiry_counts(t: Tables, report: Report = QUARTER) -> DataFrame:
 
 @query
 def dense_calendar(t: Tables) -> DataFrame:
-    return dense_template(_case_counts(t), ["category"])
+    return dense_template(_case_counts(t), ["category"], REGIONS)
 
 
 @query
 def q_dense_counts(t: Tables) -> DataFrame:
-    return dense_counts(_case_counts(t), ["category"])
+    return dense_counts(_case_counts(t), ["category"], REGIONS)
 
 
 @query
 def domain_dense_counts(t: Tables) -> DataFrame:
     """Categories from other tables: some that no case has, and only some of those that cases have."""
     segments = t.customer.select(F.col("c_mktsegment").alias("category"))
-    urgent = t.orders.select(F.col("o_orderpriority").alias("category")).filter(F.col("category") < "3")
-    return dense_counts(_case_counts(t), ["category"], segments.unionByName(urgent))
+    priority = F.col("o_orderpriority")
+    urgent = t.orders.select(F.when(priority < "3", priority).otherwise(F.concat(F.lit("not "), priority)).alias("category"))
+    return dense_counts(_case_counts(t), ["category"], REGIONS, segments.unionByName(urgent))
 
 
 @query
 def pair_dense_counts(t: Tables) -> DataFrame:
     pairs = ["scenario", "agent"]
-    return dense_counts(less_detail(_situation_counts(t), pairs), pairs)
+    return dense_counts(less_detail(_situation_counts(t), pairs), pairs, REGIONS)
 
 
 @query
 def region_rollup(t: Tables) -> DataFrame:
-    return with_all_regions(zero_filled(_enquiry_counts(t), ["topic"]), ["topic"])
+    return with_all_regions(zero_filled(_enquiry_counts(t), ["topic"], REGIONS), ["topic"])
 
 
 def _case_monthly(t: Tables, report: Report = QUARTER) -> DataFrame:
-    return monthly_incidence(_case_counts(t, report), ["category"], p.population(t))
+    return monthly_incidence(_case_counts(t, report), ["category"], p.population(t), REGIONS)
 
 
 def _pair_monthly(t: Tables, report: Report = QUARTER) -> DataFrame:
     pairs = ["scenario", "agent"]
-    return monthly_incidence(less_detail(_situation_counts(t, report), pairs), pairs, p.population(t))
+    return monthly_incidence(less_detail(_situation_counts(t, report), pairs), pairs, p.population(t), REGIONS)
 
 
 def _topic_monthly(t: Tables, report: Report = QUARTER) -> DataFrame:
-    return monthly_incidence(_enquiry_counts(t, report), ["topic"], p.population(t))
+    return monthly_incidence(_enquiry_counts(t, report), ["topic"], p.population(t), REGIONS)
 
 
 @query
@@ -242,12 +254,12 @@ def scenario_monthly(t: Tables) -> DataFrame:
 
 @query
 def population_wide(t: Tables) -> DataFrame:
-    return pivot_population(p.population(t), p.POPULATION_YEARS)
+    return pivot_population(p.population(t), t.population_years)
 
 
 @query
 def population_long(t: Tables) -> DataFrame:
-    return unpivot_years(population_wide(t), [str(y) for y in p.POPULATION_YEARS])
+    return unpivot_years(population_wide(t), [str(y) for y in t.population_years])
 
 
 @query
@@ -260,7 +272,7 @@ def population_fixed_boundaries(t: Tables) -> DataFrame:
     table = population_table(
         p.municipal_observations(t), p.area_map(t), "fixed", boundary_year=2001, region_names=STATISTICS_NAMES
     )
-    return pivot_population(table, p.POPULATION_YEARS)
+    return pivot_population(table, t.population_years)
 
 
 @query
@@ -276,10 +288,12 @@ def dimension_labels(t: Tables) -> DataFrame:
 @query
 def name_harmonise(t: Tables) -> DataFrame:
     national = t.part.groupBy(F.col("p_name").alias("national_name")).agg(F.count("*").alias("n"))
-    link = t.part.filter(F.col("p_size") <= 5).select(
-        F.col("p_name").alias("national_name"), F.col("p_type").alias("local_name"), "p_partkey"
+    link = t.part.select(
+        F.when(F.col("p_size") <= 5, F.col("p_name")).alias("national_name"),
+        F.col("p_type").alias("local_name"),
+        F.col("p_partkey").alias("list_order"),
     )
-    return harmonise_names(national, first_match(link, "national_name", "local_name", "p_partkey"))
+    return harmonise_names(national, first_link(link))
 
 
 # Period tables
@@ -295,7 +309,7 @@ def _disease_table(t: Tables, report: Report) -> DataFrame:
     diseases = counts.select("category")
     national = at_period(counts, year, report).groupBy("category").agg(F.sum("n").alias("n"))
     return period_table(
-        monthly_incidence(regional, ["category"], population, diseases),
+        monthly_incidence(regional, ["category"], population, REGIONS, diseases),
         "category",
         report,
         year,
@@ -331,22 +345,22 @@ def scenario_table(t: Tables) -> DataFrame:
 @query
 def setting_table(t: Tables) -> DataFrame:
     counts = less_detail(_situation_counts(t), ["setting"])
-    monthly = monthly_incidence(counts, ["setting"], p.population(t))
+    monthly = monthly_incidence(counts, ["setting"], p.population(t), REGIONS)
     return period_table(monthly, "setting", QUARTER, _report_year(t, QUARTER), REGIONS, SITUATION_STYLE)
 
 
 @query
 def setting_table_year(t: Tables) -> DataFrame:
     counts = less_detail(_situation_counts(t, YEAR), ["setting"])
-    monthly = monthly_incidence(counts, ["setting"], p.population(t))
+    monthly = monthly_incidence(counts, ["setting"], p.population(t), REGIONS)
     return period_table(monthly, "setting", YEAR, _report_year(t, YEAR), REGIONS, SITUATION_STYLE)
 
 
 def _sparse_cells(t: Tables) -> DataFrame:
-    """Counts of the latest, partial month; regions without an event there stay NULL."""
-    counts = stage(monthly_counts(p.cases(t), ["category"]), "cases")
-    latest = counts.agg(F.max("month_start")).first()[0]
-    cells = counts.filter(F.col("month_start") == latest).withColumn("population", F.lit(0).cast("long"))
+    """Counts of all cases; one region's count of one category is not known."""
+    counts = monthly_counts(p.cases(t), ["category"]).groupBy("region", "category").agg(F.sum("n").alias("n"))
+    unknown = (F.col("region") == REGIONS[1]) & F.col("category").eqNullSafe(F.lit("2-HIGH"))
+    cells = counts.select("region", "category", F.when(~unknown, F.col("n")).alias("n"), F.lit(0).cast("long").alias("population"))
     return pivot_regions(cells, ["category"], REGIONS)
 
 
@@ -437,33 +451,133 @@ def display_names(t: Tables) -> DataFrame:
 
 @query
 def quality_flags(t: Tables) -> DataFrame:
-    """What the guards look at, per data set and report kind."""
-    sources = {
-        "cases": monthly_counts(p.cases(t), []),
-        "situations": monthly_counts(p.situations(t), []),
-        "enquiries": monthly_counts(p.enquiries(t), []),
+    """What the guards look at, per data set and report kind, from one pass over each event table."""
+    items = stage(monthly_counts(p.line_events(t), ["situation"]), "items")
+    staged = {
+        "cases": stage(monthly_counts(p.cases(t), []), "cases"),
+        "situations": items.filter("situation"),
+        "enquiries": items,
     }
-    staged = {name: stage(counts, name) for name, counts in sources.items()}
     population = p.population(t)
+    needed = [*REGIONS, LABELS.all_regions, LABELS.national]
     flags = []
     for report in (QUARTER, LAST_QUARTER):
         windowed = {name: window_counts(counts, report) for name, counts in staged.items()}
         year = report_year(windowed["cases"])
-        fresh = denominator_flags(population, year).select("fresh").scalar()
+        serving = denominator_flags(population, year, needed).first()
         for name, counts in windowed.items():
             flags.append(
                 coverage_flags(counts, report, year).select(
-                    F.lit(name).alias("dataset"), F.lit(report.kind).alias("report"), "*", fresh.alias("fresh")
+                    F.lit(name).alias("dataset"),
+                    F.lit(report.kind).alias("report"),
+                    "*",
+                    F.lit(serving.fresh).alias("fresh"),
+                    F.lit(serving.complete).alias("complete"),
                 )
             )
     return _union(flags)
 
 
+PRESENCE_SPECS = (
+    SeriesSpec("both", "cases", include=("1-URGENT", "9-NONE")),
+    SeriesSpec("left_out", "cases", exclude=("5-LOW", "0-NONE")),
+    SeriesSpec("too_late", "cases", include=("2-HIGH",), years=(2090,)),
+)
+
+
 @query
 def value_presence(t: Tables) -> DataFrame:
-    """Which requested categories occur, over all cases."""
-    wanted = F.lit(["1-URGENT", "5-LOW", "9-NONE"])
-    seen = p.cases(t).agg(F.collect_set(F.when(F.array_contains(wanted, F.col("category")), F.col("category"))).alias("seen"))
-    return seen.select(F.explode(wanted).alias("value"), "seen").select(
-        "value", F.array_contains("seen", F.col("value")).alias("occurs")
-    )
+    """What the check of the requested chart values misses, over all cases."""
+    counts = stage(monthly_counts(p.cases(t), ["category"]), "cases").withColumn("year", F.year("month_start"))
+    missing = missing_values(counts, "category", PRESENCE_SPECS)
+    asked = [(spec.name, value, value not in missing[spec.name]) for spec in PRESENCE_SPECS for value in (*spec.exclude, *(spec.include or ()))]
+    return t.spark.createDataFrame(asked, "series string, value string, occurs boolean")
+
+
+# Charts of the catalogue, cleaning of raw exports, and files
+
+
+CATALOGUE_CATEGORIES = {"1-URGENT": "Kinkhoest (Pertussis)", "2-HIGH": "Scabies", "3-MEDIUM": "Legionellose"}
+CATALOGUE_TOPICS = {"Brand#1": "Scabies (Schurft)", "Brand#2": "Buiktyfus", "Brand#3": "Anders"}
+
+
+@query
+def series_catalogue(t: Tables) -> DataFrame:
+    """The shipped charts of two sources, the charts of a source from one pass."""
+    cases = p.cases(t).withColumn("category", recode(F.col("category"), CATALOGUE_CATEGORIES))
+    topics = p.enquiries(t).withColumn("topic", recode(F.col("topic"), CATALOGUE_TOPICS))
+    population = p.population(t)
+    monthly = {
+        "diseases": monthly_incidence(windowed_counts(cases, ["category"], QUARTER, "cases"), ["category"], population, REGIONS),
+        "topics": monthly_incidence(windowed_counts(topics, ["topic"], QUARTER, "enquiries"), ["topic"], population, REGIONS),
+    }
+    staged = {name: stage(df, name) for name, df in monthly.items()}
+    return _union(build_charts(staged, [spec for spec in QUARTERLY if spec.source in staged]).values())
+
+
+@query
+def cleaned_cases(t: Tables) -> DataFrame:
+    raw = normalize_columns(p.raw_cases(t))
+    named = raw.select(*(F.col(f"`{c.header}`").alias(c.name) for c in schemas.CASES))
+    return monthly_counts(clean_cases(named), ["category"])
+
+
+@query
+def cleaned_situations(t: Tables) -> DataFrame:
+    return monthly_counts(clean_situations(p.raw_situations(t)), ["scenario", "agent", "setting"])
+
+
+@query
+def cleaned_enquiries(t: Tables) -> DataFrame:
+    return monthly_counts(clean_enquiries(p.raw_enquiries(t)), ["topic"])
+
+
+def _scratch(t: Tables, name: str) -> str:
+    return f"{staging_dir(t.spark)}/epitally/{name}-{uuid4().hex}"
+
+
+@query
+def csv_cases(t: Tables) -> DataFrame:
+    """The raw cases as two exports: their columns in another order, one with semicolons and decimal commas."""
+    raw = p.raw_cases(t).withColumn("_half", F.col("Amount").cast("double").cast("long") % 2)
+    folder = _scratch(t, "cases-csv")
+    quoting = {"header": True, "quote": '"', "escape": '"', "emptyValue": ""}
+    first, second = raw.filter("_half = 0").drop("_half"), raw.filter("_half <> 0").drop("_half")
+    first.write.options(**quoting).csv(f"{folder}/first")
+    comma = second.withColumn("Amount", F.replace(F.col("Amount").cast("string"), F.lit("."), F.lit(",")))
+    comma.select(*reversed(second.columns)).write.options(sep=";", **quoting).csv(f"{folder}/second")
+    schema = (*schemas.CASES, schemas.InputColumn("Amount", "amount", "double"))
+    read = read_events(t.spark, [f"{folder}/first", f"{folder}/second"], schema)
+    cents = F.round(F.col("amount") * 100).cast("long")
+    return read.groupBy("disease", "summary_diagnosis", "confidence", "status").agg(F.count("*").alias("n"), F.sum(cents).alias("cents"))
+
+
+@query
+def population_refresh(t: Tables) -> DataFrame:
+    """Municipal counts, area tables and their dictionaries as files; regional population written and read back."""
+    folder = _scratch(t, "population")
+    names = {"EUROPE": "GGD Zeeland", "ASIA": "GGD West-Brabant"}
+    observations = p.municipal_observations(t).toDF("RegioS", "Perioden", "BevolkingAanHetBeginVanDePeriode_1")
+    write_table(observations, f"{folder}/observations.parquet")
+    areas, dictionaries = {}, {}
+    for year in p.AREA_YEARS:
+        # The columns of the regions move from year to year; the dictionary tells them.
+        code, name = f"Code_{year % 10}{year % 2}", f"Naam_{year % 10}{year % 2 + 1}"
+        area = p.area_map(t).filter(F.col("boundary_year") == year).select(
+            F.rpad("municipality", 10, " ").alias("Code_1"),
+            F.upper("municipality").alias("Naam_2"),
+            F.lit("GG").alias(code),
+            F.concat(recode(F.col("region_name"), names), F.lit("  ")).alias(name),
+        )
+        areas[year], dictionaries[year] = f"{folder}/area{year}", f"{folder}/dictionary{year}"
+        quoting = {"header": True, "quote": '"', "escape": '"', "ignoreTrailingWhiteSpace": False}
+        area.write.options(**quoting).csv(areas[year])
+        columns = [
+            (21, 5, "TopicGroup", "", "GGD-regio's", None),
+            (22, 21, "Topic", code, "Code", 14),
+            (23, 21, "Topic", name, "Naam", 15),
+        ]
+        dictionary = t.spark.createDataFrame(columns, "ID int, ParentID int, Type string, Key string, Title string, Position int")
+        dictionary.write.options(**quoting).csv(dictionaries[year])
+    refresh_population(t.spark, f"{folder}/observations.parquet", areas, dictionaries, f"{folder}/wide.parquet", "fixed")
+    return read_wide_population(t.spark, f"{folder}/wide.parquet")
