@@ -8,7 +8,8 @@ ORACLE["op5_mix_sources"] = r"""
 WITH sized AS (
     SELECT doc_id, source,
            coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-           ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 6))::INT AS draw
+           md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS hash,
+           ('0x' || substr(hash, 1, 6))::INT AS draw, ('0x' || substr(hash, 7, 6))::INT AS draw2
     FROM documents
 ), sources AS (
     SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
@@ -26,32 +27,23 @@ WITH sized AS (
     SELECT source, source_size, least((3 * source_size)::DOUBLE, weight * level) AS target,
            CASE WHEN source_size > 0 THEN floor(least((3 * source_size)::DOUBLE, weight * level) / source_size)::BIGINT ELSE 0 END AS whole
     FROM weighted, top
-), running AS (
-    SELECT s.doc_id, s.size, t.source_size, t.target, t.whole, s.draw, t.target - t.whole * t.source_size AS need,
-           sum(s.size) OVER by_range AS upto_range, sum(s.size) OVER by_draw AS upto_draw,
-           s.source, s.draw // 4096 AS part
+), first AS (
+    SELECT s.*, t.source_size, t.target, t.whole, t.target - t.whole * t.source_size AS need,
+           sum(s.size) OVER (PARTITION BY s.source ORDER BY s.draw RANGE UNBOUNDED PRECEDING) AS upto,
+           sum(s.size) OVER (PARTITION BY s.source, s.draw) AS here
     FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
-    WINDOW by_range AS (PARTITION BY s.source ORDER BY s.draw // 4096 RANGE UNBOUNDED PRECEDING),
-           by_draw AS (PARTITION BY s.source ORDER BY s.draw RANGE UNBOUNDED PRECEDING)
-), edges AS (
-    SELECT source, min(part) AS edge FROM running WHERE upto_range > need GROUP BY source
-), same_draw AS (
-    SELECT source, draw, sum(size) AS here FROM sized GROUP BY source, draw
-), cut AS (
-    SELECT r.source, max(r.draw) AS last
-    FROM running r JOIN edges e ON r.source IS NOT DISTINCT FROM e.source AND r.part = e.edge
-    JOIN same_draw d ON r.source IS NOT DISTINCT FROM d.source AND r.draw = d.draw
-    WHERE 2 * r.upto_draw - d.here <= 2 * r.need GROUP BY r.source
+), taken AS (
+    SELECT * EXCLUDE (upto, here), need > 0 AND 2 * upto - here <= 2 * need AS chosen FROM first
+), rests AS (
+    SELECT *, need - sum(CASE WHEN chosen THEN size ELSE 0 END) OVER (PARTITION BY source) AS rest FROM taken
+), able AS (
+    SELECT *, chosen = (rest < 0) AND size <= abs(rest) AND size > 0 AS able FROM rests
+), second AS (
+    SELECT *, able AND 2 * sum(CASE WHEN able THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY draw2 RANGE UNBOUNDED PRECEDING)
+                      - sum(CASE WHEN able THEN size ELSE 0 END) OVER (PARTITION BY source, draw2) <= 2 * abs(rest) AS changes
+    FROM able
 )
-SELECT r.doc_id, r.size, r.source_size, r.target,
-       (r.size * (r.whole + CASE
-           WHEN e.edge IS NULL THEN (r.need > 0)::BIGINT
-           WHEN r.part < e.edge THEN 1
-           WHEN r.part = e.edge AND r.draw <= c.last THEN 1
-           ELSE 0 END))::BIGINT AS taken
-FROM running r
-LEFT JOIN edges e ON r.source IS NOT DISTINCT FROM e.source
-LEFT JOIN cut c ON r.source IS NOT DISTINCT FROM c.source
+SELECT doc_id, size, source_size, target, (size * (whole + (chosen <> changes)::BIGINT))::BIGINT AS taken FROM second
 """
 
 ORACLE["op2_chat_format"] = r"""
