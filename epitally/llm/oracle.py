@@ -132,3 +132,29 @@ WITH vectors AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id, vector ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
 FROM scored QUALIFY rank <= 5
 """
+
+ORACLE["op10_minhash_neardup"] = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(words) >= 3 THEN list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])
+        WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
+    FROM worded
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 100 * common >= 85 * (s.n + t.n - common)
+), edges AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(doc_id, other) AS (
+    SELECT a, b FROM edges UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.other = e.a
+), components AS (
+    SELECT doc_id, least(doc_id, min(other)) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM worded LEFT JOIN sizes USING (doc_id) LEFT JOIN components USING (doc_id)
+"""
