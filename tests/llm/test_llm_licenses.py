@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from epitally.llm.license_texts import NOTICES, TEXTS
 from epitally.llm.licenses import THRESHOLD, scan
@@ -28,7 +29,7 @@ def brute(text):
 
 def test_matches_equal_brute_force(spark):
     mit = dict(TEXTS)["MIT"]
-    wrapped = "\n".join(mit[i : i + 72] for i in range(0, len(mit), 72))
+    wrapped = textwrap.fill(mit, 72)
     texts = [t for _, t in NOTICES + TEXTS] + [
         wrapped, wrapped + "\n\nSome other words follow.", "Title\n\n" + wrapped + "\n\n" + dict(TEXTS)["ISC"], mit.replace("Software", "Program"), mit[: len(mit) // 2],
         "first\nRELEASED   under the *MIT* license\nlast", "Released under the MIT", "This work is licensed under the GNU General Public License, version 4.",
