@@ -59,8 +59,8 @@ class DecontaminateSpec:
     recall: float = 0.99
     most_repetitions: int = 64
     seed: int = 7
-    #: Bytes of item text that go to the tasks at once.
-    block_bytes: int = 8 << 20
+    #: Bytes of item text that go to the tasks at once; their index takes some forty times as much memory.
+    block_bytes: int = 4 << 20
 
     def width(self, words: int) -> int:
         """Window and stride for an item: a power of two, at most half of its words."""
@@ -160,9 +160,11 @@ class BenchmarkIndex:
             embedding = Embedding(width, repetition, self.spec)
             keys = embedding.keys(joined, starts)
             order = np.argsort(keys, kind="stable")
-            passes = np.zeros(1 << 18, bool)
-            passes[keys >> np.uint64(46)] = True
-            self.tables.append((embedding, keys[order], item[order], offset[order], passes))
+            # Some eight places per window and more, so that few other keys pass.
+            bits = max(18, len(keys).bit_length() + 3)
+            passes = np.zeros(1 << bits, bool)
+            passes[keys >> np.uint64(64 - bits)] = True
+            self.tables.append((embedding, keys[order], item[order].astype(np.int32), offset[order].astype(np.int32), passes))
             if missed.after(embedding, keys, item, of) <= 1 - self.spec.recall:
                 break
 
@@ -174,7 +176,7 @@ class BenchmarkIndex:
             if width not in starts:
                 starts[width] = window_starts(begin, end, width, width)
             keys = embedding.keys(words, starts[width])
-            maybe = np.flatnonzero(passes[keys >> np.uint64(46)])
+            maybe = np.flatnonzero(passes[keys >> np.uint64(65 - len(passes).bit_length())])
             low = np.searchsorted(known, keys[maybe], "left")
             many = np.searchsorted(known, keys[maybe], "right") - low
             hit = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)

@@ -50,7 +50,7 @@ def _passages() -> Column:
 
     def listed(parts: Column, kind: str, split: str) -> Column:
         return F.transform(
-            parts, lambda p, i: F.struct(F.lit(kind).alias("unit"), i.alias("passage"), F.split(F.trim(p), split).alias("words"))
+            parts, lambda p, i: F.struct(F.lit(kind).alias("unit"), i.alias("passage"), F.split(F.trim(p, F.lit(" \n")), split).alias("words"))
         )
 
     several = F.col("_plain").contains("\n\n") | F.col("_plain").contains("\n \n")

@@ -33,7 +33,7 @@ def test_matches_equal_brute_force(spark):
     texts = [t for _, t in NOTICES + TEXTS] + [
         wrapped, wrapped + "\n\nSome other words follow.", "Title\n\n" + wrapped + "\n\n" + dict(TEXTS)["ISC"], mit.replace("Software", "Program"), mit[: len(mit) // 2],
         "first\nRELEASED   under the *MIT* license\nlast", "Released under the MIT", "This work is licensed under the GNU General Public License, version 4.",
-        "license " * 5000, "a b " * 20000 + "\nReleased under the MIT License.", "", "one", "\n\n\n", " \n \n", "ß\n\nÜ " * 3,
+        "license " * 5000, "a b " * 20000 + "\nReleased under the MIT License.", "", "one", "\n\n\n", " \n \n", "ß\n\nÜ " * 3, "\n\nReleased under\nthe MIT License.\n", "\nReleased under\nthe MIT License.",
     ]
     docs = spark.createDataFrame([*((i, t, None) for i, t in enumerate(texts)), (900, None, None), (None, texts[0], None), (0, texts[0], None)], SCHEMA)
     found = {}
