@@ -16,9 +16,17 @@ from epitally.staging import stage
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents whose language can be told; those without any letter go."""
-    predicted = language.predict(docs, language.fit(docs))
-    return predicted.filter(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
+    """Documents whose language can be told; those without any letter or far from every learned language go.
+
+    The classifier does not judge where it has learned nothing: without any label, and
+    for documents whose own label is not among the learned ones, a letter is enough.
+    """
+    model = language.fit(docs)
+    if model is None:
+        return docs.filter(language.has_letters(F.col("text")))
+    unlearned = F.coalesce(~F.col("lang").isin(model.languages), F.lit(False)) & language.has_letters(F.col("text"))
+    predicted = language.predict(docs, model)
+    return predicted.filter((F.col("lang_pred") != language.UNDETERMINED) | unlearned).select(*docs.columns)
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

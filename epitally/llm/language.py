@@ -12,7 +12,13 @@ by ``per_language`` and ``most_languages``; only feature vectors travel there.
 The machines are a few numbers per feature, so prediction runs where the text is
 read, and nothing is shuffled.
 
-Defined results: a NULL text, or one without any letter, is ``und`` with score 0;
+A text far from the language it is given is rejected. Its likeness is the cosine of its
+features and the mean of the language's learned rows. The limit is a share of what
+all but one percent of the learned rows reach against the mean of the others. Texts with
+few different trigrams are not judged, as their likeness says little, and a language
+with few learned rows rejects nothing.
+
+Defined results: a NULL text, one without any letter or a rejected one is ``und`` with score 0;
 languages that the family table does not list form one family; with one learned
 language every text with letters gets it, and with none every text is ``und``;
 equal votes go to the larger margin; texts of any length are read whole; repeated
@@ -63,6 +69,12 @@ class LanguageSpec:
     most_rows: int = 3200
     #: The margin at which a decision is as good as certain.
     certain: float = 1.0
+    #: A text is rejected below this share of the likeness that its language's texts have.
+    likeness: float = 0.5
+    #: Texts with fewer different trigrams are not rejected.
+    least_trigrams: int = 128
+    #: Languages with fewer learned rows of so many trigrams reject nothing.
+    least_rows: int = 10
 
 
 def features(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -99,6 +111,31 @@ class LanguageModel:
             self._train(rows, label, languages, f)
         self.weights = np.stack(self.weights, axis=1).astype(np.float32) if self.weights else np.zeros((_FEATURES, 0), np.float32)
         self.biases = np.array(self.biases, np.float32)
+        self.least_trigrams = spec.least_trigrams
+        self.languages = sorted(set(labels))
+        self.means, self.limits = np.zeros((_FEATURES, len(self.languages)), np.float32), np.zeros(len(self.languages), np.float32)
+        for i, language in enumerate(self.languages):
+            self.means[:, i], self.limits[i] = self._likeness(rows[label == language], spec)
+
+    @staticmethod
+    def _likeness(own: np.ndarray, spec: LanguageSpec) -> tuple[np.ndarray, float]:
+        """The mean direction of a language's rows, and the likeness below which a text is rejected."""
+        total = own.sum(axis=0, dtype=np.float64)
+        mean = total / np.linalg.norm(total)
+        long = own[np.count_nonzero(own, axis=1) >= spec.least_trigrams]
+        if len(long) < max(2, spec.least_rows):
+            return mean, 0.0
+        # Against the mean of the other rows: with its own share in it, any row would be near.
+        dot = long @ total
+        norms = (long.astype(np.float64) ** 2).sum(axis=1)
+        others = np.sqrt(np.maximum(total @ total - 2 * dot + norms, 1e-12))
+        return mean, spec.likeness * max(0.0, float(np.quantile((dot - norms) / others, 0.01)))
+
+    def rejected(self, rows: np.ndarray, names: list[str]) -> np.ndarray:
+        """Whether each row is too far from the language it was given."""
+        at = np.searchsorted(self.languages, names)
+        near = (rows @ self.means)[np.arange(len(rows)), at]
+        return (np.count_nonzero(rows, axis=1) >= self.least_trigrams) & (near < self.limits[at])
 
     def _train(self, rows: np.ndarray, of: np.ndarray, choices: list[str], family: str | None) -> None:
         for a, b in combinations(range(len(choices)), 2):
@@ -181,9 +218,11 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
             data, at = W.buffer(batch.column("text"))
             for low in range(0, batch.num_rows, 256):
                 part = at[low : low + 257]
-                name, score = model.predict(features(data[part[0] : part[-1]], part - part[0]))
-                names += name
-                scores.append(score)
+                rows = features(data[part[0] : part[-1]], part - part[0])
+                name, score = model.predict(rows)
+                out = model.rejected(rows, name)
+                names += np.where(out, UNDETERMINED, np.array(name, object)).tolist()
+                scores.append(np.where(out, 0.0, score))
             letters = batch.column("_letters").to_numpy(zero_copy_only=False)
             name = np.where(letters, np.array(names, object), UNDETERMINED)
             score = np.where(letters, np.concatenate(scores) if scores else np.zeros(0), 0.0)

@@ -1,3 +1,6 @@
+import base64
+import random
+
 from pyspark.sql import functions as F
 
 from epitally.llm import language
@@ -41,6 +44,25 @@ def test_one_label_and_none(spark):
     assert language.predict(docs.limit(0), language.fit(docs)).count() == 0
 
 
+RNG = random.Random(1)
+NOISE = [
+    " ".join("".join(RNG.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) for _ in range(90)),
+    base64.b64encode(RNG.randbytes(900)).decode(),
+    "".join(chr(RNG.randrange(0x3041, 0x3090)) for _ in range(400)),
+    "".join(chr(RNG.randrange(0x430, 0x450)) + " " * (RNG.random() < 0.2) for _ in range(900)),
+]
+
+
+def test_texts_far_from_every_language_are_rejected(spark, data_dir):
+    docs = spark.read.parquet(data_dir.replace("sf0.001", "sf0.01") + "/documents.parquet").select("doc_id", "text", "lang")
+    model = language.fit(docs)
+    assert (model.limits > 0).all()
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(spark.createDataFrame(list(enumerate(NOISE)), "doc_id long, text string"), model).collect()}
+    assert found == {i: ("und", 0.0) for i in range(len(NOISE))}
+    clean = language.predict(docs.filter(language.has_letters(F.col("text"))), model)
+    assert clean.filter("lang_pred = 'und'").count() == 0
+
+
 def test_training_is_the_same_each_time(spark):
     a, b = (language.fit(labelled(spark).repartition(n)) for n in (1, 3))
     assert (a.weights == b.weights).all() and (a.biases == b.biases).all()

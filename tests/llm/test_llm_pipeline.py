@@ -85,6 +85,18 @@ def test_run_gives_the_last_stage(spark, results, data_dir):
     assert sorted(found.select(key).collect()) == sorted(spark.read.parquet(results[5]).select(key).collect())
 
 
+def test_language_rejects_planted_noise_and_keeps_what_it_cannot_judge(spark, data_dir):
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet")
+    size = docs.count()
+    noise = " ".join("bcdfghjklmnpqrstvwxz"[(i * i * 7 + i * j * 3 + j) % 20] * (j % 2 + 1) + "qxzkv"[(i + j) % 5] for j in range(9) for i in range(40))
+    planted = spark.createDataFrame([(-1, noise, "en", "a", 3), (-2, noise, None, "a", 3), (-3, "1 2 3", "en", "a", 3)], docs.schema)
+    kept = corpus_pipeline.keep_identified(spark, docs.unionByName(planted), data_dir)
+    assert kept.filter("doc_id < 0").count() == 0
+    assert kept.count() == size
+    unlabelled = docs.unionByName(planted).withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.keep_identified(spark, unlabelled, data_dir).count() == size + 2
+
+
 def test_stages_take_an_empty_table(spark, data_dir):
     empty = spark.createDataFrame([], spark.read.parquet(f"{data_dir}/documents.parquet").schema)
     for _, function in corpus_pipeline.STAGES:
