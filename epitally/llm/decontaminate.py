@@ -14,7 +14,9 @@ away from it, in inserted, dropped and replaced words.
    edit distance becomes a small Hamming distance.
 3. A repetition samples a few places of the embedding. Windows with equal samples
    are candidates. The number of repetitions is found by trial edits of the items
-   themselves, so that the wanted share of occurrences at the full tolerance is found.
+   themselves, until the wanted share of occurrences at the full tolerance is found for
+   items of every length. Lengths that fall short go on with narrower windows, which
+   edits hit less often; if the narrowest ones leave a length short, a warning names it.
 4. Candidates are verified by the exact edit distance of the item to its best
    stretch of the text around the window, which Myers' bit vectors compute.
 
@@ -32,6 +34,7 @@ columns beyond doc_id and text, item_id and text are not used.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -57,6 +60,9 @@ class DecontaminateSpec:
     sampled: float = 0.44
     #: Share of occurrences at the full tolerance that the repetitions have to find.
     recall: float = 0.99
+    #: Repetitions of one width; item lengths that then fall short go on with windows of half the width.
+    repetitions: int = 8
+    #: Repetitions of the narrowest width.
     most_repetitions: int = 64
     seed: int = 7
     #: Bytes of item text that go to the tasks at once; their index takes some forty times as much memory.
@@ -143,20 +149,22 @@ class BenchmarkIndex:
             if len(own) >= spec.least_words:
                 self.ids.append(item_id)
                 self.items.append(own)
+        #: The share of trial edits that was missed, by the words of the items.
+        self.missed: dict[int, float] = {}
         self.tables: list[tuple[Embedding, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for width in sorted({spec.width(len(w)) for w in self.items}):
-            self._index(width)
+            self._index(width, [i for i, w in enumerate(self.items) if self.spec.width(len(w)) == width])
 
-    def _index(self, width: int) -> None:
-        of = [i for i, w in enumerate(self.items) if self.spec.width(len(w)) == width]
+    def _index(self, width: int, of: list[int]) -> None:
         joined = np.concatenate([self.items[i] for i in of])
         end = np.cumsum([len(self.items[i]) for i in of])
         begin = end - [len(self.items[i]) for i in of]
         starts = window_starts(begin, end, width, 1)
         place = np.searchsorted(end, starts, "right")
         item, offset = np.array(of)[place], starts - begin[place]
-        missed = _Trials([self.items[i] for i in of], width, self.spec)
-        for repetition in range(self.spec.most_repetitions):
+        trials = _Trials([self.items[i] for i in of], width, self.spec)
+        most = self.spec.most_repetitions if width <= 2 else min(self.spec.most_repetitions, self.spec.repetitions)
+        for repetition in range(most):
             embedding = Embedding(width, repetition, self.spec)
             keys = embedding.keys(joined, starts)
             order = np.argsort(keys, kind="stable")
@@ -165,8 +173,15 @@ class BenchmarkIndex:
             passes = np.zeros(1 << bits, bool)
             passes[keys >> np.uint64(64 - bits)] = True
             self.tables.append((embedding, keys[order], item[order].astype(np.int32), offset[order].astype(np.int32), passes))
-            if missed.after(embedding, keys, item, of) <= 1 - self.spec.recall:
+            missed = trials.after(embedding, keys, place)
+            if max(missed.values()) <= 1 - self.spec.recall:
                 break
+        self.missed |= missed
+        short = {words: round(1 - share, 3) for words, share in missed.items() if share > 1 - self.spec.recall}
+        if short and width > 2:
+            self._index(width // 2, [i for i, g in zip(of, trials.group.tolist(), strict=True) if g in short])
+        elif short:
+            warnings.warn(f"{most} repetitions reach less than a recall of {self.spec.recall} for items of so many words: {short}", stacklevel=2)
 
     def candidates(self, words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Text, item, and place in ``words`` where it would begin, of windows with equal samples."""
@@ -209,36 +224,44 @@ class BenchmarkIndex:
 
 
 class _Trials:
-    """Edited items that the repetitions so far have not found."""
+    """Edited items that the repetitions so far have not found, in groups of items of equal length."""
 
     def __init__(self, items: list[np.ndarray], width: int, spec: DecontaminateSpec):
         rng = np.random.default_rng([spec.seed, width])
-        picked = rng.choice(len(items), min(len(items), 256), replace=False)
-        texts, self.of = [], []
-        for i in picked.tolist():
-            for _ in range(-(-1024 // len(picked))):
+        #: The group of each item: its words, from 64 on the power of two below.
+        self.group = np.array([len(w) if len(w) < 64 else 1 << (len(w).bit_length() - 1) for w in items])
+        texts, of = [], []
+        for group in np.unique(self.group).tolist():
+            own = np.flatnonzero(self.group == group)
+            picked = rng.choice(own, min(len(own), 256), replace=False)
+            for i in np.repeat(picked, -(-512 // len(picked))).tolist():
                 text = items[i].tolist()
                 for _ in range(int(spec.tolerance * len(text))):
                     at, kind = int(rng.integers(len(text))), int(rng.integers(3))
                     text[at : at + (kind != 0)] = [int(rng.integers(1 << 62))] if kind != 2 else []
                 texts.append(np.array([*rng.integers(1 << 62, size=int(rng.integers(width))).tolist(), *text], np.uint64))
-                self.of.append(i)
+                of.append(i)
         end = np.cumsum([len(t) for t in texts])
         begin = end - [len(t) for t in texts]
+        self.of = np.array(of)
         self.words = np.concatenate(texts)
         self.starts = window_starts(begin, end, width, width)
         self.trial = np.searchsorted(end, self.starts, "right")
         self.missed = np.ones(len(texts), bool)
 
-    def after(self, embedding: Embedding, keys: np.ndarray, item: np.ndarray, of: list[int]) -> float:
-        """The share still missed when this repetition has looked, too."""
-        own = {}
-        for k, i in zip(keys.tolist(), item.tolist(), strict=True):
-            own.setdefault(i, set()).add(k)
-        for t, k in zip(self.trial.tolist(), embedding.keys(self.words, self.starts).tolist(), strict=True):
-            if k in own.get(of[self.of[t]], ()):
-                self.missed[t] = False
-        return float(self.missed.mean())
+    def after(self, embedding: Embedding, keys: np.ndarray, item: np.ndarray) -> dict[int, float]:
+        """The share of each group still missed when this repetition has looked, too; keys are those of these items."""
+        tried = np.zeros(len(self.group), bool)
+        tried[self.of[self.missed]] = True
+        known = np.unique(self._joint(keys[tried[item]], item[tried[item]]))
+        found = np.isin(self._joint(embedding.keys(self.words, self.starts), self.of[self.trial]), known)
+        self.missed[self.trial[found]] = False
+        group = self.group[self.of]
+        return {g: float(self.missed[group == g].mean()) for g in np.unique(group).tolist()}
+
+    @staticmethod
+    def _joint(keys: np.ndarray, item: np.ndarray) -> np.ndarray:
+        return W.mix(keys ^ W.mix(item.astype(np.uint64) + np.uint64(1)))
 
 
 def _blocks(benchmark: DataFrame, spec: DecontaminateSpec) -> Iterator[list[tuple[int, str]]]:

@@ -1,9 +1,13 @@
 import random
+import warnings
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from brute import edit_distance_to_stretch, plain_words
-from epitally.llm.decontaminate import BenchmarkIndex, DecontaminateSpec, best_stretch, drop_contaminated, find_items
+from epitally.llm.decontaminate import _WORD_BYTES, BenchmarkIndex, DecontaminateSpec, best_stretch, drop_contaminated, find_items
+from epitally.llm.words import WordHasher, buffer
 
 DOCS, ITEMS = "doc_id long, text string, ITEM_ID string", "item_id long, text string, doc_id string"
 
@@ -96,6 +100,21 @@ def test_repetitions_reach_the_recall_on_edited_items():
     assert 1 <= few < many <= 64
 
 
+def test_few_short_items_among_long_ones_reach_the_recall():
+    rng = random.Random(10)
+    items = [random_words(rng, 15 if i < 3 else 60) for i in range(100)]
+    with warnings.catch_warnings(record=True) as caught:
+        warnings.simplefilter("always")
+        index = BenchmarkIndex([(i, " ".join(w)) for i, w in enumerate(items)], DecontaminateSpec())
+    assert not caught
+    texts = [(k % 3, random_words(rng, rng.randrange(20, 30)) + edited(rng, items[k % 3], 2) + random_words(rng, 20)) for k in range(600)]
+    within = {k for k, (i, t) in enumerate(texts) if edit_distance_to_stretch(items[i], t) <= 2}
+    words, _, text = WordHasher(word_bytes=_WORD_BYTES).spans(*buffer(pa.array([" ".join(t) for _, t in texts])))
+    ends = np.searchsorted(text, np.arange(len(texts) + 1))
+    found = {t for t, i, *_ in index.find(words, ends[:-1], ends[1:]) if i == texts[t][0]}
+    assert len(within) == len(texts) and len(found) >= 0.98 * len(within)
+
+
 @pytest.mark.parametrize("words, width", [(5, 2), (6, 2), (7, 4), (15, 8), (400, 8)])
 def test_every_occurrence_holds_a_window_at_the_stride(words, width):
     assert DecontaminateSpec().width(words) == width and words >= 2 * width - 1
