@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import string
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epitally.staging import stage
+from epitally.staging import stage, staging_dir
 
 #: Words of a text: runs of anything but these white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,3 +53,33 @@ def with_position(df: DataFrame, order: list[Column], column: str, name: str) ->
         total += counts.get(t, 0)
     start = F.element_at(F.array(*(F.lit(s).cast("long") for s in starts)), task + 1)
     return ordered.withColumn(column, start + F.col(mark).bitwiseAND((1 << 33) - 1)).drop(mark)
+
+
+class BucketedTables:
+    """Tables written to the staging folder and dealt by one key into the same files, so that joins on it move no rows.
+
+    They are known to the session's catalog while the ``with`` block lasts; what
+    it returns must not read them afterwards.
+    """
+
+    def __init__(self, spark, key: str, buckets: int):
+        self._spark, self._key, self._names = spark, key, []
+        self.buckets = max(1, min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))))
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        for name in self._names:
+            self._spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def write(self, df: DataFrame, label: str, deal: bool = False) -> DataFrame:
+        """``deal`` moves rows to the tasks of their buckets first; rows read from such tables are there already."""
+        tag = uuid4().hex
+        if deal:
+            df = df.repartition(self.buckets, self._key)
+        name = f"spark_catalog.default.epitally_{label}_{tag}"
+        self._names.append(name)
+        path = f"{staging_dir(self._spark)}/epitally/{label}-{tag}"
+        df.write.format("parquet").bucketBy(self.buckets, self._key).option("path", path).saveAsTable(name)
+        return self._spark.table(name)

@@ -158,3 +158,36 @@ WITH RECURSIVE worded AS (
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
 FROM worded LEFT JOIN sizes USING (doc_id) LEFT JOIN components USING (doc_id)
 """
+
+
+def _lloyd_rounds(rounds: int) -> str:
+    """Tables c0, a0, c1, a1, ...: centroids (cluster, centre) and assignments (vec, vec_id, v, cluster, distance)."""
+    parts = ["""c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1 AS cluster, v AS centre
+    FROM vectors QUALIFY cluster < 8
+)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+    SELECT vec, vec_id, v, cluster, list_sum(list_transform(list_zip(v, centre), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS distance
+    FROM vectors, c{i} QUALIFY row_number() OVER (PARTITION BY vec ORDER BY distance, cluster) = 1
+)""")
+        if i < rounds:
+            parts.append(f"""s{i} AS (
+    SELECT cluster, place, sum(x)::BIGINT AS total, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM a{i}) GROUP BY ALL
+), m{i} AS (
+    SELECT cluster, list((total - ((total % n) + n) % n) // n ORDER BY place) AS centre FROM s{i} GROUP BY cluster
+), c{i + 1} AS MATERIALIZED (
+    SELECT c.cluster, coalesce(m.centre, c.centre) AS centre FROM c{i} c LEFT JOIN m{i} m USING (cluster)
+)""")
+    return ", ".join(parts)
+
+
+ORACLE["op11_centroid_clusters"] = f"""
+WITH vectors AS MATERIALIZED (
+    SELECT row_number() OVER () AS vec, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), {_lloyd_rounds(10)}
+SELECT a.vec_id, a.cluster::INT AS cluster, a.distance, sum(a.distance) OVER (PARTITION BY a.cluster)::BIGINT AS cluster_inertia,
+       sum(a.distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.centre, ',')) AS centroid_sha256
+FROM a10 a JOIN c10 c USING (cluster)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitally.llm import chat, decontaminate, language, licenses, mixing, neardup, sharding, topk, toxicity, urls
+from epitally.llm import chat, clustering, decontaminate, language, licenses, mixing, neardup, sharding, topk, toxicity, urls
 from epitally.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,9 @@ def op8_toxicity(spark, folder):
 @query
 def op3_topk_search(spark, folder):
     return topk.top_k(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op11_centroid_clusters(spark, folder):
+    found = clustering.cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return found.withColumn("centroid_sha256", clustering.centroid_sha256(F.col("centroid"))).drop("centroid")
