@@ -191,3 +191,20 @@ SELECT a.vec_id, a.cluster::INT AS cluster, a.distance, sum(a.distance) OVER (PA
        sum(a.distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.centre, ',')) AS centroid_sha256
 FROM a10 a JOIN c10 c USING (cluster)
 """
+
+ORACLE["op13_substring_dedup"] = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS doc, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents
+), starts AS (
+    SELECT doc, unnest(range(1, len(words) - 33)) AS pos, words FROM texts WHERE len(words) >= 35
+), windows AS (
+    SELECT doc, pos, count(*) OVER (PARTITION BY array_to_string(words[pos:pos + 34], ' ')) > 1 AS again FROM starts
+), covered AS (
+    SELECT DISTINCT doc, pos + unnest(range(0, 35)) AS pos FROM windows WHERE again
+), gone AS (
+    SELECT doc, list(pos) AS places, count(*)::BIGINT AS n FROM covered GROUP BY doc
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(list_filter(words, lambda w, i: places IS NULL OR NOT list_contains(places, i)), ' '), '')) AS kept_sha256
+FROM texts LEFT JOIN gone USING (doc)
+"""

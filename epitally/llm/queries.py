@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitally.llm import chat, clustering, decontaminate, language, licenses, mixing, neardup, sharding, topk, toxicity, urls
+from epitally.llm import chat, clustering, decontaminate, language, licenses, mixing, neardup, repeats, sharding, topk, toxicity, urls
 from epitally.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op3_topk_search(spark, folder):
 def op11_centroid_clusters(spark, folder):
     found = clustering.cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"))
     return found.withColumn("centroid_sha256", clustering.centroid_sha256(F.col("centroid"))).drop("centroid")
+
+
+@query
+def op13_substring_dedup(spark, folder):
+    kept = repeats.drop_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
