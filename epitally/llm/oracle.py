@@ -208,3 +208,31 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_remove
        sha256(coalesce(array_to_string(list_filter(words, lambda w, i: places IS NULL OR NOT list_contains(places, i)), ' '), '')) AS kept_sha256
 FROM texts LEFT JOIN gone USING (doc)
 """
+
+ORACLE["op12_lexical_search"] = r"""
+WITH worded AS (
+    SELECT row_number() OVER () AS doc, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), sized AS (
+    SELECT doc, doc_id, terms, len(terms) AS n FROM worded WHERE len(terms) > 0
+), items AS (
+    SELECT row_number() OVER () AS item, item_id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), asked AS (
+    SELECT item, item_id, term, count(*) AS q FROM items GROUP BY ALL
+), held AS (
+    SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM sized) WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), totals AS (
+    SELECT count(*) AS documents, sum(n)::BIGINT AS terms FROM sized
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM held, totals GROUP BY term, documents
+), scored AS (
+    SELECT item, item_id, doc, doc_id,
+           sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * documents) // totals.terms))))::BIGINT AS score
+    FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sized USING (doc), totals GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epitally.llm import chat, clustering, decontaminate, language, licenses, mixing, neardup, repeats, sharding, topk, toxicity, urls
+from epitally.llm import chat, clustering, decontaminate, language, licenses, mixing, neardup, ranking, repeats, sharding, topk, toxicity, urls
 from epitally.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,8 @@ def op11_centroid_clusters(spark, folder):
 def op13_substring_dedup(spark, folder):
     kept = repeats.drop_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op12_lexical_search(spark, folder):
+    return ranking.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
