@@ -172,14 +172,16 @@ def repeated_stretches(docs: DataFrame, spec: RepeatSpec = RepeatSpec()) -> Data
     often = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     seeds = stage(anchors.join(stage(often, "repeats-often"), "anchor"), "repeats-seeds")
 
-    classes = stage(seeds.groupBy("anchor", "stretch").agg((F.count("*") > 1).alias("whole")), "repeats-classes")
-    whole = seeds.join(classes.filter("whole").drop("whole"), ["anchor", "stretch"])
+    # Each class with one of its occurrences: all columns of an aggregate's first row are of the same row.
+    one = ("doc_id", "print", "start", "more", "off")
+    classes = stage(seeds.groupBy("anchor", "stretch").agg((F.count("*") > 1).alias("whole"), *(F.first(c).alias(c) for c in one)), "repeats-classes")
+    whole = seeds.join(classes.filter("whole").select("anchor", "stretch"), ["anchor", "stretch"])
     whole = whole.select(*_KEY, "start", (F.col("more") + spec.length).alias("words"))
 
     # Where an anchor has other stretches beside one that occurs once, that one may still share some windows.
     mixed = classes.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("whole").alias("all_whole"))
     mixed = stage(mixed.filter("kinds > 1 AND NOT all_whole").select("anchor"), "repeats-mixed")
-    edges = seeds.join(stage(classes.join(mixed, "anchor"), "repeats-edges"), ["anchor", "stretch"]).dropDuplicates(["anchor", "stretch"])
+    edges = classes.join(mixed, "anchor")
     edges = edges.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "more", "off", "anchor", "whole")).alias("edges"))
     edges = edges.withColumnsRenamed({c: f"_{c}" for c in _KEY})
     windows = docs.join(edges, _of_same_row(docs, edges)).select(*_KEY, "text", "edges")
