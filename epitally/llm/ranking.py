@@ -10,8 +10,9 @@ counts, and the score is the inner product.
 2. The tasks that read the vectors pack them into blocks of bounded size and build a
    ball tree of each block: a node has the centre of its documents and the radius
    that holds them all, and is halved along the line between two far documents.
-3. No document of a ball can score more than query x centre + |query| x radius.
-   Balls are opened best first. The search of a block ends when the best bound left
+3. No document of a ball can score more than query x centre + |query| x radius, nor
+   more than query x (centre + the radius along each term), which is tighter for items
+   of few terms. Balls are opened best first. The search of a block ends when the best bound left
    is below the k-th best score that the task knows, so whole subtrees, mostly
    whole blocks, are never opened. Bounds are rounded up, and what equals the k-th
    score is kept. Documents of opened leaves are scored in whole numbers.
@@ -136,15 +137,18 @@ class BallTree:
             members, parent = todo.pop()
             number = len(self.nodes)
             if parent >= 0:
-                self.nodes[parent][3].append(number)
+                self.nodes[parent][4].append(number)
             at, flat, starts = self._flat(members)
             centre = np.bincount(at, weights=flat, minlength=len(self.terms)) / len(members)
             held = np.flatnonzero(centre)
             away, square = self._away(members, at, flat, starts, centre)
             # What cancels out of the difference is bounded by its parts.
             radius = math.sqrt(max(0.0, float(away.max())) + _SAFE * (float(self._norms[members].max()) + square))
+            # The centre plus the radius along each term.
+            reach = np.zeros(len(self.terms))
+            np.maximum.at(reach, at, flat.astype(np.float64))
             children: list[int] = []
-            self.nodes.append((held, centre[held], radius, children, len(order), len(order) + len(members)))
+            self.nodes.append((held, centre[held], radius, reach[held], children, len(order), len(order) + len(members)))
             if len(members) <= leaf:
                 order += members.tolist()
                 continue
@@ -179,9 +183,9 @@ class BallTree:
 
     def bound(self, node: int, query: np.ndarray) -> float:
         """At least the score of any row of the node."""
-        held, centre, radius, *_ = self.nodes[node]
+        held, centre, radius, reach, *_ = self.nodes[node]
         own = query[held]  # the node's rows have no other terms
-        return (float(own @ centre) + math.sqrt(float(own @ own)) * radius) * (1 + _SAFE)
+        return min(float(own @ centre) + math.sqrt(float(own @ own)) * radius, float(own @ reach)) * (1 + _SAFE)
 
     def search(self, terms: np.ndarray, counts: np.ndarray, threshold) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Rows and exact scores of the leaves that can reach ``threshold()``, best first."""
@@ -198,7 +202,7 @@ class BallTree:
             bound, node = heapq.heappop(open_)
             if -bound < threshold():
                 return
-            _, _, _, children, low, high = self.nodes[node]
+            *_, children, low, high = self.nodes[node]
             if children:
                 for child in children:
                     heapq.heappush(open_, (-self.bound(child, query), child))

@@ -94,7 +94,7 @@ def test_no_row_scores_above_its_balls():
         for number, (*_, children, low, high) in enumerate(tree.nodes):
             inside = tree.order[low:high]
             assert tree.bound(number, query[tree.terms]) >= scores[inside].max()
-            assert sum(tree.nodes[c][5] - tree.nodes[c][4] for c in children) in (0, high - low)
+            assert sum(tree.nodes[c][6] - tree.nodes[c][5] for c in children) in (0, high - low)
         assert sorted(tree.order) == list(range(len(rows)))
 
 
