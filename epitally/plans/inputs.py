@@ -6,19 +6,17 @@ from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from epitally.functions import decimal_comma
 from epitally.operators.population import year_columns
 from epitally.plans.denominators import population_from_wide, population_table, wide_population
 from epitally.plans.report import ReportInputs, SurveillanceReport
 from epitally.sources import (
-    detect_separator,
     normalize_columns,
     period_codes,
     read_area_map,
     read_events,
     read_population,
+    read_texts,
     resolve_region_columns,
     schemas,
     source_modified,
@@ -44,14 +42,13 @@ class InputPaths:
 def read_wide_population(spark: SparkSession, path: str) -> DataFrame:
     """Region and one column per year, in long form."""
     if path.rstrip("/").endswith(".parquet"):
-        wide, sep = normalize_columns(spark.read.parquet(path)), ","
+        wide = normalize_columns(spark.read.parquet(path))
     else:
-        sep = detect_separator(spark, path)
-        wide = normalize_columns(spark.read.csv(path, header=True, sep=sep, quote='"', escape='"', multiLine=True))
+        texts = read_texts(spark, path)
+        years = year_columns(texts)
+        wide = read_events(spark, path, [schemas.InputColumn(c, c, "double" if c in years else "string") for c in texts.columns])
     if REGION_HEADER in wide.columns:
         wide = wide.withColumnRenamed(REGION_HEADER, "region")
-    if sep == ";":
-        wide = wide.withColumns({year: decimal_comma(F.col(f"`{year}`"), "bigint") for year in year_columns(wide)})
     return population_from_wide(wide)
 
 
@@ -91,10 +88,7 @@ def refresh_population(
     first = min(area_tables) if first_year is None else first_year
     last = max(area_tables) if last_year is None else last_year
     columns = {
-        year: resolve_region_columns(
-            spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"')
-        )
-        for year, path in dictionaries.items()
+        year: resolve_region_columns(read_texts(spark, path)) for year, path in dictionaries.items()
     }
     table = population_table(
         read_population(spark, observations, period_codes(first, last)),

@@ -6,6 +6,7 @@ from epitally.sources.files import (
     first_column_like,
     normalize_columns,
     read_events,
+    read_texts,
     source_modified,
     write_table,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "read_area_map",
     "read_events",
     "read_population",
+    "read_texts",
     "resolve_region_columns",
     "source_modified",
     "write_table",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epitally import fixed_values as fixed
-from epitally.sources.files import normalize_columns, read_events
+from epitally.sources.files import normalize_columns, read_events, read_texts
 from epitally.sources.schemas import AREA_CODE_HEADER, AREA_NAME_HEADER, MUNICIPAL_POPULATION
 
 
@@ -76,9 +76,7 @@ def read_area_map(
 
     def one_year(year: int, path: str) -> DataFrame:
         cols = columns if isinstance(columns, RegionColumns) else columns[year]
-        raw = spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else spark.read.csv(
-            path, header=True, quote='"', escape='"'
-        )
+        raw = spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else read_texts(spark, path)
         return normalize_columns(raw).select(
             F.lit(year).alias("boundary_year"),
             F.trim(AREA_CODE_HEADER).alias("municipality"),

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
-from urllib.parse import unquote
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from epitally.functions import decimal_comma
+from epitally.sources.numbers import NUMERIC, column_marks, number, reject_reason
+from epitally.sources.records import FileShape, header_names, list_files, parsed, read_records, separator_of, shapes_of
 from epitally.sources.schemas import InputColumn
 
-_NUMERIC = ("int", "bigint", "double")
+_PLACE = "_place_in_file"
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -35,39 +36,63 @@ def first_column_like(df: DataFrame, prefix: str) -> DataFrame:
     return df.drop(*matches[1:]).withColumnRenamed(matches[0], prefix)
 
 
-def _csv(spark: SparkSession, path: str | Sequence[str], sep: str, multi_line: bool) -> DataFrame:
-    reader = spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=multi_line)
-    if not multi_line:
-        # A record torn apart by a line break has too few columns. All columns are
-        # parsed so that it is noticed, and it stops the reading.
-        reader = reader.options(mode="FAILFAST", columnPruning=False)
-    return reader.csv(path)
+class _Part(NamedTuple):
+    """Files with the same columns, as texts. ``_place`` says where a row stands, if that was asked for."""
 
+    texts: DataFrame
+    sep: str
 
-def _files_by_header(spark: SparkSession, path: str | Sequence[str], sep: str, multi_line: bool) -> list[list[str]]:
-    """The files under ``path``, those with the same header together. Reads one header per file."""
-    files = sorted(unquote(f) for f in spark.read.text(path, pathGlobFilter="*").inputFiles())
-    if len(files) < 2:
-        return [[path] if isinstance(path, str) else list(path)]
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda file: tuple(_csv(spark, file, sep, multi_line).columns), files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for header, file in zip(headers, files, strict=True):
-        groups.setdefault(header, []).append(file)
-    return list(groups.values())
 
+def _native(spark: SparkSession, files: Sequence[str], names: Sequence[str], sep: str, placed: bool, **options) -> DataFrame:
+    schema = StructType([StructField(name, StringType()) for name in names])
+    texts = spark.read.schema(schema).options(header=True, sep=sep, quote='"', escape='"', **options).csv(list(files))
+    if not placed:
+        return texts
+    # Rows of one block of a file come in order in one task.
+    block = F.col("_metadata.file_block_start")
+    return texts.withColumn(_PLACE, F.struct(F.col("_metadata.file_path").alias("file"), block.alias("block"), F.monotonically_increasing_id().alias("number")))
 
-def detect_separator(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> str:
-    """Comma, or semicolon when splitting at commas leaves a single column. Reads headers only."""
-    return "," if len(_csv(spark, path, ",", multi_line).columns) > 1 else ";"
 
+def _parts(spark: SparkSession, paths: Sequence[str], sep: str, multi_line: bool, placed: bool) -> list[_Part]:
+    """The files under ``paths``, those with the same header read together. One pass over all files finds out how."""
+    shapes = shapes_of(spark, list_files(spark, paths))
+    if not shapes:
+        raise ValueError(f"no file under {', '.join(paths)} has a header")
+    groups: dict[tuple, list[FileShape]] = {}
+    for shape in shapes.values():
+        own = separator_of(shape.header) if sep == "auto" else sep
+        way = "lines" if not multi_line or not shape.broken else "whole" if shape.irregular else "records"
+        groups.setdefault((tuple(header_names(shape.header, own)), own, way), []).append(shape)
+    parts = []
+    for (names, own, way), members in groups.items():
+        files = [s.path for s in members]
+        if way == "records":
+            texts = parsed(read_records(spark, members), names, own)
+            texts = texts.withColumnRenamed("_place", _PLACE) if placed else texts.drop("_place")
+        elif way == "whole":
+            texts = _native(spark, files, names, own, placed, multiLine=True)
+        elif multi_line:
+            texts = _native(spark, files, names, own, placed)
+        else:
+            # A record torn apart by a line break has too few columns. All columns are
+            # parsed so that it is noticed, and it stops the reading.
+            texts = _native(spark, files, names, own, placed, mode="FAILFAST", columnPruning=False)
+        parts.append(_Part(normalize_columns(texts), own))
+    return parts
+
+
+def read_texts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """All columns of delimited files as text; files that lack a column have NULL there."""
+    paths = [path] if isinstance(path, str) else list(path)
+    parts = _parts(spark, paths, "auto", True, False)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (p.texts for p in parts))
 
-def _typed(col: Column, data_type: str, sep: str) -> Column:
-    if data_type == "string":
-        return col
-    if data_type in _NUMERIC and sep == ";":
-        return decimal_comma(col, data_type)
-    return F.trim(col).try_cast(data_type)
+
+def detect_separator(spark: SparkSession, path: str | Sequence[str]) -> str:
+    """Comma, or semicolon when splitting at commas leaves a single column, by the first file with a header."""
+    paths = [path] if isinstance(path, str) else list(path)
+    shapes = shapes_of(spark, list_files(spark, paths))
+    return separator_of(shapes[min(shapes)].header)
 
 
 def read_events(
@@ -78,40 +103,62 @@ def read_events(
     multi_line: bool = True,
     duplicated: Sequence[str] = (),
     order: str | None = None,
+    rejects: str | None = None,
 ) -> DataFrame:
     """Read the columns of ``schema`` from CSV or Parquet, by name.
 
-    CSV is read as text without a type-guessing pass, and only the columns asked
-    for are parsed. Files may order their columns differently, and each may use
-    its own separator. Line breaks inside quotes are text, which makes a file one
-    task; large exports come as many files. Where no text has line breaks,
-    ``multi_line=False`` lets Spark split the files, and a record with another
-    number of columns then stops the reading. ``duplicated`` names headers that
-    occur more than once, of which the first is used. ``order`` names a further
-    column that orders the rows as the files list them.
+    CSV is read as text, and only the columns asked for are parsed. Files may order
+    their columns differently, and each may use its own separator; empty files are
+    left out. Line breaks inside quotes are text, and such files are split among tasks
+    all the same. With ``multi_line=False`` they are refused: a record with another
+    number of columns stops the reading. Numbers are read with the marks that their
+    column uses; texts that are none are NULL, and listed with file, place and reason
+    in the table ``rejects``, if one is named. ``duplicated`` names headers that occur
+    more than once, of which the first is used. ``order`` names a further column
+    that orders the rows as the files list them.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if paths[0].rstrip("/").endswith(".parquet"):
-        return _selected(spark.read.parquet(*paths), schema, ",", duplicated, order)
-    parts = []
-    for files in _files_by_header(spark, paths, "," if sep == "auto" else sep, multi_line):
-        own = detect_separator(spark, files, multi_line) if sep == "auto" else sep
-        parts.append(_selected(_csv(spark, files, own, multi_line), schema, own, duplicated, order))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _selected(
-    raw: DataFrame, schema: Sequence[InputColumn], sep: str, duplicated: Sequence[str], order: str | None
-) -> DataFrame:
-    more = []
-    if order is not None:
-        # Rows of one block of a file come in order in one task.
-        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
-        raw, more = raw.withColumn(order, place), [order]
-    raw = normalize_columns(raw)
-    for header in duplicated:
-        raw = first_column_like(raw, header)
-    return raw.select(*(_typed(F.col(f"`{c.header}`"), c.data_type, sep).alias(c.name) for c in schema), *more)
+        raw = spark.read.parquet(*paths)
+        if order is not None:
+            place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+            raw = raw.withColumn(order, place)
+        raw = _first_columns(normalize_columns(raw), duplicated)
+        return raw.select(*(_cast(c).alias(c.name) for c in schema), *([order] if order else []))
+    parts = _parts(spark, paths, sep, multi_line, order is not None or rejects is not None)
+    parts = [_Part(_first_columns(p.texts, duplicated), p.sep) for p in parts]
+    marks = column_marks(parts, schema)
+    if rejects is not None:
+        write_table(reduce(DataFrame.unionByName, (_rejected(p.texts, schema, m) for p, m in zip(parts, marks, strict=True))), rejects)
+    more = [F.col(_PLACE).alias(order)] if order else []
+    return reduce(DataFrame.unionByName, (p.texts.select(*(_typed(c, m).alias(c.name) for c in schema), *more) for p, m in zip(parts, marks, strict=True)))
+
+
+def _first_columns(df: DataFrame, duplicated: Sequence[str]) -> DataFrame:
+    return reduce(first_column_like, duplicated, df)
+
+
+def _cast(column: InputColumn) -> Column:
+    col = F.col(f"`{column.header}`")
+    return col if column.data_type == "string" else F.trim(col).try_cast(column.data_type)
+
+
+def _typed(column: InputColumn, marks: Mapping[str, str]) -> Column:
+    if column.data_type in NUMERIC:
+        return number(F.col(f"`{column.header}`"), column.data_type, marks[column.name])
+    return _cast(column)
+
+
+def _rejected(texts: DataFrame, schema: Sequence[InputColumn], marks: Mapping[str, str]) -> DataFrame:
+    """(file, block, number, column, value, reason) of every text that should be a number and is none."""
+    found = []
+    for c in schema:
+        if c.data_type in NUMERIC:
+            col = F.col(f"`{c.header}`")
+            found.append(F.struct(F.lit(c.name).alias("column"), col.alias("value"), reject_reason(col, c.data_type, marks[c.name]).alias("reason")))
+    none = F.struct(F.lit("").alias("column"), F.lit("").alias("value"), F.lit(None).cast("string").alias("reason"))
+    each = F.filter(F.array(none, *found), lambda x: x["reason"].isNotNull())
+    return texts.select(f"{_PLACE}.*", F.inline(each))
 
 
 def source_modified(spark: SparkSession, path: str) -> datetime:

@@ -1,0 +1,159 @@
+"""Delimited files split among tasks, and numbers by the marks of a column."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from epitally.sources import files, read_area_map, read_events, read_texts
+from epitally.sources.dimensions import RegionColumns
+from epitally.sources.records import header_names, read_lines, read_records, shapes_of
+from epitally.sources.schemas import InputColumn
+from helpers import rows
+
+TEXTS = (InputColumn("Id", "id", "bigint"), InputColumn("Note.here", "note"), InputColumn("Last", "last"))
+
+
+@pytest.fixture
+def split_bytes(spark):
+    """Sets how many bytes of a file a task reads."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+
+    def use(size):
+        spark.conf.set(names[0], size)
+        spark.conf.set(names[1], "0")
+
+    yield use
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
+def field(rng):
+    text = rng.choice(["plain", "a b", "x é"]) if rng.random() < 0.5 else "".join(rng.choice('ab,"\n; é') for _ in range(rng.randrange(30)))
+    return '"' + text.replace('"', '""') + '"' if any(c in text for c in ',"\n') or rng.random() < 0.2 else text
+
+
+def export(path, n, end="\n", seed=1):
+    rng = random.Random(seed)
+    lines = ["Id,Note  here,Last", *(f"{i},{field(rng)},{field(rng)}" for i in range(n)), ""]
+    path.write_bytes(end.join(lines).encode())
+    return str(path)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_line_breaks_do_not_make_a_file_one_task(spark, tmp_path, split_bytes, end):
+    path = export(tmp_path / "a.csv", 1500, end)
+    native = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True)
+    expected = [tuple(r) for r in native.collect()]
+    for size in ("64m", "3k", "200"):
+        split_bytes(size)
+        found = read_events(spark, path, (InputColumn("Id", "id"), *TEXTS[1:]), order="place")
+        assert [tuple(r)[:3] for r in found.orderBy("place").collect()] == expected
+    assert read_lines(spark, [path]).select(F.spark_partition_id()).distinct().count() > 100
+
+
+def test_one_record_over_many_ranges_and_a_header_over_two_lines(spark, tmp_path, split_bytes):
+    split_bytes("64")
+    long = "\n".join(f"line {i}" for i in range(200))
+    path = tmp_path / "a.csv"
+    path.write_text(f'\n"Long\nheader that crosses the end of the first byte range of this file, and then some",B\n1,"{long}"\n\n2,"x\ny"\n3,"{long}"')
+    shapes = shapes_of(spark, [f"file:{path}"])
+    (shape,) = shapes.values()
+    assert header_names(shape.header, ",")[1] == "B" and sum(shape.starts.values()) > 20
+    assert read_records(spark, [shape]).count() == 3
+    assert rows(read_texts(spark, str(path)).select("B")) == sorted([(long,), ("x\ny",), (long,)], key=repr)
+
+
+def test_files_without_such_records_are_read_natively_and_in_part(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('Id,Note here,Last\n1,"a, ""b""",z\n')
+    plan = read_events(spark, str(path), TEXTS).select("note")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<Note here:string>" in plan and "MapInArrow" not in plan
+
+
+def test_quotes_that_do_not_pair_are_read_as_before(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('Id,Note here,Last\n1,5" pipe,z\n2,"two\nlines",y\n3,6" pipe,x\n')
+    assert [r.note for r in read_events(spark, str(path), TEXTS).orderBy("id").collect()] == ['5" pipe', "two\nlines", '6" pipe']
+
+
+def test_empty_files_are_left_out_with_a_note(spark, tmp_path, caplog):
+    (tmp_path / "a.csv").write_text("")
+    (tmp_path / "b.csv").write_text("\n \n")
+    (tmp_path / "c.csv").write_text("Id,Note here,Last\n1,x,y\n")
+    (tmp_path / "d.csv").write_text("Id,Note here,Last\n")
+    assert rows(read_events(spark, str(tmp_path), TEXTS)) == [(1, "x", "y")]
+    assert {r.getMessage().split("/")[-1] for r in caplog.records} == {"a.csv is empty and left out", "b.csv is empty and left out"}
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "a.csv").write_text("")
+    with pytest.raises(ValueError, match="no file"):
+        read_events(spark, str(tmp_path / "e"), TEXTS)
+
+
+def test_jobs_do_not_follow_the_number_of_files(spark, tmp_path):
+    def jobs(n):
+        folder = tmp_path / f"{n}"
+        folder.mkdir()
+        for i in range(n):
+            (folder / f"{i}.csv").write_text(f"Id,Note here,Last\n{i},x,y\n" if i % 2 else f"Last;Id;Note here\ny;{i};x\n")
+        spark.sparkContext.setJobGroup(f"files-{n}", "")
+        assert read_events(spark, str(folder), TEXTS).count() == n
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"files-{n}"))
+
+    few = jobs(4)
+    assert few < 8 and jobs(40) <= few + 2  # long lists of paths are listed by a job
+
+
+def test_byte_order_mark_and_unnamed_columns(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("﻿Id,,Note here,Last,last\n1,u,x,y,z\n", encoding="utf-8")
+    assert header_names("a,,B,b", ",") == ["a", "_c1", "B2", "b3"]
+    assert read_texts(spark, str(path)).columns == ["Id", "_c1", "Note.here", "Last3", "last4"]
+
+
+NUMBERS = (InputColumn("A", "a", "bigint"), InputColumn("B", "b", "double"), InputColumn("C", "c", "int"))
+
+
+def test_numbers_of_comma_files(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('A,B,C\n"1,234",1.5,12.0\n" 2 ","1,000.25",-3\nNA,1e3,\n"12,345,678",.5,7\n')
+    assert rows(read_events(spark, str(path), NUMBERS)) == sorted([(1234, 1.5, 12), (2, 1000.25, -3), (None, 1000.0, None), (12345678, 0.5, 7)], key=repr)
+
+
+def test_a_column_is_read_by_the_marks_that_most_of_it_has(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('A,B,C\n1,"1,5",1\n2,"2,75",2\n3,"1.234,5",3\n')
+    (tmp_path / "b.csv").write_text("A;B;C\n1.234;0,5;1\n5;12.345,25;2\n")
+    (tmp_path / "c.csv").write_text("C;B;A\n1;0.5;1\n2;12.75;2\n")
+    assert rows(read_events(spark, str(tmp_path / "a.csv"), NUMBERS), "b") == [(1.5,), (1234.5,), (2.75,)]
+    assert rows(read_events(spark, str(tmp_path / "b.csv"), NUMBERS), "a", "b") == [(1234, 0.5), (5, 12345.25)]
+    assert rows(read_events(spark, str(tmp_path / "c.csv"), NUMBERS), "a", "b") == [(1, 0.5), (2, 12.75)]
+    assert read_events(spark, str(tmp_path), NUMBERS).count() == 7
+
+
+def test_texts_that_are_no_numbers_are_listed(spark, tmp_path):
+    path, table = tmp_path / "a.csv", str(tmp_path / "rejects")
+    path.write_text('A,B,C\n12.5,1,1\nmany,x,99999999999\n"1,23",,NA\n4,4,"5\n"\n')
+    found = read_events(spark, str(path), NUMBERS, rejects=table)
+    assert rows(found) == sorted([(None, 1.0, 1), (None, None, None), (None, None, None), (4, 4.0, 5)], key=repr)
+    rejected = spark.read.parquet(table)
+    assert rows(rejected, "column", "value", "reason") == sorted(
+        [("a", "12.5", "not whole"), ("a", "many", "not a number"), ("b", "x", "not a number"), ("c", "99999999999", "too large"), ("a", "1,23", "not a number")], key=repr
+    )
+    assert {r.file.split("/")[-1] for r in rejected.collect()} == {"a.csv"} and rejected.select("number").distinct().count() == 3
+
+
+def test_area_tables_with_line_breaks_and_semicolons(spark, tmp_path):
+    columns = RegionColumns("Code_14", "Naam_15")
+    (tmp_path / "comma.csv").write_text('Code_1,Naam_2,Description,Code_14,Naam_15\n"GM01    ",One,"first line\nBegindatum 2016",GG1," Region A "\nGM02,Two,,GG2,Region B\n')
+    (tmp_path / "semicolon.csv").write_text('Code_1;Naam_2;Code_14;Naam_15\nGM01;"One; or so";GG1;Region A\n')
+    found = read_area_map(spark, {2016: str(tmp_path / "comma.csv"), 2017: str(tmp_path / "semicolon.csv")}, columns)
+    assert rows(found) == [(2016, "GM01", "One", "GG1", "Region A"), (2016, "GM02", "Two", "GG2", "Region B"), (2017, "GM01", "One; or so", "GG1", "Region A")]
+
+
+def test_place_column_does_not_clash(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Id,file,block,number,record,Note here,Last\n1,f,b,n,r,"x\ny",z\n')
+    found = read_events(spark, str(tmp_path), (*TEXTS, InputColumn("record", "record"), InputColumn("file", "file")), order="block")
+    assert rows(found, "id", "note", "record", "file") == [(1, "x\ny", "r", "f")]
+    assert files._PLACE not in found.columns

@@ -555,9 +555,22 @@ SELECT region, CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start, top
 FROM raw WHERE topic IS DISTINCT FROM 'COVID-19' GROUP BY ALL"""
 
 ORACLE["csv_cases"] = f"""WITH {_RAW_CASES}
-SELECT disease, diagnosis AS summary_diagnosis, confidence, status, count(*) AS n, CAST(sum(amount * 100) AS BIGINT) AS cents
+SELECT disease, diagnosis AS summary_diagnosis, confidence, status, count(*) AS n, CAST(sum(amount * 100) AS BIGINT) AS cents,
+       CAST(sum(floor(amount)) AS BIGINT) AS wholes
 FROM raw GROUP BY ALL"""
 
+ORACLE["csv_rejects"] = """
+WITH written AS (
+    SELECT CASE WHEN c_custkey % 7 = 0 THEN 'not a number' WHEN c_custkey % 11 = 0 OR c_custkey % 13 = 0 THEN 'missing' ELSE 'kept' END AS balance,
+           CASE WHEN c_custkey % 5 = 0 THEN CASE WHEN CAST(c_acctbal AS DECIMAL(18, 2)) = floor(CAST(c_acctbal AS DECIMAL(18, 2))) THEN 'kept' ELSE 'not whole' END
+                WHEN c_custkey % 17 = 0 THEN 'too large' ELSE 'kept' END AS key
+    FROM customer
+)
+SELECT 'balance' AS "column", balance AS reason, count(*) AS n FROM written WHERE balance <> 'missing' GROUP BY ALL
+UNION ALL SELECT 'key', key, count(*) FROM written GROUP BY ALL"""
+
+ORACLE["csv_situations"] = ORACLE["cleaned_situations"]
+
 ORACLE["population_refresh"] = f"""WITH {_MUNICIPAL},
 cells AS (
     SELECT CASE w.region WHEN 'EU' THEN 'Zee' ELSE 'WB' END AS region, o.pop_year, o.population FROM observations o

@@ -538,18 +538,56 @@ def _scratch(t: Tables, name: str) -> str:
 
 @query
 def csv_cases(t: Tables) -> DataFrame:
-    """The raw cases as two exports: their columns in another order, one with semicolons and decimal commas."""
+    """The raw cases as exports: one with other marks and another order of the columns, and an empty one."""
     raw = p.raw_cases(t).withColumn("_half", F.col("Amount").cast("double").cast("long") % 2)
     folder = _scratch(t, "cases-csv")
     quoting = {"header": True, "quote": '"', "escape": '"', "emptyValue": ""}
-    first, second = raw.filter("_half = 0").drop("_half"), raw.filter("_half <> 0").drop("_half")
+    written = raw.withColumns({"Whole": F.format_number(F.floor("Amount"), 1), "Amount": F.format_number("Amount", 2)})
+    first, second = written.filter("_half = 0").drop("_half"), written.filter("_half <> 0").drop("_half")
     first.write.options(**quoting).csv(f"{folder}/first")
-    comma = second.withColumn("Amount", F.replace(F.col("Amount").cast("string"), F.lit("."), F.lit(",")))
+    comma = second.withColumns({c: F.translate(c, ",.", ".,") for c in ("Amount", "Whole")})
     comma.select(*reversed(second.columns)).write.options(sep=";", **quoting).csv(f"{folder}/second")
-    schema = (*schemas.CASES, schemas.InputColumn("Amount", "amount", "double"))
-    read = read_events(t.spark, [f"{folder}/first", f"{folder}/second"], schema)
+    t.spark.range(1).select(F.lit("")).write.text(f"{folder}/empty")
+    schema = (*schemas.CASES, schemas.InputColumn("Amount", "amount", "double"), schemas.InputColumn("Whole", "whole", "bigint"))
+    read = read_events(t.spark, [f"{folder}/first", f"{folder}/second", f"{folder}/empty"], schema)
     cents = F.round(F.col("amount") * 100).cast("long")
-    return read.groupBy("disease", "summary_diagnosis", "confidence", "status").agg(F.count("*").alias("n"), F.sum(cents).alias("cents"))
+    sums = F.count("*").alias("n"), F.sum(cents).alias("cents"), F.sum("whole").alias("wholes")
+    return read.groupBy("disease", "summary_diagnosis", "confidence", "status").agg(*sums)
+
+
+@query
+def csv_rejects(t: Tables) -> DataFrame:
+    """Texts in number columns that give no number, from the table that reading writes."""
+    key, balance = F.col("c_custkey"), F.col("c_acctbal").cast("decimal(18,2)")
+    written = t.customer.select(
+        F.when(key % 7 == 0, "n.v.t.").when(key % 11 == 0, "NA").when(key % 13 != 0, F.format_number(balance, 2)).alias("Balance"),
+        F.when(key % 5 == 0, F.format_number(balance, 2)).when(key % 17 == 0, "99999999999999999999").otherwise(key.cast("string")).alias("Key"),
+        F.lit("two\nlines").alias("Remark"),
+    )
+    folder = _scratch(t, "rejects")
+    written.write.options(header=True, quote='"', escape='"').csv(f"{folder}/export")
+    schema = (schemas.InputColumn("Balance", "balance", "double"), schemas.InputColumn("Key", "key", "bigint"))
+    read = read_events(t.spark, f"{folder}/export", schema, rejects=f"{folder}/rejects")
+    listed = t.spark.read.parquet(f"{folder}/rejects").groupBy("column", "reason").agg(F.count("*").alias("n"))
+    kept = read.agg(F.count("balance").alias("balance"), F.count("key").alias("key"))
+    kept = kept.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.lit("kept").alias("reason"), F.col(c).alias("n")) for c in ("balance", "key")))))
+    return listed.unionByName(kept)
+
+
+@query
+def csv_situations(t: Tables) -> DataFrame:
+    """The raw situations as exports whose header names the agent twice, of which the first is meant."""
+    raw = p.raw_situations(t)
+    header = ["Name", "Date entered", "Artikel 26", "Scenario", "Principal Contextual Setting", "Infectious Agent", "Remark", "Infectious Agent"]
+    texts = F.struct("name", "date_entered", "article_26", "scenario", "setting", "agent", F.lit("two\nlines").alias("remark"), F.lit("Other").alias("again"))
+    lines = raw.select((F.crc32("name") % 4).cast("int").alias("export"), F.lit(1).alias("line"), F.to_csv(texts, {"quote": '"', "escape": '"'}).alias("value"))
+    heads = t.spark.range(4).select(F.col("id").cast("int").alias("export"), F.lit(0).alias("line"), F.lit(",".join(header)).alias("value"))
+    folder = _scratch(t, "situations-csv")
+    # Each export begins with its header.
+    exports = lines.unionByName(heads).repartition(4, "export").sortWithinPartitions("export", "line").drop("line")
+    exports.write.partitionBy("export").text(folder)
+    read = read_events(t.spark, folder, schemas.SITUATIONS, duplicated=["Infectious.Agent"])
+    return monthly_counts(clean_situations(read), ["scenario", "agent", "setting"])
 
 
 @query
@@ -566,6 +604,7 @@ def population_refresh(t: Tables) -> DataFrame:
         area = p.area_map(t).filter(F.col("boundary_year") == year).select(
             F.rpad("municipality", 10, " ").alias("Code_1"),
             F.upper("municipality").alias("Naam_2"),
+            F.lit(f"Municipality\nBegindatum {year}, or before").alias("Omschrijving_3"),
             F.lit("GG").alias(code),
             F.concat(recode(F.col("region_name"), names), F.lit("  ")).alias(name),
         )
