@@ -18,6 +18,9 @@ from epitally.sources.schemas import InputColumn
 
 _PLACE = "_place_in_file"
 
+#: Byte ranges up to which a file with line breaks inside quotes is read faster by one native task than by many that join lines.
+SPLIT_BEYOND = 8
+
 
 def normalize_columns(df: DataFrame) -> DataFrame:
     """Runs of blanks in column names become one dot."""
@@ -53,21 +56,23 @@ def _native(spark: SparkSession, files: Sequence[str], names: Sequence[str], sep
     return texts.withColumn(_PLACE, F.struct(F.col("_metadata.file_path").alias("file"), block.alias("block"), F.monotonically_increasing_id().alias("number")))
 
 
-def _parts(spark: SparkSession, paths: Sequence[str], sep: str, multi_line: bool, placed: bool) -> list[_Part]:
+def _parts(spark: SparkSession, paths: Sequence[str], sep: str, multi_line: bool, placed: bool, split_beyond: int = SPLIT_BEYOND) -> list[_Part]:
     """The files under ``paths``, those with the same header read together. One pass over all files finds out how."""
-    shapes = shapes_of(spark, list_files(spark, paths))
+    listed = list_files(spark, paths)
+    shapes = shapes_of(spark, listed)
     if not shapes:
         raise ValueError(f"no file under {', '.join(paths)} has a header")
     groups: dict[tuple, list[FileShape]] = {}
     for shape in shapes.values():
         own = separator_of(shape.header) if sep == "auto" else sep
-        way = "lines" if not multi_line or not shape.broken else "whole" if shape.irregular else "records"
+        whole = shape.irregular or len(shape.starts) <= split_beyond
+        way = "lines" if not multi_line or not shape.broken else "whole" if whole else "records"
         groups.setdefault((tuple(header_names(shape.header, own)), own, way), []).append(shape)
     parts = []
     for (names, own, way), members in groups.items():
         files = [s.path for s in members]
         if way == "records":
-            texts = parsed(read_records(spark, members), names, own)
+            texts = parsed(read_records(spark, members, listed), names, own)
             texts = texts.withColumnRenamed("_place", _PLACE) if placed else texts.drop("_place")
         elif way == "whole":
             texts = _native(spark, files, names, own, placed, multiLine=True)
@@ -104,13 +109,14 @@ def read_events(
     duplicated: Sequence[str] = (),
     order: str | None = None,
     rejects: str | None = None,
+    split_beyond: int = SPLIT_BEYOND,
 ) -> DataFrame:
     """Read the columns of ``schema`` from CSV or Parquet, by name.
 
     CSV is read as text, and only the columns asked for are parsed. Files may order
     their columns differently, and each may use its own separator; empty files are
-    left out. Line breaks inside quotes are text, and such files are split among tasks
-    all the same. With ``multi_line=False`` they are refused: a record with another
+    left out. Line breaks inside quotes are text; such files of more byte ranges than
+    ``split_beyond`` are split among tasks all the same. With ``multi_line=False`` they are refused: a record with another
     number of columns stops the reading. Numbers are read with the marks that their
     column uses; texts that are none are NULL, and listed with file, place and reason
     in the table ``rejects``, if one is named. ``duplicated`` names headers that occur
@@ -125,7 +131,7 @@ def read_events(
             raw = raw.withColumn(order, place)
         raw = _first_columns(normalize_columns(raw), duplicated)
         return raw.select(*(_cast(c).alias(c.name) for c in schema), *([order] if order else []))
-    parts = _parts(spark, paths, sep, multi_line, order is not None or rejects is not None)
+    parts = _parts(spark, paths, sep, multi_line, order is not None or rejects is not None, split_beyond)
     parts = [_Part(_first_columns(p.texts, duplicated), p.sep) for p in parts]
     marks = column_marks(parts, schema)
     if rejects is not None:

@@ -16,8 +16,8 @@ doubled, so an odd number of quotes in a line switches between inside and outsid
    fragments, at most two of a range, are written and joined by file.
 
 A file whose quotes do not pair up, or that has a quote amid unquoted text, is not
-read like that but as one task by the native reader. Files without any line are
-left out with a note.
+read like that but as one task by the native reader, and so is a file of few byte
+ranges. Files without any line are left out with a note.
 """
 
 from __future__ import annotations
@@ -250,10 +250,17 @@ def _joined_fragments(parts: DataFrame) -> DataFrame:
     return joined.filter("number >= 0")
 
 
-def read_records(spark: SparkSession, shapes: Sequence[FileShape]) -> DataFrame:
-    """(file, block, number, record): the records of files, without headers and blank lines."""
-    lines = read_lines(spark, [s.path for s in shapes])
-    own = file_shapes(lines)  # fewer files may be split at other places
+def read_records(spark: SparkSession, shapes: Sequence[FileShape], listed: Sequence[str]) -> DataFrame:
+    """(file, block, number, record): the records of files, without headers and blank lines.
+
+    ``listed`` names the files that the pass for the shapes has read.
+    """
+    own = {s.path: s for s in shapes}
+    lines = read_lines(spark, listed)
+    if {_plain_path(f) for f in listed} != {_plain_path(f) for f in own}:
+        # Fewer files may be split at other places.
+        lines = read_lines(spark, list(own))
+        own = file_shapes(lines)
     records = lines.mapInArrow(_assemble(own, False), _RECORD).drop("kind")
     if any(any(s.starts.values()) for s in own.values()):
         parts = stage(lines.mapInArrow(_assemble(own, True), _RECORD), "record-parts")

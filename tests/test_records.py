@@ -48,7 +48,7 @@ def test_quoted_line_breaks_do_not_make_a_file_one_task(spark, tmp_path, split_b
     expected = [tuple(r) for r in native.collect()]
     for size in ("64m", "3k", "200"):
         split_bytes(size)
-        found = read_events(spark, path, (InputColumn("Id", "id"), *TEXTS[1:]), order="place")
+        found = read_events(spark, path, (InputColumn("Id", "id"), *TEXTS[1:]), order="place", split_beyond=1)
         assert [tuple(r)[:3] for r in found.orderBy("place").collect()] == expected
     assert read_lines(spark, [path]).select(F.spark_partition_id()).distinct().count() > 100
 
@@ -61,7 +61,7 @@ def test_one_record_over_many_ranges_and_a_header_over_two_lines(spark, tmp_path
     shapes = shapes_of(spark, [f"file:{path}"])
     (shape,) = shapes.values()
     assert header_names(shape.header, ",")[1] == "B" and sum(shape.starts.values()) > 20
-    assert read_records(spark, [shape]).count() == 3
+    assert read_records(spark, [shape], [f"file:{path}"]).count() == 3
     assert rows(read_texts(spark, str(path)).select("B")) == sorted([(long,), ("x\ny",), (long,)], key=repr)
 
 
@@ -152,8 +152,9 @@ def test_area_tables_with_line_breaks_and_semicolons(spark, tmp_path):
     assert rows(found) == [(2016, "GM01", "One", "GG1", "Region A"), (2016, "GM02", "Two", "GG2", "Region B"), (2017, "GM01", "One; or so", "GG1", "Region A")]
 
 
-def test_place_column_does_not_clash(spark, tmp_path):
+@pytest.mark.parametrize("split_beyond", [0, 8])
+def test_place_column_does_not_clash(spark, tmp_path, split_beyond):
     (tmp_path / "a.csv").write_text('Id,file,block,number,record,Note here,Last\n1,f,b,n,r,"x\ny",z\n')
-    found = read_events(spark, str(tmp_path), (*TEXTS, InputColumn("record", "record"), InputColumn("file", "file")), order="block")
+    found = read_events(spark, str(tmp_path), (*TEXTS, InputColumn("record", "record"), InputColumn("file", "file")), order="block", split_beyond=split_beyond)
     assert rows(found, "id", "note", "record", "file") == [(1, "x\ny", "r", "f")]
     assert files._PLACE not in found.columns

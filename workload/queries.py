@@ -549,7 +549,7 @@ def csv_cases(t: Tables) -> DataFrame:
     comma.select(*reversed(second.columns)).write.options(sep=";", **quoting).csv(f"{folder}/second")
     t.spark.range(1).select(F.lit("")).write.text(f"{folder}/empty")
     schema = (*schemas.CASES, schemas.InputColumn("Amount", "amount", "double"), schemas.InputColumn("Whole", "whole", "bigint"))
-    read = read_events(t.spark, [f"{folder}/first", f"{folder}/second", f"{folder}/empty"], schema)
+    read = read_events(t.spark, [f"{folder}/first", f"{folder}/second", f"{folder}/empty"], schema, split_beyond=0)
     cents = F.round(F.col("amount") * 100).cast("long")
     sums = F.count("*").alias("n"), F.sum(cents).alias("cents"), F.sum("whole").alias("wholes")
     return read.groupBy("disease", "summary_diagnosis", "confidence", "status").agg(*sums)
