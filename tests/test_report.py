@@ -341,12 +341,12 @@ def test_report_from_files_to_files(spark, tmp_path):
         SeriesSpec("noro", "scenario_agents", include=("Gastroenteritis",), breakdown=("agent", ("Norovirus",))),
     )
     built = build_report(read_inputs(spark, paths), SurveillanceConfig(Report(1), ("BZO",)), specs)
-    write_report(built, str(tmp_path / "out"))
-    diseases = table(spark.read.parquet(str(tmp_path / "out/tables/diseases")), "category")
+    out = write_report(built, str(tmp_path / "out"))
+    diseases = table(spark.read.parquet(f"{out}/tables/diseases"), "category")
     assert list(diseases["Mazelen"].values())[2:] == [1, 1, 20, 1.0, 1.0, 2.0, None]
-    assert spark.read.parquet(str(tmp_path / "out/tables/top_topics")).columns == ["rank", "BZO_topic", "BZO_n"]
+    assert spark.read.parquet(f"{out}/tables/top_topics").columns == ["rank", "BZO_topic", "BZO_n"]
     assert built.modified.keys() == {"cases", "situations", "enquiries"}
-    charts = spark.read.parquet(str(tmp_path / "out/series/scenario_agents"))
+    charts = spark.read.parquet(f"{out}/series/scenario_agents")
     noro = charts.filter("chart = 'noro'").collect()
     assert [(r.region, r.n, r.incidence_all) for r in noro] == [("BZO", 1, 0.5)]
 

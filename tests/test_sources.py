@@ -22,6 +22,7 @@ from epitally.sources import (
 from epitally.sources import schemas
 from epitally.sources.dimensions import RegionColumns
 from epitally.sources.schemas import InputColumn
+from epitally.sources.versions import read_table
 from helpers import rows
 
 
@@ -316,6 +317,6 @@ def test_population_is_refreshed_from_exported_tables(spark, tmp_path):
         ],
         key=repr,
     )
-    assert rows(spark.read.parquet(fixed_boundaries)) == sorted(
+    assert rows(read_table(spark, fixed_boundaries)) == sorted(
         [("Zee", 7032, 7034), ("ALL_REGIONS", 7032, 7034), ("NATIONAL", 11016, 11017)], key=repr
     )

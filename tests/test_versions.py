@@ -1,0 +1,121 @@
+"""Committed versions, and the population table that follows its sources."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from epitally.plans.inputs import InputPaths, PopulationSources, ensure_population, read_inputs, read_wide_population
+from epitally.sources.versions import commit_table, current_version, read_table
+from helpers import rows
+
+
+def test_a_failed_write_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert current_version(spark, path) is None
+    commit_table(spark.range(3), path, {"note": "first"})
+    reader = read_table(spark, path)
+    failing = spark.range(1000, numPartitions=4).select(F.when(F.col("id") == 990, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        commit_table(failing, path)
+    assert read_table(spark, path).count() == 3 and current_version(spark, path).facts == {"note": "first"}
+    assert commit_table(spark.range(5), path).number == 2
+    assert read_table(spark, path).count() == 5 and reader.count() == 3
+
+
+def test_a_table_can_be_made_from_its_own_current_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    commit_table(spark.range(3), path)
+    commit_table(read_table(spark, path).unionByName(spark.range(3, 5)), path)
+    assert rows(read_table(spark, path)) == [(i,) for i in range(5)]
+
+
+def test_plain_tables_are_read_as_they_are(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    spark.range(2).write.parquet(path)
+    assert read_table(spark, path).count() == 2
+
+
+HEADER = "ID,Position,ParentID,Type,Key,Title\n"
+DICTIONARY = HEADER + "21,,5,TopicGroup,,GGD-regio's\n22,14,21,Topic,Code_14,Code\n23,15,21,Topic,Naam_15,Naam\n"
+
+
+def put(path, text, time):
+    path.write_text(text)
+    os.utime(path, (time, time))
+    return str(path)
+
+
+def area(tmp_path, year, region, time=1_600_000_000):
+    return put(tmp_path / f"area{year}.csv", f"Code_1,Naam_2,Code_14,Naam_15\nGM01,One,GG1,{region}\nGM02,Two,GG2,GGD Zeeland\n", time)
+
+
+@pytest.fixture
+def sources(tmp_path):
+    years = (2016, 2017)
+    lines = [f"{c},{y}MM01,{n + y}" for c, n in (("GM01", 1000), ("GM02", 2000), ("NL01", 9000)) for y in (*years, 2018)]
+    observed = put(tmp_path / "observed.csv", "RegioS,Perioden,BevolkingAanHetBeginVanDePeriode_1\n" + "\n".join(lines) + "\n", 1_600_000_000)
+    words = put(tmp_path / "dictionary.csv", DICTIONARY, 1_600_000_000)
+    return PopulationSources(observed, {y: area(tmp_path, y, "GGD West-Brabant") for y in years}, dict.fromkeys((*years, 2018), words))
+
+
+def population(spark, path):
+    return {(r.region, r.pop_year): r.population for r in read_wide_population(spark, path).collect()}
+
+
+def test_absent_fresh_and_stale_population(spark, tmp_path, sources, monkeypatch):
+    path = str(tmp_path / "population.parquet")
+    assert ensure_population(spark, sources, path) == [2016, 2017]  # absent
+    first = population(spark, path)
+    assert first["WB", 2016] == 3016 and first["NATIONAL", 2017] == 11017
+
+    assert ensure_population(spark, sources, path) == []  # fresh
+    assert current_version(spark, path).number == 1
+
+    area(tmp_path, 2017, "GGD Zeeland", 1_700_000_000)  # stale: one year's areas were written again
+    read = []
+    from epitally.plans import inputs
+
+    monkeypatch.setattr(inputs, "read_area_map", lambda s, p, c, f=inputs.read_area_map: read.append(sorted(p)) or f(s, p, c))
+    assert ensure_population(spark, sources, path) == [2017] and read == [[2017]]
+    second = population(spark, path)
+    assert second["Zee", 2017] == 7034 and second["WB", 2016] == 3016 and second["WB", 2017] is None
+    assert {k: v for k, v in second.items() if k[1] == 2016} == {k: v for k, v in first.items() if k[1] == 2016}
+
+    later = PopulationSources(sources.observations, {**sources.area_tables, 2018: area(tmp_path, 2018, "GGD West-Brabant")}, sources.dictionaries)
+    assert ensure_population(spark, later, path) == [2018]  # a further year
+    assert population(spark, path)["WB", 2018] == 3018 and population(spark, path)["WB", 2016] == 3016
+
+    fixed = PopulationSources(sources.observations, sources.area_tables, sources.dictionaries, "fixed")
+    assert ensure_population(spark, fixed, path) == [2016, 2017]  # other boundaries
+    os.utime(sources.observations, (1_700_000_000, 1_700_000_000))
+    assert ensure_population(spark, fixed, path) == [2016, 2017]  # new observations
+    assert ensure_population(spark, fixed, path) == []
+
+
+def test_failed_refresh_leaves_the_table(spark, tmp_path, sources):
+    path = str(tmp_path / "population.parquet")
+    ensure_population(spark, sources, path)
+    before = population(spark, path)
+    put(tmp_path / "dictionary.csv", HEADER, 1_700_000_000)  # no region columns any more
+    with pytest.raises(ValueError, match="topic group"):
+        ensure_population(spark, sources, path)
+    assert population(spark, path) == before
+
+
+def test_reading_inputs_makes_the_population_first(spark, tmp_path, sources):
+    def table(name, header):
+        return put(tmp_path / f"{name}.csv", header + "\n", 1_600_000_000)
+
+    paths = InputPaths(
+        table("cases", "Case Identifier,Time entered,Meldingsplichtige ziekte,Summary Diagnosis,ABR,Infection,Confidence,Datum gewist,Status van de melding"),
+        table("situations", "Name,Date entered,Artikel 26,Scenario,Principal Contextual Setting,Infectious Agent,Infectious Agent"),
+        table("enquiries", "Broad Topic,Specific Topic,Received on,GGD"),
+        put(tmp_path / "national.csv", 'Ziekte RIVM,Landelijke aantallen in rapportageperiode\nMazelen,"1,234"\nBof,veel\n', 1_600_000_000),
+        table("link", "Ziekte RIVM,Meldingsplichtige ziekte HPZone"),
+        str(tmp_path / "population.parquet"),
+    )
+    inputs = read_inputs(spark, paths, population=sources, rejects=str(tmp_path / "rejects"))
+    assert inputs.population.filter("region = 'WB' AND pop_year = 2016").first().population == 3016
+    assert rows(inputs.national) == sorted([("Mazelen", 1234), ("Bof", None)], key=repr)
+    assert rows(spark.read.parquet(str(tmp_path / "rejects/national")), "column", "value", "reason") == [("n", "veel", "not a number")]
