@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from epitally.config import Labels
 from epitally.functions import is_in, month_start
+from epitally.operators.facts import CountFacts
 
 _DEFAULT_LABELS = Labels()
 
@@ -67,6 +68,7 @@ def dense_template(
     regions: Sequence[str],
     categories: DataFrame | None = None,
     labels: Labels = _DEFAULT_LABELS,
+    facts: CountFacts | None = None,
 ) -> DataFrame:
     """Every region x month x category, once.
 
@@ -74,9 +76,9 @@ def dense_template(
     to cover; by default those that occur. They stay a distributed table, reduced
     in each task before they move, and each of its rows unfolds the region and
     month lists in place, so nothing is cross joined. NULL is a value like any
-    other here. ``counts`` should be a written table; its axes are fetched.
+    other here. Without ``facts``, ``counts`` should be a written table; its axes are fetched.
     """
-    axis, months = _axes(counts, regions, labels)
+    axis, months = _axes(counts, regions, labels) if facts is None else facts.axes(labels)
     values = (counts if categories is None else categories).select(*by).distinct()
     if not axis or not months:
         values = values.limit(0)
@@ -92,6 +94,7 @@ def zero_filled(
     regions: Sequence[str],
     categories: DataFrame | None = None,
     labels: Labels = _DEFAULT_LABELS,
+    facts: CountFacts | None = None,
 ) -> DataFrame:
     """The counts together with a zero for every cell of the template.
 
@@ -100,7 +103,7 @@ def zero_filled(
     """
     domain = None if categories is None else categories.select(*by).distinct()
     # The axes come from all counts, also from those outside ``categories``.
-    zeros = dense_template(counts, by, regions, domain, labels).withColumn("n", F.lit(0).cast("long"))
+    zeros = dense_template(counts, by, regions, domain, labels, facts).withColumn("n", F.lit(0).cast("long"))
     counts = on_axis(counts, regions, labels)
     if domain is not None:
         named = domain.select(*(F.col(c).alias(f"_{c}") for c in by))
@@ -114,9 +117,10 @@ def dense_counts(
     regions: Sequence[str],
     categories: DataFrame | None = None,
     labels: Labels = _DEFAULT_LABELS,
+    facts: CountFacts | None = None,
 ) -> DataFrame:
     """Counts with a row, possibly zero, for every region x month x category."""
-    filled = zero_filled(counts, by, regions, categories, labels)
+    filled = zero_filled(counts, by, regions, categories, labels, facts)
     return filled.groupBy("region", "month_start", *by).agg(F.sum("n").alias("n"))
 
 

@@ -19,6 +19,7 @@ from epitally.functions import (
     unify_spelling,
 )
 from epitally.operators.filters import admitted
+from epitally.operators.facts import Counted
 from epitally.operators.period_table import DISEASE_STYLE, period_table
 from epitally.plans.monthly import monthly_incidence
 
@@ -85,11 +86,11 @@ def national_incidence(
 
 
 def disease_monthly(
-    counts: DataFrame, population: DataFrame, link: DataFrame, regions: Sequence[str], labels: Labels | None = None
+    counts: Counted, population: DataFrame, link: DataFrame, regions: Sequence[str], labels: Labels | None = None
 ) -> DataFrame:
     """Monthly incidence of every disease in the link table, seen or not."""
     diseases = link.select(F.col("local_name").alias("category"))
-    return monthly_incidence(counts, ["category"], population, regions, diseases, labels)
+    return monthly_incidence(counts.frame, ["category"], population, regions, diseases, labels, counts.facts)
 
 
 def disease_table(

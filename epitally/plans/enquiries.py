@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from epitally import fixed_values as fixed
 from epitally.config import Labels, SurveillanceConfig
 from epitally.functions import map_region, not_in, parse_leading_date
+from epitally.operators.facts import Counted
 from epitally.operators.topics import pivot_topics, top_topics
 from epitally.plans.monthly import monthly_incidence
 
@@ -27,8 +28,8 @@ def clean_enquiries(raw: DataFrame) -> DataFrame:
     )
 
 
-def topic_monthly(counts: DataFrame, population: DataFrame, regions: Sequence[str], labels: Labels | None = None) -> DataFrame:
-    return monthly_incidence(counts, ["topic"], population, regions, None, labels)
+def topic_monthly(counts: Counted, population: DataFrame, regions: Sequence[str], labels: Labels | None = None) -> DataFrame:
+    return monthly_incidence(counts.frame, ["topic"], population, regions, None, labels, counts.facts)
 
 
 def top5_long(monthly: DataFrame, config: SurveillanceConfig, year: int) -> DataFrame:

@@ -11,6 +11,7 @@ from epitally.operators.population import unpivot_years, year_columns
 from epitally.plans.denominators import population_from_wide, population_table, wide_population
 from epitally.plans.report import ReportInputs, SurveillanceReport
 from epitally.sources import (
+    modification_times,
     normalize_columns,
     period_codes,
     read_area_map,
@@ -19,7 +20,6 @@ from epitally.sources import (
     read_texts,
     resolve_region_columns,
     schemas,
-    source_modified,
     write_table,
 )
 from epitally.sources.versions import commit, commit_table, current_version, new_version, read_table
@@ -98,7 +98,8 @@ def read_inputs(
     if population is not None:
         ensure_population(spark, population, paths.population)
     listed = None if rejects is None else f"{rejects.rstrip('/')}/national"
-    modified = {name: source_modified(spark, getattr(paths, name)) for name in ("cases", "situations", "enquiries")}
+    times = modification_times(spark, [paths.cases, paths.situations, paths.enquiries])
+    modified = {name: times[getattr(paths, name)] for name in ("cases", "situations", "enquiries")}
     return ReportInputs(
         cases=read("cases", schemas.CASES),
         situations=read("situations", schemas.SITUATIONS, duplicated=["Infectious.Agent"]),
@@ -125,12 +126,8 @@ def _population_of(spark: SparkSession, sources: PopulationSources, years: Colle
 
 def _states(spark: SparkSession, sources: PopulationSources) -> dict[str, dict[str, str]]:
     """For each year the files it is made from, with their times. The content of the files is not read."""
-    times: dict[str, str] = {}
-    for year in sources.years:
-        for path in sources.files(year):
-            if path not in times:
-                times[path] = source_modified(spark, path).isoformat()
-    return {str(y): {path: times[path] for path in sources.files(y)} for y in sources.years}
+    times = modification_times(spark, [path for y in sources.years for path in sources.files(y)])
+    return {str(y): {path: times[path].isoformat() for path in sources.files(y)} for y in sources.years}
 
 
 def ensure_population(spark: SparkSession, sources: PopulationSources, output: str) -> list[int]:

@@ -9,18 +9,22 @@ from pyspark.sql import functions as F
 
 from epitally.config import Labels, Report
 from epitally.operators.counts import monthly_counts, with_all_regions, zero_filled
-from epitally.operators.filters import window_counts
+from epitally.operators.facts import CountFacts, Counted, write_counts
 from epitally.operators.rates import with_incidence
-from epitally.staging import stage
 
 
-def windowed_counts(events: DataFrame, by: Sequence[str], report: Report, name: str) -> DataFrame:
-    """Monthly counts inside the report window, from one scan of the events.
+def counted(events: DataFrame, by: Sequence[str], report: Report, name: str, regions: Sequence[str] = ()) -> Counted:
+    """Monthly counts inside the report window, and what they cover, from one scan of the events.
 
     Counting comes before the window: the window depends on whole months only,
-    and asking the small staged counts for the latest month spares a second scan.
+    and writing the counts tells the latest month.
     """
-    return window_counts(stage(monthly_counts(events, by), name), report)
+    return write_counts(monthly_counts(events, by), name, regions)[name].window(report)
+
+
+def windowed_counts(events: DataFrame, by: Sequence[str], report: Report, name: str) -> DataFrame:
+    """The counts alone."""
+    return counted(events, by, report, name).frame
 
 
 def monthly_incidence(
@@ -30,13 +34,14 @@ def monthly_incidence(
     regions: Sequence[str],
     categories: DataFrame | None = None,
     labels: Labels | None = None,
+    facts: CountFacts | None = None,
 ) -> DataFrame:
     """Dense counts per region and month with supra-region, population and incidence.
 
-    Events of regions outside the list are one region, and count in the supra-region.
+    ``facts`` spares a job that asks the counts what they cover. Events of regions outside the list are one region, and count in the supra-region.
     """
     labels = labels or Labels()
-    filled = zero_filled(counts, by, regions, categories, labels)
+    filled = zero_filled(counts, by, regions, categories, labels, facts)
     return with_incidence(with_all_regions(filled, by, labels), population)
 
 

@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame
 
 from epitally.config import SurveillanceConfig
 from epitally.operators.checks import CoverageError, require_coverage, require_denominators
-from epitally.operators.filters import report_year
 from epitally.operators.series import SeriesSpec
 from epitally.plans import cases, enquiries, situations
 from epitally.plans.catalogue import QUARTERLY, YEARLY, build_charts, build_series
-from epitally.plans.monthly import windowed_counts
+from epitally.plans.monthly import counted
 from epitally.staging import stage
 
 
@@ -52,18 +51,18 @@ def build_report(
     """Scan each event table once, check coverage, and derive everything else from the counts."""
     report, labels = config.report, config.labels
     counts = {
-        "cases": windowed_counts(cases.clean_cases(inputs.cases), ["category"], report, "cases"),
-        "situations": windowed_counts(
-            situations.clean_situations(inputs.situations), situations.DETAIL, report, "situations"
+        "cases": counted(cases.clean_cases(inputs.cases), ["category"], report, "cases", config.regions),
+        "situations": counted(
+            situations.clean_situations(inputs.situations), situations.DETAIL, report, "situations", config.regions
         ),
-        "enquiries": windowed_counts(enquiries.clean_enquiries(inputs.enquiries), ["topic"], report, "enquiries"),
+        "enquiries": counted(enquiries.clean_enquiries(inputs.enquiries), ["topic"], report, "enquiries", config.regions),
     }
     # The year of the cases is the year of the whole report.
-    year = report_year(counts["cases"])
+    year = counts["cases"].facts.year
     if year is None:
         raise CoverageError("cases: no dated rows")
-    for name, windowed in counts.items():
-        require_coverage(windowed, name, report, year)
+    for name, found in counts.items():
+        require_coverage(found.facts, name, report, year)
     require_denominators(inputs.population, year, [*config.regions, labels.all_regions, labels.national])
 
     population = inputs.population

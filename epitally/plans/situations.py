@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from epitally import fixed_values as fixed
 from epitally.config import Labels, SurveillanceConfig
 from epitally.functions import id_prefix, map_region, parse_day_month_year
+from epitally.operators.facts import Counted
 from epitally.operators.period_table import SITUATION_STYLE, period_table
 from epitally.operators.rates import drop_breakdown
 from epitally.plans.monthly import less_detail, monthly_incidence
@@ -30,9 +31,10 @@ def clean_situations(raw: DataFrame) -> DataFrame:
     )
 
 
-def scenario_agent_monthly(counts: DataFrame, population: DataFrame, regions: Sequence[str], labels: Labels | None = None) -> DataFrame:
+def scenario_agent_monthly(counts: Counted, population: DataFrame, regions: Sequence[str], labels: Labels | None = None) -> DataFrame:
     """Monthly incidence per (scenario, agent) pair that occurs; two columns, never glued together."""
-    return monthly_incidence(less_detail(counts, ["scenario", "agent"]), ["scenario", "agent"], population, regions, None, labels)
+    pairs = ["scenario", "agent"]
+    return monthly_incidence(less_detail(counts.frame, pairs), pairs, population, regions, None, labels, counts.facts)
 
 
 def scenario_chart_monthly(scenario_agent: DataFrame) -> DataFrame:
@@ -40,8 +42,8 @@ def scenario_chart_monthly(scenario_agent: DataFrame) -> DataFrame:
     return drop_breakdown(scenario_agent, ["scenario"], "agent", fixed.AGENTS_OUTSIDE_CHARTS)
 
 
-def setting_monthly(counts: DataFrame, population: DataFrame, regions: Sequence[str], labels: Labels | None = None) -> DataFrame:
-    return monthly_incidence(less_detail(counts, ["setting"]), ["setting"], population, regions, None, labels)
+def setting_monthly(counts: Counted, population: DataFrame, regions: Sequence[str], labels: Labels | None = None) -> DataFrame:
+    return monthly_incidence(less_detail(counts.frame, ["setting"]), ["setting"], population, regions, None, labels, counts.facts)
 
 
 def situation_table(

@@ -4,6 +4,7 @@ from epitally.sources.dimensions import add_labels, period_codes, read_area_map,
 from epitally.sources.files import (
     detect_separator,
     first_column_like,
+    modification_times,
     normalize_columns,
     read_events,
     read_texts,
@@ -15,6 +16,7 @@ __all__ = [
     "add_labels",
     "detect_separator",
     "first_column_like",
+    "modification_times",
     "normalize_columns",
     "period_codes",
     "read_area_map",

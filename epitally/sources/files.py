@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -173,5 +174,17 @@ def source_modified(spark: SparkSession, path: str) -> datetime:
     return files.agg(F.max("modificationTime")).first()[0]
 
 
+def modification_times(spark: SparkSession, paths: Sequence[str]) -> dict[str, datetime]:
+    """For each of several paths what ``source_modified`` gives, from one job that lists their files."""
+    files = spark.read.format("binaryFile").load(list(dict.fromkeys(paths))).select("path", "modificationTime").collect()
+    found = {}
+    for path in paths:
+        own = re.sub("^file:/+", "/", path).rstrip("/")
+        names = [(re.sub("^file:/+", "/", unquote(f.path)), f.modificationTime) for f in files]
+        times = [time for name, time in names if name == own or name.startswith(f"{own}/")]
+        found[path] = max(times) if times else source_modified(spark, path)
+    return found
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

@@ -9,9 +9,10 @@ written table also gives the optimizer exact sizes for its join decisions.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Mapping
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _DIR_SETTING = "spark.checkpoint.dir"
 
@@ -33,3 +34,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{staging_dir(spark)}/epitally/{name}-{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_observed(df: DataFrame, name: str, metrics: Mapping[str, Column]) -> tuple[DataFrame, dict]:
+    """As ``stage``; aggregates over the rows come along with the write that has them anyway."""
+    observation = Observation(f"{name}-{uuid4().hex}")
+    staged = stage(df.observe(observation, *(column.alias(label) for label, column in metrics.items())), name)
+    return staged, observation.get

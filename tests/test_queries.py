@@ -43,7 +43,7 @@ def test_query_equals_sql(spark, data_dir, database, name, monkeypatch):
         staged.append(plan_of(frame))
         return write(frame, label)
 
-    for module in ("workload.queries", "workload.projections", "epitally.plans.monthly"):
+    for module in ("workload.queries", "workload.projections", "epitally.staging"):
         monkeypatch.setattr(f"{module}.stage", watched)
     df = REGISTRY[name](spark, data_dir)
     assert differences(df, database, ORACLE[name]) == []
@@ -62,7 +62,7 @@ def test_each_event_table_is_read_once(spark, data_dir, name, monkeypatch):
         staged.append(plan_of(frame))
         return write(frame, label)
 
-    for module in ("workload.queries", "workload.projections", "epitally.plans.monthly"):
+    for module in ("workload.queries", "workload.projections", "epitally.staging"):
         monkeypatch.setattr(f"{module}.stage", watched)
     plans = "".join([plan_of(REGISTRY[name](spark, data_dir)), *staged])
     scans = Counter(re.findall(r"(\w+)\.parquet\]", plans))

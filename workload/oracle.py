@@ -586,3 +586,26 @@ stacked AS (
 )
 SELECT region, CAST(pop_year AS INTEGER) AS pop_year, CAST(population AS BIGINT) AS population, CAST(pop_year + 1 AS INTEGER) AS year
 FROM stacked"""
+
+
+ORACLE["population_upkeep"] = f"""WITH {_MUNICIPAL},
+cells AS (
+    SELECT CASE w.region WHEN 'EU' THEN 'Zee' ELSE 'WB' END AS region, o.pop_year, o.population FROM observations o
+    JOIN wanted w ON w.municipality = o.municipality AND w.boundary_year = o.pop_year
+),
+regional AS (
+    SELECT region, pop_year, CASE WHEN count(*) = count(population) THEN sum(population) END AS population FROM cells GROUP BY ALL
+),
+stacked AS (
+    SELECT * FROM regional
+    UNION ALL SELECT 'ALL_REGIONS', pop_year, CASE WHEN count(*) = count(population) THEN sum(population) END FROM regional GROUP BY pop_year
+    UNION ALL SELECT 'NATIONAL', pop_year, population FROM nation_rows WHERE pop_year IN (SELECT pop_year FROM regional)
+)
+SELECT region, CAST(pop_year AS INTEGER) AS pop_year, CAST(population AS BIGINT) AS population,
+       '{len(p.AREA_YEARS) - 1},1,0' AS made, 2::INTEGER AS version
+FROM stacked"""
+
+ORACLE["export_order"] = f"""WITH {_ALL_CASES},
+report_year AS (SELECT max(year(event_date)) - 1 AS y FROM all_cases WHERE world_region = 'EUROPE')
+SELECT dataset, place::INTEGER AS place, 'Region ' || y || quarter AS comparison
+FROM (VALUES ('enquiries', 1), ('cases', 2), ('situations', 3)) d(dataset, place), (VALUES (' Q2'), ('')) q(quarter), report_year"""

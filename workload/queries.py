@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 from functools import reduce
 from uuid import uuid4
 
@@ -22,9 +23,10 @@ from epitally.functions import (
     unify_spelling,
     with_date_parts,
 )
-from epitally.operators.checks import coverage_flags, denominator_flags
+from epitally.operators.checks import denominator_flags
 from epitally.operators.counts import dense_counts, dense_template, monthly_counts, with_all_regions, zero_filled
-from epitally.operators.filters import admitted, at_period, report_year, window_counts
+from epitally.operators.facts import Counted, write_counts
+from epitally.operators.filters import admitted, at_period
 from epitally.operators.period_table import (
     DISEASE_STYLE,
     SITUATION_STYLE,
@@ -40,10 +42,11 @@ from epitally.plans.cases import clean_cases, first_link, harmonise_names, natio
 from epitally.plans.catalogue import QUARTERLY, build_charts
 from epitally.plans.denominators import population_table
 from epitally.plans.enquiries import clean_enquiries
-from epitally.plans.inputs import read_wide_population, refresh_population
-from epitally.plans.monthly import less_detail, monthly_incidence, windowed_counts
+from epitally.plans.inputs import PopulationSources, ensure_population, read_wide_population, refresh_population
+from epitally.plans.monthly import counted, less_detail, monthly_incidence, windowed_counts
 from epitally.plans.situations import clean_situations
-from epitally.sources import add_labels, normalize_columns, read_events, schemas, write_table
+from epitally.sources import add_labels, normalize_columns, read_events, schemas, source_modified, write_table
+from epitally.sources.versions import current_version
 from epitally.staging import stage, staging_dir
 from workload import projections as p
 from workload.projections import REGIONS, Tables
@@ -169,26 +172,28 @@ def q_report_window(t: Tables) -> DataFrame:
 # Dense monthly counts and rates
 
 
-def _case_counts(t: Tables, report: Report = QUARTER) -> DataFrame:
-    return windowed_counts(p.cases(t), ["category"], report, "cases")
+def _case_counts(t: Tables, report: Report = QUARTER) -> Counted:
+    return counted(p.cases(t), ["category"], report, "cases", REGIONS)
 
 
-def _situation_counts(t: Tables, report: Report = QUARTER) -> DataFrame:
-    return windowed_counts(p.situations(t), ["scenario", "agent", "setting"], report, "situations")
+def _situation_counts(t: Tables, report: Report = QUARTER) -> Counted:
+    return counted(p.situations(t), ["scenario", "agent", "setting"], report, "situations", REGIONS)
 
 
-def _enquiry_counts(t: Tables, report: Report = QUARTER) -> DataFrame:
-    return windowed_counts(p.enquiries(t), ["topic"], report, "enquiries")
+def _enquiry_counts(t: Tables, report: Report = QUARTER) -> Counted:
+    return counted(p.enquiries(t), ["topic"], report, "enquiries", REGIONS)
 
 
 @query
 def dense_calendar(t: Tables) -> DataFrame:
-    return dense_template(_case_counts(t), ["category"], REGIONS)
+    counts = _case_counts(t)
+    return dense_template(counts.frame, ["category"], REGIONS, facts=counts.facts)
 
 
 @query
 def q_dense_counts(t: Tables) -> DataFrame:
-    return dense_counts(_case_counts(t), ["category"], REGIONS)
+    counts = _case_counts(t)
+    return dense_counts(counts.frame, ["category"], REGIONS, facts=counts.facts)
 
 
 @query
@@ -197,31 +202,37 @@ def domain_dense_counts(t: Tables) -> DataFrame:
     segments = t.customer.select(F.col("c_mktsegment").alias("category"))
     priority = F.col("o_orderpriority")
     urgent = t.orders.select(F.when(priority < "3", priority).otherwise(F.concat(F.lit("not "), priority)).alias("category"))
-    return dense_counts(_case_counts(t), ["category"], REGIONS, segments.unionByName(urgent))
+    counts = _case_counts(t)
+    return dense_counts(counts.frame, ["category"], REGIONS, segments.unionByName(urgent), facts=counts.facts)
 
 
 @query
 def pair_dense_counts(t: Tables) -> DataFrame:
     pairs = ["scenario", "agent"]
-    return dense_counts(less_detail(_situation_counts(t), pairs), pairs, REGIONS)
+    counts = _situation_counts(t)
+    return dense_counts(less_detail(counts.frame, pairs), pairs, REGIONS, facts=counts.facts)
 
 
 @query
 def region_rollup(t: Tables) -> DataFrame:
-    return with_all_regions(zero_filled(_enquiry_counts(t), ["topic"], REGIONS), ["topic"])
+    counts = _enquiry_counts(t)
+    return with_all_regions(zero_filled(counts.frame, ["topic"], REGIONS, facts=counts.facts), ["topic"])
 
 
 def _case_monthly(t: Tables, report: Report = QUARTER) -> DataFrame:
-    return monthly_incidence(_case_counts(t, report), ["category"], p.population(t), REGIONS)
+    counts = _case_counts(t, report)
+    return monthly_incidence(counts.frame, ["category"], p.population(t), REGIONS, facts=counts.facts)
 
 
 def _pair_monthly(t: Tables, report: Report = QUARTER) -> DataFrame:
     pairs = ["scenario", "agent"]
-    return monthly_incidence(less_detail(_situation_counts(t, report), pairs), pairs, p.population(t), REGIONS)
+    counts = _situation_counts(t, report)
+    return monthly_incidence(less_detail(counts.frame, pairs), pairs, p.population(t), REGIONS, facts=counts.facts)
 
 
 def _topic_monthly(t: Tables, report: Report = QUARTER) -> DataFrame:
-    return monthly_incidence(_enquiry_counts(t, report), ["topic"], p.population(t), REGIONS)
+    counts = _enquiry_counts(t, report)
+    return monthly_incidence(counts.frame, ["topic"], p.population(t), REGIONS, facts=counts.facts)
 
 
 @query
@@ -302,14 +313,15 @@ def name_harmonise(t: Tables) -> DataFrame:
 def _disease_table(t: Tables, report: Report) -> DataFrame:
     """Regions and nation from the same staged counts, so from one scan of the orders."""
     events = p.all_cases(t).filter(F.col("category").isNotNull())
-    counts = stage(monthly_counts(events, ["world_region", "category"]), "cases")
-    regional = window_counts(less_detail(p.supra_region_only(counts), ["category"]), report)
-    year = report_year(regional)
+    parts = {"world": F.lit(True), "regional": F.col("world_region") == p.SUPRA_REGION}
+    written = write_counts(monthly_counts(events, ["world_region", "category"]), "cases", REGIONS, parts)
+    counts, window = written["world"].frame, written["regional"].window(report)
+    regional, year = less_detail(window.frame, ["category"]), window.facts.year
     population = p.population(t)
     diseases = counts.select("category")
     national = at_period(counts, year, report).groupBy("category").agg(F.sum("n").alias("n"))
     return period_table(
-        monthly_incidence(regional, ["category"], population, REGIONS, diseases),
+        monthly_incidence(regional, ["category"], population, REGIONS, diseases, facts=window.facts),
         "category",
         report,
         year,
@@ -332,7 +344,7 @@ def disease_table_year(t: Tables) -> DataFrame:
 
 def _report_year(t: Tables, report: Report) -> int:
     """The cases set the year for the other data sets too."""
-    return report_year(windowed_counts(p.cases(t), [], report, "case-months"))
+    return counted(p.cases(t), [], report, "case-months").facts.year
 
 
 @query
@@ -344,15 +356,15 @@ def scenario_table(t: Tables) -> DataFrame:
 
 @query
 def setting_table(t: Tables) -> DataFrame:
-    counts = less_detail(_situation_counts(t), ["setting"])
-    monthly = monthly_incidence(counts, ["setting"], p.population(t), REGIONS)
+    counts = _situation_counts(t)
+    monthly = monthly_incidence(less_detail(counts.frame, ["setting"]), ["setting"], p.population(t), REGIONS, facts=counts.facts)
     return period_table(monthly, "setting", QUARTER, _report_year(t, QUARTER), REGIONS, SITUATION_STYLE)
 
 
 @query
 def setting_table_year(t: Tables) -> DataFrame:
-    counts = less_detail(_situation_counts(t, YEAR), ["setting"])
-    monthly = monthly_incidence(counts, ["setting"], p.population(t), REGIONS)
+    counts = _situation_counts(t, YEAR)
+    monthly = monthly_incidence(less_detail(counts.frame, ["setting"]), ["setting"], p.population(t), REGIONS, facts=counts.facts)
     return period_table(monthly, "setting", YEAR, _report_year(t, YEAR), REGIONS, SITUATION_STYLE)
 
 
@@ -451,31 +463,20 @@ def display_names(t: Tables) -> DataFrame:
 
 @query
 def quality_flags(t: Tables) -> DataFrame:
-    """What the guards look at, per data set and report kind, from one pass over each event table."""
-    items = stage(monthly_counts(p.line_events(t), ["situation"]), "items")
-    staged = {
-        "cases": stage(monthly_counts(p.cases(t), []), "cases"),
-        "situations": items.filter("situation"),
-        "enquiries": items,
-    }
-    population = p.population(t)
+    """What the guards look at, per data set and report kind, learned while the counts of one pass over each event table are written."""
+    parts = {"situations": F.col("situation"), "enquiries": F.lit(True)}
+    written = write_counts(monthly_counts(p.cases(t), []), "cases") | write_counts(monthly_counts(p.line_events(t), ["situation"]), "items", parts=parts)
+    population = stage(p.population(t), "population")
     needed = [*REGIONS, LABELS.all_regions, LABELS.national]
     flags = []
     for report in (QUARTER, LAST_QUARTER):
-        windowed = {name: window_counts(counts, report) for name, counts in staged.items()}
-        year = report_year(windowed["cases"])
+        facts = {name: found.facts.window(report) for name, found in written.items()}
+        year = facts["cases"].year
         serving = denominator_flags(population, year, needed).first()
-        for name, counts in windowed.items():
-            flags.append(
-                coverage_flags(counts, report, year).select(
-                    F.lit(name).alias("dataset"),
-                    F.lit(report.kind).alias("report"),
-                    "*",
-                    F.lit(serving.fresh).alias("fresh"),
-                    F.lit(serving.complete).alias("complete"),
-                )
-            )
-    return _union(flags)
+        for name, own in facts.items():
+            flags.append({"dataset": name, "report": report.kind} | own.coverage(report, year) | {"fresh": serving.fresh, "complete": serving.complete})
+    kinds = "first_year int, latest_year int, period_covered boolean, starts_in_time boolean, fresh boolean, complete boolean"
+    return t.spark.createDataFrame(flags, f"dataset string, report int, {kinds}")
 
 
 PRESENCE_SPECS = (
@@ -590,10 +591,8 @@ def csv_situations(t: Tables) -> DataFrame:
     return monthly_counts(clean_situations(read), ["scenario", "agent", "setting"])
 
 
-@query
-def population_refresh(t: Tables) -> DataFrame:
-    """Municipal counts, area tables and their dictionaries as files; regional population written and read back."""
-    folder = _scratch(t, "population")
+def _population_files(t: Tables, folder: str) -> PopulationSources:
+    """Municipal counts, area tables and their dictionaries as files."""
     names = {"EUROPE": "GGD Zeeland", "ASIA": "GGD West-Brabant"}
     observations = p.municipal_observations(t).toDF("RegioS", "Perioden", "BevolkingAanHetBeginVanDePeriode_1")
     write_table(observations, f"{folder}/observations.parquet")
@@ -618,5 +617,41 @@ def population_refresh(t: Tables) -> DataFrame:
         ]
         dictionary = t.spark.createDataFrame(columns, "ID int, ParentID int, Type string, Key string, Title string, Position int")
         dictionary.write.options(**quoting).csv(dictionaries[year])
-    refresh_population(t.spark, f"{folder}/observations.parquet", areas, dictionaries, f"{folder}/wide.parquet", "fixed")
+    return PopulationSources(f"{folder}/observations.parquet", areas, dictionaries)
+
+
+@query
+def population_refresh(t: Tables) -> DataFrame:
+    """Regional population by fixed boundaries, made from files, written and read back."""
+    folder = _scratch(t, "population")
+    files = _population_files(t, folder)
+    refresh_population(t.spark, files.observations, files.area_tables, files.dictionaries, f"{folder}/wide.parquet", "fixed")
     return read_wide_population(t.spark, f"{folder}/wide.parquet")
+
+
+@query
+def population_upkeep(t: Tables) -> DataFrame:
+    """Regional population by each year's boundaries: absent at first, then a year behind its files, then up to date."""
+    folder = _scratch(t, "upkeep")
+    files, path = _population_files(t, folder), f"{folder}/wide.parquet"
+    made = [ensure_population(t.spark, replace(files, last_year=last), path) for last in (p.AREA_YEARS[-2], None, None)]
+    version = current_version(t.spark, path)
+    facts = F.lit(",".join(str(len(years)) for years in made)).alias("made"), F.lit(version.number).cast("int").alias("version")
+    return read_wide_population(t.spark, path).select("region", "pop_year", "population", *facts)
+
+
+@query
+def export_order(t: Tables) -> DataFrame:
+    """When the files of the event inputs were written, as an order, and the column header of the year before."""
+    folder = _scratch(t, "exports")
+    events = {"enquiries": p.raw_enquiries(t), "cases": p.raw_cases(t), "situations": p.raw_situations(t)}
+    for name, raw in events.items():  # one after another
+        raw.write.option("header", True).csv(f"{folder}/{name}")
+    modified = {name: source_modified(t.spark, f"{folder}/{name}") for name in events}
+    year = counted(p.cases(t), [], QUARTER, "case-months").facts.year
+    found = [
+        (name, sorted(modified.values()).index(time) + 1, report.comparison_label("Region", year))
+        for name, time in modified.items()
+        for report in (QUARTER, YEAR)
+    ]
+    return t.spark.createDataFrame(found, "dataset string, place int, comparison string")
