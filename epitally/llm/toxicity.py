@@ -2,10 +2,13 @@
 
 The features of a text are its words and the beginnings of its words, present or
 not, anywhere in the whole text. Those that the labels of a sample speak for most
-clearly are weighted by logistic regression. In the labelled sentences every
-identity term is then swapped for the other terms of its group and for the
-group's neutral word, and the loss grows with the square of the score change, so
-the mere mention of a group gains no weight from the company it keeps.
+clearly, and those of all identity terms, are weighted by logistic regression. In
+every labelled sentence that names a group, the identity term is swapped for the
+other terms of its group and for the group's neutral word. Labelled sentences that
+name none are made to: one sentence of each document of the sample gets the neutral
+word or, instead, a term of the group, for every term. The loss grows with the square
+of the score change, over as many sentences as have it, so the mere mention of a group
+gains no weight from the company it keeps, whatever the labelled texts mention.
 
 What grows with the data runs as Spark jobs: the labels choose a bounded sample,
 its features are counted by partial aggregation, and scoring reads each text
@@ -16,14 +19,17 @@ Defined results: a NULL or empty text has no features and gets the score of the
 bias alone; ids with conflicting labels are toxic; rows with a NULL id or label
 are not learned from; without examples of both classes every score is the share of toxic labels,
 or 0 without labels; texts of any length are read whole; repeated rows score
-alike; an empty table gives an empty result; columns named like the new ones
+alike; of several texts under one labelled id the first in order is learned from; an
+empty table gives an empty result; columns named like the new ones
 give way, others are kept.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +65,7 @@ class ToxicitySpec:
     #: Documents of the sample that must have a feature.
     least_documents: int = 5
     ridge: float = 2e-5
-    #: Weight of the squared score changes under swaps.
+    #: Weight of the squared score changes under swaps, on average over the swapped sentences.
     counterfactual: float = 1.0
     threshold: float = 0.3
 
@@ -122,10 +128,15 @@ class _Lookup:
 
 
 class ToxicityModel:
-    """Logistic weights of known features."""
+    """Logistic weights of known features.
 
-    def __init__(self, known: np.ndarray, weights: np.ndarray, bias: float):
+    ``swaps`` is the number of swapped sentences learned from, ``gap`` how far a swap moved
+    the score before its logistic curve, on average, without the penalty and with it.
+    """
+
+    def __init__(self, known: np.ndarray, weights: np.ndarray, bias: float, swaps: int = 0, gap: tuple[float, float] = (0.0, 0.0)):
         self.lookup, self.weights, self.bias = _Lookup(known), weights, bias
+        self.swaps, self.gap = swaps, gap
 
     def scores(self, features: Features, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         texts, numbers = features.of(data, at)
@@ -134,16 +145,16 @@ class ToxicityModel:
 
 
 def train(
-    rows: np.ndarray, toxic: np.ndarray, weight: np.ndarray, swaps: np.ndarray, spec: ToxicitySpec, rounds: int = 25
+    rows: np.ndarray, toxic: np.ndarray, weight: np.ndarray, swaps: np.ndarray, times: np.ndarray, spec: ToxicitySpec, rounds: int = 25
 ) -> tuple[np.ndarray, float]:
-    """Logistic regression by Newton steps. ``swaps`` are the feature changes of swapped sentences, one per row."""
+    """Logistic regression by Newton steps. ``swaps`` are feature changes, one per row, that ``times`` swapped sentences have."""
     full = np.hstack([rows, np.ones((len(rows), 1))]).astype(np.float64)
     changes = np.hstack([swaps, np.zeros((len(swaps), 1))]).astype(np.float64)
     share = weight / weight.sum()
     curve = np.eye(full.shape[1]) * spec.ridge
     curve[-1, -1] = 1e-9
     if len(changes):
-        curve += 2 * spec.counterfactual * changes.T @ changes / len(changes)
+        curve += 2 * spec.counterfactual * (changes * times[:, None]).T @ changes / times.sum()
     w = np.zeros(full.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(full @ w, -30, 30)))
@@ -166,15 +177,38 @@ def _sample(labels: DataFrame, spec: ToxicitySpec) -> tuple[DataFrame, dict[int,
     return known.filter(chosen), sizes
 
 
-def _swapped(sentence: str, groups: Sequence[list[str]], features: Features) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each identity term of a sentence and each substitute: the features lost and gained."""
-    words = set(sentence.lower().split())
-    for group in groups:
-        for term in words.intersection(group):
-            for other in group:
-                if other != term and other not in words:
-                    old, new = features.of_text(term), features.of_text(other)
-                    yield np.setdiff1d(old, new), np.setdiff1d(new, old)
+_WORD = re.compile(r"[A-Za-z\x80-\U0010ffff]+")
+
+
+class _Swaps:
+    """Feature changes of sentences whose identity terms are swapped, or that are given one."""
+
+    def __init__(self, groups: Sequence[list[str]], features: Features, lookup: _Lookup):
+        self._groups, self._features, self._lookup = groups, features, lookup
+        self._terms = {term for group in groups for term in group}
+        self._row = {term: self._present(features.of_text(term)) for term in self._terms}
+        pairs = [(group[0], term) for group in groups for term in group[1:]]
+        self._neutral, self._named = (np.stack([self._row[pair[i]] for pair in pairs]) if pairs else None for i in (0, 1))
+
+    def _present(self, numbers: np.ndarray) -> np.ndarray:
+        return self._lookup.rows(np.zeros(len(numbers), np.int64), numbers, 1)[0] > 0
+
+    def of(self, sentence: str) -> Iterator[np.ndarray]:
+        """For each identity term of a sentence and each substitute it does not hold: the change of the whole sentence's features."""
+        words = [w.lower() for w in _WORD.findall(sentence)]
+        named = self._terms.intersection(words)
+        for term in sorted(named):
+            rest = self._present(self._features.of_text(" ".join(w for w in words if w != term)))
+            for group in self._groups:
+                if term in group:
+                    for other in group:
+                        if other not in named:
+                            yield (rest | self._row[other]).astype(np.int8) - (rest | self._row[term])
+
+    def given(self, sentence: str) -> np.ndarray:
+        """For each term of each group: how the features differ from those with the group's neutral word."""
+        rest = self._present(self._features.of_text(sentence))
+        return (rest | self._named).astype(np.int8) - (rest | self._neutral)
 
 
 def fit(docs: DataFrame, labels: DataFrame, spec: ToxicitySpec = ToxicitySpec(), identity_groups: Sequence[str] = IDENTITY_GROUPS) -> ToxicityModel:
@@ -184,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, spec: ToxicitySpec = ToxicitySpec(),
         share = sizes.get(1, 0) / max(1, sum(sizes.values()))
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.clip(np.log(share / (1 - share)) if 0 < share < 1 else (30 if share else -30), -30, 30)))
     # At most a few thousand ids by the parameter above, so they go to every task.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
@@ -208,33 +242,41 @@ def fit(docs: DataFrame, labels: DataFrame, spec: ToxicitySpec = ToxicitySpec(),
     best = counts.filter(F.col("positive") + F.col("negative") >= spec.least_documents).select("feature", F.abs(z).alias("z"))
     best = best.filter("z > 4").orderBy(F.desc("z"), "feature").limit(spec.most_features).collect()
     groups = [g.split() for g in identity_groups]
-    known = np.array([r.feature for r in best], np.int64).view(np.uint64)
+    own = Features()
+    named = [own.of_text(term) for group in groups for term in group]
+    known = np.unique(np.concatenate([np.array([r.feature for r in best], np.int64).view(np.uint64), *named]))
     lookup = _Lookup(known)
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The presence row of each document, and a signed row for each swap in its sentences."""
+        """The presence row of each document (kind: its label), and the changes by swaps in its sentences (kind: -1)."""
         features = Features()
+        swaps = _Swaps(groups, features, lookup)
         for batch in W.batched(batches, "text"):
             rows = lookup.rows(*features.of(*W.buffer(batch.column("text"))), batch.num_rows)
-            kinds, out = list(batch.column("toxic").to_pylist()), [r.astype(np.int8).tobytes() for r in rows]
-            changes: dict[bytes, None] = {}  # equal swaps count once per batch, which bounds them by the terms
+            out = Counter(zip(batch.column("toxic").to_pylist(), (r.astype(np.int8).tobytes() for r in rows), strict=True))
             for text in batch.column("text").to_pylist():
-                for sentence in (text or "").replace("\n", ".").split("."):
-                    for lost, gained in _swapped(sentence, groups, features):
-                        minus, plus = (lookup.rows(np.zeros(len(x), np.int64), x, 1)[0] for x in (lost, gained))
-                        if minus.any() or plus.any():
-                            changes[(plus - minus).astype(np.int8).tobytes()] = None
-            yield pa.RecordBatch.from_arrays([pa.array(kinds + [-1] * len(changes), pa.int32()), pa.array(out + list(changes), pa.binary())], names=["kind", "row"])
-
-    found = sample.mapInArrow(present, "kind int, row binary").collect()
-    found = sorted({(r.kind, r.row) for r in found if r.kind < 0}) + sorted((r.kind, r.row) for r in found if r.kind >= 0)
-    rows = np.stack([np.frombuffer(r, np.int8) for _, r in found]) if found else np.zeros((0, len(known)), np.int8)
-    kind = np.array([k for k, _ in found], np.int64)
-    weight = np.where(kind[kind >= 0] == 1, sizes[1] / p, sizes[0] / n)
+                sentences = [x for x in re.split("[.!?\n]", text or "") if _WORD.search(x)]
+                changes = [change for sentence in sentences for change in swaps.of(sentence)]
+                if sentences and groups:
+                    changes += list(swaps.given(sentences[0]))
+                out.update((-1, change.tobytes()) for change in changes if change.any())
+            kinds, held = zip(*out, strict=True) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(held, pa.binary()), pa.array(list(out.values()), pa.int64())], names=["kind", "row", "times"])
+
+    # As many rows as documents of the sample, and pairs of terms in different company.
+    found = sample.mapInArrow(present, "kind int, row binary, times long").groupBy("kind", "row").agg(F.sum("times").alias("times"))
+    found = sorted((r.kind, bytes(r.row), r.times) for r in found.collect())
+    rows = np.stack([np.frombuffer(r, np.int8) for _, r, _ in found]) if found else np.zeros((0, len(known)), np.int8)
+    kind, times = (np.array([r[i] for r in found], np.int64) for i in (0, 2))
     if not (kind == 1).any() or not (kind == 0).any():
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -30.0)
-    weights, bias = train(rows[kind >= 0], kind[kind >= 0] == 1, weight, rows[kind < 0], spec)
-    return ToxicityModel(known, weights.astype(np.float32), bias)
+    of_text, of_swap = kind >= 0, kind < 0
+    weight = np.where(kind[of_text] == 1, sizes[1] / p, sizes[0] / n) * times[of_text]
+    gaps = []
+    for penalty in (0.0, spec.counterfactual):
+        weights, bias = train(rows[of_text], kind[of_text] == 1, weight, rows[of_swap], times[of_swap], replace(spec, counterfactual=penalty))
+        gaps.append(float(np.average(np.abs(rows[of_swap] @ weights), weights=times[of_swap])) if of_swap.any() else 0.0)
+    return ToxicityModel(known, weights.astype(np.float32), bias, int(times[of_swap].sum()), tuple(gaps))
 
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = ToxicitySpec.threshold) -> DataFrame:

@@ -64,3 +64,49 @@ def test_features_are_words_and_their_beginnings():
     assert len(np.intersect1d(long, features.of_text("wordless"))) == 1
     texts, numbers = features.of(np.frombuffer(b"wordwordily", np.uint8), np.array([0, 4, 4, 11]))
     assert (np.unique(numbers[texts == 0]) == short).all() and (np.unique(numbers[texts == 2]) == long).all()
+
+
+def test_swaps_see_words_through_punctuation():
+    features = toxicity.Features()
+    group = ["people", "muslims", "women"]
+    lookup = toxicity._Lookup(np.unique(np.concatenate([features.of_text(w) for w in [*group, "came", "musl"]])))
+    swaps = toxicity._Swaps([group], features, lookup)
+    for sentence in ("the muslims, who came", '"Muslims" came', "(muslims) came"):
+        changes = list(swaps.of(sentence))
+        assert len(changes) == 2 and all((c > 0).any() and (c < 0).any() for c in changes)
+    assert list(swaps.of("they came")) == [] and len(list(swaps.of("muslims and women"))) == 2
+    assert swaps.given("they came").shape[0] == 2 and (swaps.given("muslims came")[0] <= 0).all()
+
+
+def test_penalty_has_rows_where_no_text_names_a_group(spark, data_dir):
+    folder = data_dir.replace("sf0.001", "sf0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic"))
+    assert model.swaps > 1000 and model.gap[1] <= model.gap[0]
+
+
+def test_swapped_held_out_sentences_score_alike(spark):
+    docs, labels = biased(spark)
+    models = {c: toxicity.fit(docs, labels, toxicity.ToxicitySpec(counterfactual=c)) for c in (0, 1)}
+    rng = random.Random(9)
+    contexts = ["".join(rng.choice("bcdfgaeiou") for _ in range(5)) + " %s " + rng.choice(["vermin", "came", "filth"]) for _ in range(60)]
+    gap = {}
+    for c, model in models.items():
+        named, neutral = (np.array(scores(spark, model, [x % word for x in contexts])) for word in ("immigrants", "residents"))
+        gap[c] = np.abs(named - neutral).mean()
+    assert gap[0] > 0.1 and gap[1] < gap[0] / 4  # two thirds of the contexts have a decided score anyway
+    assert models[1].gap[1] < 0.2 * models[1].gap[0]
+
+
+def test_long_texts_ties_and_repeated_ids(spark):
+    docs, labels = biased(spark)
+    long = docs.limit(1).select(F.lit(9999).cast("long").alias("doc_id"), F.lit("word " * 200_000 + "vermin").alias("text"), F.lit(None).cast("string").alias("PREDICTED"))
+    twice = docs.filter("doc_id < 40").withColumn("text", F.concat(F.lit("zzz "), "text"))
+    model = toxicity.fit(docs.unionByName(twice), labels)
+    again = toxicity.fit(twice.unionByName(docs).repartition(5), labels)
+    assert (model.lookup.known == again.lookup.known).all() and np.allclose(model.weights, again.weights, atol=1e-6)
+    found = toxicity.score(docs.unionByName(long), model, 0.3).filter("doc_id = 9999").first()
+    assert found.predicted == int(found.score >= 0.3)
+    bias = 1 / (1 + np.exp(-model.bias))
+    at = toxicity.score(spark.createDataFrame([(1, "")], "doc_id long, text string"), model, float(bias)).first()
+    assert at.predicted == int(at.score >= float(bias))  # a score at the threshold counts
