@@ -70,6 +70,22 @@ def test_each_event_table_is_read_once(spark, data_dir, name, monkeypatch):
     assert scans["orders"] == (2 if name == "quality_flags" else 1)  # cases, and the orders of the line items
 
 
+@pytest.mark.parametrize("name", ["scenario_table", "setting_table", "top5_topics_wide"])
+def test_the_year_takes_no_second_scan_of_the_orders(spark, data_dir, name, monkeypatch):
+    staged = []
+    write = staging.stage
+
+    def watched(frame, label):
+        staged.append(plan_of(frame))
+        return write(frame, label)
+
+    for module in ("workload.queries", "workload.projections", "epitally.staging"):
+        monkeypatch.setattr(f"{module}.stage", watched)
+    plans = "".join([plan_of(REGISTRY[name](spark, data_dir)), *staged])
+    scans = Counter(re.findall(r"(\w+)\.parquet\]", plans))
+    assert scans["orders"] == scans["lineitem"] == 1
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 

@@ -89,12 +89,14 @@ def cases(t: Tables) -> DataFrame:
     return supra_region_only(all_cases(t)).select("region", "event_date", "category", "status")
 
 
-def _regional_orders(t: Tables) -> DataFrame:
+def regional_orders(t: Tables) -> DataFrame:
     customers = supra_region_only(customer_regions(t)).select("c_custkey", "region")
-    return t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "region")
+    orders = t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    return orders.select("o_orderkey", "region", F.col("o_orderdate").cast("date").alias("order_date"))
 
 
-def situations(t: Tables) -> DataFrame:
+def situations(t: Tables, orders: DataFrame | None = None) -> DataFrame:
+    """``orders``: the regional ones, if they are written already."""
     items = t.lineitem.filter(F.col("l_discount") > 0.05).select(
         "l_orderkey",
         F.col("l_shipdate").cast("date").alias("event_date"),
@@ -103,17 +105,17 @@ def situations(t: Tables) -> DataFrame:
         F.nullif(F.col("l_linenumber").cast("string"), F.lit("7")).alias("setting"),
     )
     return (
-        items.join(_regional_orders(t), F.col("l_orderkey") == F.col("o_orderkey"))
+        items.join(orders if orders is not None else regional_orders(t), F.col("l_orderkey") == F.col("o_orderkey"))
         .select("region", "event_date", "scenario", "agent", "setting")
         .fillna("(leeg)", ["scenario", "setting"])
     )
 
 
-def enquiries(t: Tables) -> DataFrame:
+def enquiries(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     items = t.lineitem.select("l_orderkey", "l_partkey", F.col("l_shipdate").cast("date").alias("event_date"))
     parts = t.part.select("p_partkey", F.col("p_brand").alias("topic"))
     return (
-        items.join(_regional_orders(t), F.col("l_orderkey") == F.col("o_orderkey"))
+        items.join(orders if orders is not None else regional_orders(t), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .select(nullif("region", UNKNOWN_REGION).alias("region"), "event_date", "topic")
     )
@@ -124,7 +126,7 @@ def line_events(t: Tables) -> DataFrame:
     items = t.lineitem.select(
         "l_orderkey", F.col("l_shipdate").cast("date").alias("event_date"), (F.col("l_discount") > 0.05).alias("situation")
     )
-    return items.join(_regional_orders(t), F.col("l_orderkey") == F.col("o_orderkey")).select("region", "event_date", "situation")
+    return items.join(regional_orders(t), F.col("l_orderkey") == F.col("o_orderkey")).select("region", "event_date", "situation")
 
 
 def population(t: Tables) -> DataFrame:

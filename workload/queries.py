@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import replace
+from datetime import date
 from functools import reduce
 from uuid import uuid4
 
@@ -25,7 +26,7 @@ from epitally.functions import (
 )
 from epitally.operators.checks import denominator_flags
 from epitally.operators.counts import dense_counts, dense_template, monthly_counts, with_all_regions, zero_filled
-from epitally.operators.facts import Counted, write_counts
+from epitally.operators.facts import Counted, CountFacts, write_counts
 from epitally.operators.filters import admitted, at_period
 from epitally.operators.period_table import (
     DISEASE_STYLE,
@@ -47,7 +48,7 @@ from epitally.plans.monthly import counted, less_detail, monthly_incidence, wind
 from epitally.plans.situations import clean_situations
 from epitally.sources import add_labels, normalize_columns, read_events, schemas, source_modified, write_table
 from epitally.sources.versions import current_version
-from epitally.staging import stage, staging_dir
+from epitally.staging import stage, stage_observed, staging_dir
 from workload import projections as p
 from workload.projections import REGIONS, Tables
 
@@ -176,12 +177,12 @@ def _case_counts(t: Tables, report: Report = QUARTER) -> Counted:
     return counted(p.cases(t), ["category"], report, "cases", REGIONS)
 
 
-def _situation_counts(t: Tables, report: Report = QUARTER) -> Counted:
-    return counted(p.situations(t), ["scenario", "agent", "setting"], report, "situations", REGIONS)
+def _situation_counts(t: Tables, report: Report = QUARTER, orders: DataFrame | None = None) -> Counted:
+    return counted(p.situations(t, orders), ["scenario", "agent", "setting"], report, "situations", REGIONS)
 
 
-def _enquiry_counts(t: Tables, report: Report = QUARTER) -> Counted:
-    return counted(p.enquiries(t), ["topic"], report, "enquiries", REGIONS)
+def _enquiry_counts(t: Tables, report: Report = QUARTER, orders: DataFrame | None = None) -> Counted:
+    return counted(p.enquiries(t, orders), ["topic"], report, "enquiries", REGIONS)
 
 
 @query
@@ -224,14 +225,14 @@ def _case_monthly(t: Tables, report: Report = QUARTER) -> DataFrame:
     return monthly_incidence(counts.frame, ["category"], p.population(t), REGIONS, facts=counts.facts)
 
 
-def _pair_monthly(t: Tables, report: Report = QUARTER) -> DataFrame:
+def _pair_monthly(t: Tables, report: Report = QUARTER, orders: DataFrame | None = None) -> DataFrame:
     pairs = ["scenario", "agent"]
-    counts = _situation_counts(t, report)
+    counts = _situation_counts(t, report, orders)
     return monthly_incidence(less_detail(counts.frame, pairs), pairs, p.population(t), REGIONS, facts=counts.facts)
 
 
-def _topic_monthly(t: Tables, report: Report = QUARTER) -> DataFrame:
-    counts = _enquiry_counts(t, report)
+def _topic_monthly(t: Tables, report: Report = QUARTER, orders: DataFrame | None = None) -> DataFrame:
+    counts = _enquiry_counts(t, report, orders)
     return monthly_incidence(counts.frame, ["topic"], p.population(t), REGIONS, facts=counts.facts)
 
 
@@ -342,30 +343,34 @@ def disease_table_year(t: Tables) -> DataFrame:
     return _disease_table(t, YEAR)
 
 
-def _report_year(t: Tables, report: Report) -> int:
-    """The cases set the year for the other data sets too."""
-    return counted(p.cases(t), [], report, "case-months").facts.year
+def _orders_and_year(t: Tables, report: Report) -> tuple[DataFrame, int | None]:
+    """The regional orders, written, and the report year: the cases, which are orders, set it for the other data sets too."""
+    month = F.trunc("order_date", "MM").cast("string")
+    orders, found = stage_observed(p.regional_orders(t), "regional-orders", {"months": F.collect_set(month)})
+    facts = CountFacts(frozenset((date.fromisoformat(m), "listed") for m in found.get("months") or ()), ())
+    return orders.drop("order_date"), facts.window(report).year
 
 
 @query
 def scenario_table(t: Tables) -> DataFrame:
-    return period_table(
-        _pair_monthly(t), "scenario", QUARTER, _report_year(t, QUARTER), REGIONS, SITUATION_STYLE
-    )
+    orders, year = _orders_and_year(t, QUARTER)
+    return period_table(_pair_monthly(t, QUARTER, orders), "scenario", QUARTER, year, REGIONS, SITUATION_STYLE)
 
 
 @query
 def setting_table(t: Tables) -> DataFrame:
-    counts = _situation_counts(t)
+    orders, year = _orders_and_year(t, QUARTER)
+    counts = _situation_counts(t, QUARTER, orders)
     monthly = monthly_incidence(less_detail(counts.frame, ["setting"]), ["setting"], p.population(t), REGIONS, facts=counts.facts)
-    return period_table(monthly, "setting", QUARTER, _report_year(t, QUARTER), REGIONS, SITUATION_STYLE)
+    return period_table(monthly, "setting", QUARTER, year, REGIONS, SITUATION_STYLE)
 
 
 @query
 def setting_table_year(t: Tables) -> DataFrame:
-    counts = _situation_counts(t, YEAR)
+    orders, year = _orders_and_year(t, YEAR)
+    counts = _situation_counts(t, YEAR, orders)
     monthly = monthly_incidence(less_detail(counts.frame, ["setting"]), ["setting"], p.population(t), REGIONS, facts=counts.facts)
-    return period_table(monthly, "setting", YEAR, _report_year(t, YEAR), REGIONS, SITUATION_STYLE)
+    return period_table(monthly, "setting", YEAR, year, REGIONS, SITUATION_STYLE)
 
 
 def _sparse_cells(t: Tables) -> DataFrame:
@@ -406,9 +411,8 @@ def rounding_masking(t: Tables) -> DataFrame:
 
 
 def _top5(t: Tables) -> DataFrame:
-    return top_topics(
-        _topic_monthly(t), "topic", QUARTER, _report_year(t, QUARTER), relabel={"Brand#1": "Brand # 1"}
-    )
+    orders, year = _orders_and_year(t, QUARTER)
+    return top_topics(_topic_monthly(t, QUARTER, orders), "topic", QUARTER, year, relabel={"Brand#1": "Brand # 1"})
 
 
 @query
