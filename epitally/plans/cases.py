@@ -24,8 +24,8 @@ from epitally.operators.period_table import DISEASE_STYLE, period_table
 from epitally.plans.monthly import monthly_incidence
 
 
-def clean_cases(raw: DataFrame) -> DataFrame:
-    """Admitted cases as ``region``, ``event_date``, ``category``.
+def clean_cases(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Admitted cases as ``region``, ``event_date``, ``category`` and the columns to ``keep``.
 
     One narrow pass. Leaving out diseases keeps rows without a disease, because
     some of them get one from their diagnosis afterwards.
@@ -52,6 +52,7 @@ def clean_cases(raw: DataFrame) -> DataFrame:
         map_region(id_prefix(F.col("case_identifier")), fixed.REGION_BY_PREFIX).alias("region"),
         parse_day_month_year(F.col("time_entered")).alias("event_date"),
         "category",
+        *keep,
     )
 
 

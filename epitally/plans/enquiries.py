@@ -15,8 +15,8 @@ from epitally.operators.topics import pivot_topics, top_topics
 from epitally.plans.monthly import monthly_incidence
 
 
-def clean_enquiries(raw: DataFrame) -> DataFrame:
-    """Enquiries on infectious diseases as ``region``, ``event_date``, ``topic``."""
+def clean_enquiries(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Enquiries on infectious diseases as ``region``, ``event_date``, ``topic`` and the columns to ``keep``."""
     return raw.filter(
         (F.col("broad_topic") == fixed.ENQUIRY_BROAD_TOPIC)
         & F.col("received_on").isNotNull()
@@ -25,6 +25,7 @@ def clean_enquiries(raw: DataFrame) -> DataFrame:
         map_region(F.col("region_name"), fixed.REGION_BY_ENQUIRY_NAME, default=None).alias("region"),
         parse_leading_date(F.col("received_on")).alias("event_date"),
         "topic",
+        *keep,
     )
 
 

@@ -18,14 +18,15 @@ from epitally.plans.monthly import less_detail, monthly_incidence
 DETAIL = ["scenario", "agent", "setting"]
 
 
-def clean_situations(raw: DataFrame) -> DataFrame:
-    """Article-26 situations as ``region``, ``event_date``, ``scenario``, ``agent``, ``setting``."""
+def clean_situations(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Article-26 situations as ``region``, ``event_date``, ``scenario``, ``agent``, ``setting`` and the columns to ``keep``."""
     return (
         raw.filter(F.col("article_26") == fixed.ARTICLE_26_VALUE)
         .select(
             map_region(id_prefix(F.col("name")), fixed.REGION_BY_PREFIX).alias("region"),
             parse_day_month_year(F.col("date_entered")).alias("event_date"),
             *DETAIL,
+            *keep,
         )
         .fillna(fixed.EMPTY_LABEL, ["scenario", "setting"])
     )

@@ -40,6 +40,10 @@ def first_column_like(df: DataFrame, prefix: str) -> DataFrame:
     return df.drop(*matches[1:]).withColumnRenamed(matches[0], prefix)
 
 
+class NoHeader(ValueError):
+    """None of the files to read has a header."""
+
+
 class _Part(NamedTuple):
     """Files with the same columns, as texts. ``_place`` says where a row stands, if that was asked for."""
 
@@ -62,7 +66,7 @@ def _parts(spark: SparkSession, paths: Sequence[str], sep: str, multi_line: bool
     listed = list_files(spark, paths)
     shapes = shapes_of(spark, listed)
     if not shapes:
-        raise ValueError(f"no file under {', '.join(paths)} has a header")
+        raise NoHeader(f"no file under {', '.join(paths)} has a header")
     groups: dict[tuple, list[FileShape]] = {}
     for shape in shapes.values():
         own = separator_of(shape.header) if sep == "auto" else sep

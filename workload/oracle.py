@@ -559,6 +559,8 @@ SELECT disease, diagnosis AS summary_diagnosis, confidence, status, count(*) AS
        CAST(sum(floor(amount)) AS BIGINT) AS wholes
 FROM raw GROUP BY ALL"""
 
+ORACLE["incremental_counts"] = f"SELECT *, '4,0,1,1' AS counted, '0,0,0,1' AS dropped FROM ({ORACLE['cleaned_cases']})"
+
 ORACLE["csv_rejects"] = """
 WITH written AS (
     SELECT CASE WHEN c_custkey % 7 = 0 THEN 'not a number' WHEN c_custkey % 11 = 0 OR c_custkey % 13 = 0 THEN 'missing' ELSE 'kept' END AS balance,

@@ -8,7 +8,7 @@ from datetime import date
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epitally.config import Labels, Report
@@ -43,6 +43,7 @@ from epitally.plans.cases import clean_cases, first_link, harmonise_names, natio
 from epitally.plans.catalogue import QUARTERLY, build_charts
 from epitally.plans.denominators import population_table
 from epitally.plans.enquiries import clean_enquiries
+from epitally.plans.increments import case_exports, current_counts, ensure_counts
 from epitally.plans.inputs import PopulationSources, ensure_population, read_wide_population, refresh_population
 from epitally.plans.monthly import counted, less_detail, monthly_incidence, windowed_counts
 from epitally.plans.situations import clean_situations
@@ -560,6 +561,25 @@ def csv_cases(t: Tables) -> DataFrame:
     return read.groupBy("disease", "summary_diagnosis", "confidence", "status").agg(*sums)
 
 
+@query
+def incremental_counts(t: Tables) -> DataFrame:
+    """Counts kept by export file: four exports, nothing new, a fifth one, and one written anew."""
+    folder = _scratch(t, "increments")
+    raw = p.raw_cases(t).withColumn("export", F.pmod(F.crc32("`Case Identifier`"), F.lit(5)).cast("int"))
+
+    def write(which: Column) -> None:
+        exports = raw.filter(which).repartition(5, "export").write.mode("overwrite").partitionBy("export")
+        exports.options(header=True, quote='"', escape='"', partitionOverwriteMode="dynamic").csv(f"{folder}/exports")
+
+    updates = []
+    for which in (F.col("export") < 4, None, F.col("export") == 4, F.col("export") == 1):
+        if which is not None:
+            write(which)
+        updates.append(ensure_counts(t.spark, case_exports(f"{folder}/exports"), f"{folder}/counts"))
+    counted, dropped = (F.lit(",".join(map(str, n))).alias(name) for name, n in zip(("counted", "dropped"), zip(*updates, strict=True), strict=True))
+    return current_counts(t.spark, f"{folder}/counts").select("*", counted, dropped)
+
+
 @query
 def csv_rejects(t: Tables) -> DataFrame:
     """Texts in number columns that give no number, from the table that reading writes."""
