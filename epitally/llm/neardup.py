@@ -12,10 +12,13 @@ sets have at least ``threshold`` percent in common (intersection by union).
 4. Buckets that still hold members of different groups are compared within
    themselves, in blocks, by signature: a member unlike its bucket's chosen one
    may be like another. Now all classes that can be linked are in one group.
-5. Each group is verified on full sets, in pairs of blocks of bounded size. Pairs
-   that verified links already connect are skipped, and only links that connect
-   something are written, so a group of copies never gives all its pairs.
-6. Components come from the verified links by large-star and small-star steps.
+5. Each group is verified on full sets in blocks of bounded size, each of which also
+   holds the group's root. A class travels once, and what links is one component.
+6. Where a large group is still in parts, the members outside its largest part are
+   compared with those of all other blocks. Pairs that verified links already connect
+   are skipped, and only links that connect something are written, so a group of
+   copies never gives all its pairs.
+7. Components come from the verified links by large-star and small-star steps.
 
 Signatures may only rule out pairs whose estimate is more than five standard
 deviations below the threshold; every reported link has been counted exactly.
@@ -148,28 +151,47 @@ def _links_by_signature(spec: NearDupSpec):
     return links
 
 
-def _links_by_sets(spec: NearDupSpec):
-    """Links that hold on full sets, as far as they connect what is not connected yet."""
+def _join_by_sets(table: pa.Table, label: np.ndarray, spec: NearDupSpec, rows: np.ndarray, others) -> None:
+    """Gives one label to what links on full sets: each of ``rows`` with those that ``others`` picks for it."""
+    sizes = table["n"].to_numpy()
+    signatures = np.stack([np.frombuffer(s, np.uint32) for s in table["payload"].to_pylist()])
+    sets = [np.frombuffer(s, np.uint64) for s in table["items"].to_pylist()]
+    for i in rows:
+        for j in np.flatnonzero(_alike(signatures, sizes, i, spec) & (label != label[i]) & others(i)):
+            if label[j] == label[i]:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * both >= spec.percent * (len(sets[i]) + len(sets[j]) - both):
+                label[label == label[j]] = label[i]
+
+
+def _links_in_block(spec: NearDupSpec):
+    """All links of a block that connect something, the root's first."""
 
     def links(table: pa.Table) -> pa.Table:
-        ids, sizes, own = (table[c].to_numpy() for c in ("id", "n", "own"))
-        signatures = np.stack([np.frombuffer(s, np.uint32) for s in table["payload"].to_pylist()])
-        sets = [np.frombuffer(s, np.uint64) for s in table["items"].to_pylist()]
-        label = np.arange(len(ids))
-        cross = own.min() != own.max()  # two blocks: links inside either are another task's
-        for i in range(len(ids)):
-            open_ = _alike(signatures, sizes, i, spec) & (label != label[i])
-            for j in np.flatnonzero(open_ & (own > own[i]) if cross else open_[i:]) + (0 if cross else i):
-                if label[j] == label[i]:
-                    continue
-                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * both >= spec.percent * (len(sets[i]) + len(sets[j]) - both):
-                    label[label == label[j]] = label[i]
+        ids, places = table["id"].to_numpy(), np.arange(table.num_rows)
+        label = places.copy()
+        root = ids == table["root"].to_numpy()
+        _join_by_sets(table, label, spec, np.argsort(~root, kind="stable"), lambda i: (places > i) | root[i])
         return _stars(ids, label)
 
     return links
 
 
+def _links_of_rest(spec: NearDupSpec):
+    """Links between the parts of a group: of residents with guests of other blocks."""
+
+    def links(table: pa.Table) -> pa.Table:
+        own, resident = table["own"].to_numpy(), table["resident"].to_numpy(zero_copy_only=False)
+        before = table["label"].to_numpy()
+        label = before.copy()
+        _join_by_sets(table, label, spec, np.flatnonzero(resident), lambda i: ~resident & (own != own[i]))
+        parts, at = np.unique(before, return_index=True)
+        return _stars(parts, label[at])
+
+    return links
+
+
 def _stars(ids: np.ndarray, label: np.ndarray) -> pa.Table:
     """Of everything with one label, each id linked to the smallest: what the links connect, in as many rows."""
     order = np.lexsort((ids, label))
@@ -219,13 +241,53 @@ def _candidate_groups(classes: DataFrame, spec: NearDupSpec) -> DataFrame:
     second = stage(tasks.groupBy("task").applyInArrow(_links_by_signature(spec), _PAIR), "neardup-apart")
     if second.isEmpty():
         return first
-    # These links are between whole groups. A class that was in none may now be in one.
-    joined = connected_components(second, "neardup-groups").toDF("old", "new")
+    return _regrouped(first, second, "neardup-groups")
+
+
+def _regrouped(first: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """(node, root) after links between the roots of components; a node that was in none may now be in one."""
+    joined = connected_components(links, name).toDF("old", "new")
     singles = joined.join(first, F.col("old") == F.col("node"), "left_anti").select(F.col("old").alias("node"), F.col("old").alias("root"))
     regrouped = first.unionByName(singles).join(joined, F.col("root") == F.col("old"), "left")
     return regrouped.select("node", F.coalesce("new", "root").alias("root"))
 
 
+def _with_sets(docs: DataFrame, wanted: DataFrame, spec: NearDupSpec) -> DataFrame:
+    """``wanted`` with the full set of each class: from the text of one document, by id, and by content where ids repeat."""
+    texts = docs.join(wanted.select("id", "at", "of"), F.col("doc_id").eqNullSafe(F.col("at.doc_id")) & (F.col("print") == F.col("at.print")))
+    sets = _sets(texts, ["id", "of"], spec, full=True).filter("class = of").dropDuplicates(["id"]).select(F.col("id").alias("node"), F.col("payload").alias("items"))
+    return wanted.drop("at", "of").join(sets, F.col("id") == F.col("node")).drop("node")
+
+
+def _verified(docs: DataFrame, wanted: DataFrame, spec: NearDupSpec) -> DataFrame:
+    """(node, root) of what links on full sets. ``wanted`` has each class with its group's root, block and number of blocks."""
+    block = F.when(F.col("id") == F.col("root"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
+    members = _with_sets(docs, wanted, spec).withColumn("block", F.explode(block))
+    inside = members.select(F.struct("root", "block").alias("task"), "id", "root", "n", "payload", "items")
+    links = inside.groupBy("task").applyInArrow(_links_in_block(spec), _PAIR)
+    first = stage(connected_components(links, "neardup-links"), "neardup-linked")
+
+    large = wanted.filter("blocks > 1").join(first.toDF("node", "part"), F.col("id") == F.col("node"), "left").drop("node")
+    large = stage(large.withColumn("label", F.coalesce("part", "id")).drop("part"), "neardup-large")
+    parts = large.groupBy("root", "label").agg(F.count("*").alias("size"))
+    open_ = parts.groupBy("root").agg(F.max(F.struct("size", "label")).alias("main"), F.sum("size").alias("members"), F.count("*").alias("parts"))
+    rests = F.ceil((F.col("members") - F.col("main.size")) / spec.block).cast("int")
+    open_ = stage(open_.filter("parts > 1").select(F.col("root").alias("group"), F.col("main.label").alias("main"), rests.alias("rests")), "neardup-open")
+    if open_.isEmpty():
+        return first
+    # A class outside the main part is at home in one block of the rest, and meets all blocks of the group there.
+    # As a guest it goes to the blocks up to its own; a class of the main part is a guest of all.
+    home = F.when(F.col("label") != F.col("main"), F.pmod(F.xxhash64("id", F.lit(spec.seed)), F.col("rests")).cast("int"))
+    last = F.coalesce("home", F.col("rests") - 1)
+    visits = F.transform(F.sequence(F.lit(0), last), lambda r: F.struct(r.alias("rest"), F.col("own").alias("block"), F.lit(False).alias("resident")))
+    stays = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(F.col("home").alias("rest"), b.alias("block"), F.lit(True).alias("resident")))
+    dealt = large.join(open_, F.col("root") == F.col("group")).drop("group").withColumn("home", home)
+    dealt = _with_sets(docs, dealt, spec).withColumn("at", F.explode(F.when(F.col("home").isNull(), visits).otherwise(F.concat(visits, stays))))
+    dealt = dealt.select(F.struct("root", "at.rest", "at.block").alias("task"), "id", "label", "own", "at.resident", "n", "payload", "items")
+    second = stage(dealt.groupBy("task").applyInArrow(_links_of_rest(spec), _PAIR), "neardup-rest")
+    return first if second.isEmpty() else _regrouped(first, second, "neardup-parts")
+
+
 def _components(docs: DataFrame, spec: NearDupSpec) -> DataFrame:
     """doc_id, print (of the text), n, component_id and, unless the text is wordless, root of each row of ``docs``."""
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("print"))
@@ -236,15 +298,11 @@ def _components(docs: DataFrame, spec: NearDupSpec) -> DataFrame:
     classes = stage(classes.select(F.monotonically_increasing_id().alias("id"), "class", "doc", "at", "n", "payload"), "neardup-classes")
 
     groups = stage(_candidate_groups(classes, spec), "neardup-grouped")
-    wanted = classes.join(groups, F.col("id") == F.col("node")).select("id", "root", "at", "n", F.col("class").alias("of"), "payload")
-    wanted = stage(wanted, "neardup-wanted")
-    # The text of one document of each class: by id, and by content where ids repeat.
-    texts = docs.join(wanted.select("id", "at", "of"), F.col("doc_id").eqNullSafe(F.col("at.doc_id")) & (F.col("print") == F.col("at.print")))
-    sets = _sets(texts, ["id", "of"], spec, full=True).filter("class = of").dropDuplicates(["id"]).select(F.col("id").alias("node"), F.col("payload").alias("items"))
-    members = wanted.select("id", "root", "n", "payload").join(sets, F.col("id") == F.col("node"))
-    tasks = _blocks(members, "root", spec).select("task", "id", "own", "n", "payload", "items")
-    links = tasks.groupBy("task").applyInArrow(_links_by_sets(spec), _PAIR)
-    components = connected_components(links, "neardup-links")
+    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / spec.block).cast("int").alias("blocks")).withColumnRenamed("root", "group")
+    wanted = classes.join(groups, F.col("id") == F.col("node")).join(sizes, F.col("root") == F.col("group"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("own")
+    wanted = stage(wanted.select("id", "root", "blocks", own, "at", "n", F.col("class").alias("of"), "payload"), "neardup-wanted")
+    components = _verified(docs, wanted, spec)
 
     rooted = classes.select("id", "class", "doc").join(components, F.col("id") == F.col("node"), "left")
     rooted = stage(rooted.select("class", "doc", F.coalesce("root", "id").alias("root")), "neardup-roots")

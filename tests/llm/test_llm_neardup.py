@@ -97,3 +97,23 @@ def test_word_hashes_do_not_depend_on_the_batch():
         word = bytes(data[s : at[i + 1]]).split(None, 1)[0].lower()
         assert names.setdefault(h, word) == word
     assert W.shingles(hashes[:0], 3).size == 0 and len(W.shingles(hashes[:2], 3)) == 1
+
+
+def test_groups_in_several_parts_equal_brute_force(spark):
+    """A chain of texts: neighbours link, the ends do not, and blocks are small, so that parts meet across blocks."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(120)]
+    found_texts = []
+    for step in range(60):
+        words[(step * 3) % 120] = f"x{step}"
+        found_texts.append(" ".join(words))
+    for _ in range(40):  # and texts like the first one that link with few others
+        own = found_texts[0].split()
+        for at in rng.sample(range(120), 5):
+            own[at] = f"y{rng.randrange(10**6)}"
+        found_texts.append(" ".join(own))
+    spec = NearDupSpec(3, 85, block=4)
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(found_texts)], SCHEMA)
+    roots, _ = near_duplicate_components(found_texts, spec.shingle, spec.percent)
+    found = {r.doc_id: r.component_id for r in near_duplicates(docs, spec).collect()}
+    assert found == dict(enumerate(roots)) and 1 < len(set(roots)) < 90
