@@ -17,15 +17,23 @@ away from it, in inserted, dropped and replaced words.
    themselves, until the wanted share of occurrences at the full tolerance is found for
    items of every length. Lengths that fall short go on with narrower windows, which
    edits hit less often; if the narrowest ones leave a length short, a warning names it.
-4. Candidates are verified by the exact edit distance of the item to its best
+4. An occurrence leaves all but a few of the item's words as they are, so at least
+   one of its ``edits + 1`` rarest words stands in the text. Candidates are taken of
+   items that pass this only, from the shorter side: the items of a window's sample,
+   or the items that the text can hold. A phrase that many items share costs nothing
+   in a text that has the phrase alone.
+5. Candidates are verified by the exact edit distance of the item to its best
    stretch of the text around the window, which Myers' bit vectors compute.
 
+Items with fewer than ``least_words`` words tolerate no edit. They are looked for as they
+are, by hashes of runs of as many words.
+
 The benchmark travels to the tasks in blocks of bounded size, the documents stay
 where they are: nothing is shuffled.
 
-Defined results: a NULL or wordless text holds nothing; NULL items and items with
-fewer than ``least_words`` words are not looked for, as ordinary text would hold
-them; equal items with different ids are all reported; of several occurrences of
+Defined results: a NULL or wordless text holds nothing; NULL and wordless items are
+in no text; a document is not dropped for an item of fewer than ``least_evidence``
+words, which ordinary text may hold, but such items are reported; equal items with different ids are all reported; of several occurrences of
 an item in a document the closest, then the first is reported; texts of any length
 are read whole; repeated rows are reported each; empty tables give an empty result;
 columns beyond doc_id and text, item_id and text are not used.
@@ -54,7 +62,10 @@ _WORD_BYTES[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *ra
 class DecontaminateSpec:
     #: Edits per word of the item.
     tolerance: float = 0.15
+    #: Shorter items are looked for word by word as they are.
     least_words: int = 5
+    #: Documents are dropped for items of at least so many words.
+    least_evidence: int = 4
     widest: int = 8
     #: Share of the places of the embedding that a repetition compares.
     sampled: float = 0.44
@@ -134,8 +145,75 @@ def best_stretch(item: list[int], text: list[int]) -> tuple[int, int]:
     return best, best_end
 
 
+def _spread(low: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all ranges one after another, and the number of the range that each belongs to."""
+    total = int(many.sum())
+    return np.repeat(low - (np.cumsum(many) - many), many) + np.arange(total), np.repeat(np.arange(len(many)), many)
+
+
+def _runs(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the run of words at each start."""
+    key = np.full(len(starts), np.uint64(length))
+    for step in range(length):
+        key = W.mix(key ^ words[starts + step])
+    return key
+
+
+class Known:
+    """Sorted keys, and whether a key may be among them from one look at a table of bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        # Some eight places per key and more, so that few other keys pass.
+        self.shift = np.uint64(64 - max(18, len(keys).bit_length() + 3))
+        self.passes = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.passes[keys >> self.shift] = True
+
+    def ranges(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where keys are known: their places, and begin and length of their ranges."""
+        at = np.flatnonzero(self.passes[keys >> self.shift])
+        low = np.searchsorted(self.keys, keys[at], "left")
+        many = np.searchsorted(self.keys, keys[at], "right") - low
+        return at[many > 0], low[many > 0], many[many > 0]
+
+
+class _Table:
+    """Samples of the windows of items in one repetition, by key, item and offset."""
+
+    def __init__(self, embedding: Embedding, keys: np.ndarray, item: np.ndarray, offset: np.ndarray, items: int):
+        order = np.lexsort((offset, item, keys))
+        self.embedding, self.items, self.known, self.offset = embedding, items, Known(keys[order]), offset[order].astype(np.int32)
+        new = np.concatenate(([0], (np.diff(self.known.keys) != 0).astype(np.int64)))
+        #: The number of the key among the different ones, and the item: ascending.
+        self.joint = np.cumsum(new) * items + item[order]
+
+    def hits(self, keys: np.ndarray, text: np.ndarray, possible: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Window, item and offset for equal samples, of the items that are possible in the window's text.
+
+        ``possible`` has text * items + item, ascending. Each window goes through its
+        sample's items or through its text's, whichever are fewer.
+        """
+        at, low, many = self.known.ranges(keys)
+        first = np.searchsorted(possible, text[at] * self.items)
+        here = np.searchsorted(possible, (text[at] + 1) * self.items) - first
+        by_sample = (many <= here) & (here > 0)
+        by_text = (many > here) & (here > 0)
+        one, owner = _spread(low[by_sample], many[by_sample])
+        item = self.joint[one] % self.items
+        wanted = text[at[by_sample]][owner] * self.items + item
+        place = np.searchsorted(possible, wanted)
+        held = place < len(possible)
+        held[held] = possible[place[held]] == wanted[held]
+        two, other = _spread(first[by_text], here[by_text])
+        joint = (self.joint[low[by_text]] // self.items)[other] * self.items + possible[two] % self.items
+        begin = np.searchsorted(self.joint, joint, "left")
+        three, which = _spread(begin, np.searchsorted(self.joint, joint, "right") - begin)
+        window = np.concatenate([at[by_sample][owner[held]], at[by_text][other[which]]])
+        return window, np.concatenate([item[held], joint[which] % self.items]), self.offset[np.concatenate([one[held], three])]
+
+
 class BenchmarkIndex:
-    """Sampled embeddings of all windows of a block of items."""
+    """Sampled embeddings of all windows of a block of items, and hashes of its short items."""
 
     def __init__(self, items: list[tuple[int, str]], spec: DecontaminateSpec):
         self.spec = spec
@@ -143,17 +221,52 @@ class BenchmarkIndex:
         data, at = W.buffer(pa.array([t for _, t in items], pa.string()))
         words, _, text = hasher.spans(data, at)
         ends = np.searchsorted(text, np.arange(len(items) + 1))
-        self.ids, self.items = [], []
-        for i, (item_id, _) in enumerate(items):
-            own = words[ends[i] : ends[i + 1]]
-            if len(own) >= spec.least_words:
-                self.ids.append(item_id)
-                self.items.append(own)
+        split = [(item_id, words[ends[i] : ends[i + 1]]) for i, (item_id, _) in enumerate(items)]
+        split = [(item_id, own) for item_id, own in split if len(own)]
+        self.ids, self.items = [item_id for item_id, _ in split], [own for _, own in split]
+        short = [i for i, own in enumerate(self.items) if len(own) < spec.least_words]
+        long = [i for i, own in enumerate(self.items) if len(own) >= spec.least_words]
+        #: For each length the runs and the short items that are such a run.
+        self.short: dict[int, tuple[Known, np.ndarray]] = {}
+        for length in sorted({len(self.items[i]) for i in short}):
+            of = np.array([i for i in short if len(self.items[i]) == length])
+            runs = _runs(np.concatenate([self.items[i] for i in of]), np.arange(len(of)) * length, length)
+            order = np.argsort(runs, kind="stable")
+            self.short[length] = Known(runs[order]), of[order]
+        self._rare(long)
         #: The share of trial edits that was missed, by the words of the items.
         self.missed: dict[int, float] = {}
-        self.tables: list[tuple[Embedding, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        for width in sorted({spec.width(len(w)) for w in self.items}):
-            self._index(width, [i for i, w in enumerate(self.items) if self.spec.width(len(w)) == width])
+        self.tables: list[_Table] = []
+        for width in sorted({spec.width(len(self.items[i])) for i in long}):
+            self._index(width, [i for i in long if spec.width(len(self.items[i])) == width])
+
+    def slack(self, item: int) -> int:
+        """Edits that an occurrence of the item may have."""
+        return int(self.spec.tolerance * len(self.items[item]))
+
+    def _rare(self, of: list[int]) -> None:
+        """The ``slack + 1`` rarest words of each item, with the items by word."""
+        known, many = np.unique(np.concatenate([np.unique(self.items[i]) for i in of] or [np.zeros(0, np.uint64)]), return_counts=True)
+        words, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for i in of:
+            own = self.items[i]
+            # Places, not different words: an edit changes one place.
+            order = np.argsort(many[np.searchsorted(known, own)], kind="stable")
+            picked = np.unique(own[order[: self.slack(i) + 1]])
+            words.append(picked)
+            owners.append(np.full(len(picked), i))
+        keys = W.mix(np.concatenate(words))
+        order = np.argsort(keys, kind="stable")
+        self.rare, self.rare_items = Known(keys[order]), np.concatenate(owners)[order]
+
+    def _possible(self, words: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """text * items + item, ascending, of items of which a text has one of the rarest words."""
+        at, low, many = self.rare.ranges(W.mix(words))
+        # Each word once a text.
+        text = np.searchsorted(end, at, "right")
+        _, once = np.unique(text * len(self.rare.keys) + low, return_index=True)
+        place, owner = _spread(low[once], many[once])
+        return np.unique(text[once][owner] * len(self.items) + self.rare_items[place])
 
     def _index(self, width: int, of: list[int]) -> None:
         joined = np.concatenate([self.items[i] for i in of])
@@ -167,12 +280,7 @@ class BenchmarkIndex:
         for repetition in range(most):
             embedding = Embedding(width, repetition, self.spec)
             keys = embedding.keys(joined, starts)
-            order = np.argsort(keys, kind="stable")
-            # Some eight places per window and more, so that few other keys pass.
-            bits = max(18, len(keys).bit_length() + 3)
-            passes = np.zeros(1 << bits, bool)
-            passes[keys >> np.uint64(64 - bits)] = True
-            self.tables.append((embedding, keys[order], item[order].astype(np.int32), offset[order].astype(np.int32), passes))
+            self.tables.append(_Table(embedding, keys, item, offset, len(self.items)))
             missed = trials.after(embedding, keys, place)
             if max(missed.values()) <= 1 - self.spec.recall:
                 break
@@ -183,31 +291,65 @@ class BenchmarkIndex:
         elif short:
             warnings.warn(f"{most} repetitions reach less than a recall of {self.spec.recall} for items of so many words: {short}", stacklevel=2)
 
-    def candidates(self, words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Text, item, and place in ``words`` where it would begin, of windows with equal samples."""
+    def candidates(self, words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Columns of text, item, and place in ``words`` where the item would begin, of windows with equal samples."""
+        possible = self._possible(words, end)
+        texts = np.unique(possible // len(self.items))
         starts: dict[int, np.ndarray] = {}
-        for embedding, known, item, offset, passes in self.tables:
-            width = embedding.width
+        pairs = [np.zeros((3, 0), np.int64)]
+        for table in self.tables:
+            width = table.embedding.width
             if width not in starts:
-                starts[width] = window_starts(begin, end, width, width)
-            keys = embedding.keys(words, starts[width])
-            maybe = np.flatnonzero(passes[keys >> np.uint64(65 - len(passes).bit_length())])
-            low = np.searchsorted(known, keys[maybe], "left")
-            many = np.searchsorted(known, keys[maybe], "right") - low
-            hit = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            window = np.repeat(starts[width][maybe], many)
-            yield np.searchsorted(end, window, "right"), item[hit], window - offset[hit]
+                starts[width] = window_starts(begin[texts], end[texts], width, width)
+            keys = table.embedding.keys(words, starts[width])
+            window, item, offset = table.hits(keys, np.searchsorted(end, starts[width], "right"), possible)
+            window = starts[width][window]
+            pairs.append(np.stack([np.searchsorted(end, window, "right"), item, window - offset]))
+        return np.unique(np.concatenate(pairs, axis=1), axis=1)
+
+    def _enough(self, words: np.ndarray, begin: np.ndarray, end: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """The candidates whose text has all words of the item but those that may be edited."""
+        both, of = np.unique(pairs[0] * len(self.items) + pairs[1], return_inverse=True)
+        text, item = both // len(self.items), both % len(self.items)
+        texts, at = np.unique(text, return_inverse=True)
+        place, owner = _spread(begin[texts], end[texts] - begin[texts])
+        held = np.unique(W.mix(words[place] ^ W.mix(owner.astype(np.uint64))))
+        enough = np.zeros(len(both), bool)
+        lengths = np.array([len(w) for w in self.items])
+        slack = np.array([self.slack(i) for i in range(len(self.items))])
+        # In portions, so that memory does not follow the number of candidates.
+        for low in range(0, len(both), 1 << 14):
+            part = slice(low, low + (1 << 14))
+            own = np.concatenate([self.items[i] for i in item[part].tolist()])
+            missing = ~np.isin(W.mix(own ^ W.mix(np.repeat(at[part], lengths[item[part]]).astype(np.uint64))), held)
+            starts = np.cumsum(lengths[item[part]]) - lengths[item[part]]
+            enough[part] = np.add.reduceat(missing.astype(np.int64), starts) <= slack[item[part]]
+        return pairs[:, enough[of]]
+
+    def _find_short(self, words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """The first occurrence of each short item in each text."""
+        found = []
+        for length, (known, items) in self.short.items():
+            starts = window_starts(begin, end, length, 1)
+            at, low, many = known.ranges(_runs(words, starts, length))
+            place, owner = _spread(low, many)
+            first = starts[at[owner]]
+            text, item = np.searchsorted(end, first, "right"), items[place]
+            _, once = np.unique(text * len(self.items) + item, return_index=True)  # the first of each
+            found += [(t, i, 0, p, length) for t, i, p in zip(text[once].tolist(), item[once].tolist(), first[once].tolist(), strict=True)]
+        return found
 
     def find(self, words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(text, item, distance, first word, words) of the best occurrence of each item in each text."""
-        pairs = [np.stack(p) for p in self.candidates(words, begin, end)] if len(words) else []
-        if not pairs:
+        if not len(words) or not self.items:
             return []
+        pairs = self.candidates(words, begin, end)
+        if pairs.shape[1]:
+            pairs = self._enough(words, begin, end, pairs)
         found: dict[tuple[int, int], tuple[int, int, int]] = {}
         done: dict[tuple[int, int], set[tuple[int, int]]] = {}
-        for t, i, p in np.unique(np.concatenate(pairs, axis=1), axis=1).T.tolist():
-            own = self.items[i]
-            slack = int(self.spec.tolerance * len(own))
+        for t, i, p in pairs.T.tolist():
+            own, slack = self.items[i], self.slack(i)
             low, high = max(int(begin[t]), p - slack), min(int(end[t]), p + len(own) + slack)
             if (low, high) in done.setdefault((t, i), set()):
                 continue
@@ -220,7 +362,7 @@ class BenchmarkIndex:
                 _, length = best_stretch(own[::-1].tolist(), near[:stop][::-1].tolist())
                 match = (distance, low + stop - length, length)
                 found[t, i] = min(found.get((t, i), match), match)
-        return [(t, i, *match) for (t, i), match in sorted(found.items())]
+        return sorted([*self._find_short(words, begin, end), *((t, i, *match) for (t, i), match in found.items())])
 
 
 class _Trials:
@@ -320,7 +462,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, spec: Decontaminate
                 words, _, text = hasher.spans(*W.buffer(batch.column("text")))
                 ends = np.searchsorted(text, np.arange(batch.num_rows + 1))
                 keep = np.ones(batch.num_rows, bool)
-                keep[[t for t, *_ in index.find(words, ends[:-1], ends[1:])]] = False
+                keep[[t for t, i, *_ in index.find(words, ends[:-1], ends[1:]) if len(index.items[i]) >= spec.least_evidence]] = False
                 yield batch.filter(pa.array(keep))
 
         kept = kept.mapInArrow(clean, schema)
