@@ -7,9 +7,12 @@ pair of families votes for the family. Inside the family one per pair of its
 languages votes for the language, trained on these two languages only, so what
 parts close relatives is not drowned by what parts the families.
 
-Machines are fitted on the driver from a sample of labelled rows that is bounded
-by ``per_language`` and ``most_languages``; only feature vectors travel there.
-The machines are a few numbers per feature, so prediction runs where the text is
+Every label is learned. Machines are fitted on the driver from a sample of labelled
+rows, ``per_language`` of each and ``most_rows`` in all, but at least ``least_per_language``
+of each; only feature vectors travel there, so what the driver holds follows the number of
+different labels, not of rows. Languages that no family lists are put into families of at most
+``unlisted`` by the likeness of their rows, so the number of machines inside families
+grows with the languages and not with their square. The machines are a few numbers per feature, so prediction runs where the text is
 read, and nothing is shuffled.
 
 A text far from the language it is given is rejected. Its likeness is the cosine of its
@@ -19,7 +22,7 @@ few different trigrams are not judged, as their likeness says little, and a lang
 with few learned rows rejects nothing.
 
 Defined results: a NULL text, one without any letter or a rejected one is ``und`` with score 0;
-languages that the family table does not list form one family; with one learned
+languages that the family table does not list form families of their own; with one learned
 language every text with letters gets it, and with none every text is ``und``;
 equal votes go to the larger margin; texts of any length are read whole; repeated
 rows are predicted alike; an empty table gives an empty result; columns named like
@@ -63,10 +66,11 @@ _PLAIN[ord("A") : ord("Z") + 1] += 32
 class LanguageSpec:
     #: About so many labelled rows of each language are learned from.
     per_language: int = 400
-    #: Of more labels than these, the most frequent are learned.
-    most_languages: int = 64
-    #: Rows learned from in all; with many languages each gets fewer.
+    #: Rows learned from in all; with many languages each gets fewer, but not fewer than the least.
     most_rows: int = 3200
+    least_per_language: int = 32
+    #: Languages in a family of those that the table does not list.
+    unlisted: int = 12
     #: The margin at which a decision is as good as certain.
     certain: float = 1.0
     #: A text is rejected below this share of the likeness that its language's texts have.
@@ -95,6 +99,16 @@ def features(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def _alike(names: list[str], means: np.ndarray, most: int) -> list[list[str]]:
+    """Names in groups of at most ``most``, halved again and again along what parts their means most."""
+    if len(names) <= most:
+        return [names]
+    apart = means - means.mean(axis=0)
+    along = apart @ np.linalg.svd(apart, full_matrices=False)[2][0]
+    order = np.argsort(along, kind="stable")
+    return [part for half in np.array_split(order, 2) for part in _alike([names[i] for i in half], means[half], most)]
+
+
 class LanguageModel:
     """Votes of pairwise machines, first between families, then inside one."""
 
@@ -102,7 +116,11 @@ class LanguageModel:
         self.certain = spec.certain
         family_of = {language: family for family, codes in FAMILIES.items() for language in codes.split()}
         label = np.array(labels, object)
-        family = np.array([family_of.get(x, "other") for x in labels], object)
+        others = sorted(set(labels) - set(family_of))
+        if others:
+            parts = _alike(others, np.stack([rows[label == x].mean(axis=0) for x in others]), spec.unlisted)
+            family_of |= {x: "other" if len(parts) == 1 else f"other {k}" for k, names in enumerate(parts) for x in names}
+        family = np.array([family_of[x] for x in labels], object)
         self.members = {f: sorted(set(label[family == f])) for f in sorted(set(family))}
         self.families = list(self.members)
         self.weights, self.biases, self.pairs = [], [], {}
@@ -172,14 +190,14 @@ class LanguageModel:
 
 
 def _sampled(labelled: DataFrame, label: str, spec: LanguageSpec) -> DataFrame:
-    """About ``per_language`` different texts of each learned language, chosen by a hash of id and text."""
-    sizes = labelled.groupBy(label).agg(F.count("*").alias("n")).orderBy(F.desc("n"), label).limit(spec.most_languages).collect()
+    """About ``per_language`` different texts of each language, chosen by a hash of id and text."""
+    sizes = labelled.groupBy(label).agg(F.count("*").alias("n")).collect()
+    if not sizes:
+        return labelled.limit(0)
     spread = 1 << 30
-    rows = min(spec.per_language, spec.most_rows // max(1, len(sizes)))
-    chosen = F.lit(False)
-    for r in sizes:
-        chosen |= (F.col(label) == r[label]) & (F.col("_draw") < F.lit(rows * spread // r.n))
-    drawn = labelled.withColumn("_draw", F.pmod(F.xxhash64("doc_id", "text"), F.lit(spread))).filter(chosen)
+    rows = max(spec.least_per_language, min(spec.per_language, spec.most_rows // len(sizes)))
+    below = F.create_map(*(F.lit(x) for r in sorted(sizes) for x in (r[label], rows * spread // r.n)))
+    drawn = labelled.withColumn("_draw", F.pmod(F.xxhash64("doc_id", "text"), F.lit(spread))).filter(F.col("_draw") < below[F.col(label)])
     return drawn.dropDuplicates([label, "text"])
 
 

@@ -66,3 +66,26 @@ def test_texts_far_from_every_language_are_rejected(spark, data_dir):
 def test_training_is_the_same_each_time(spark):
     a, b = (language.fit(labelled(spark).repartition(n)) for n in (1, 3))
     assert (a.weights == b.weights).all() and (a.biases == b.biases).all()
+
+
+def test_every_label_is_learned(spark):
+    """Seventy labels that no family lists, each with words of its own; one of them on few rows."""
+    rng = random.Random(6)
+    lexicons = {f"l{k:02}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 8))) for _ in range(40)] for k in range(70)}
+    text = lambda lang: " ".join(rng.choice(lexicons[lang]) for _ in range(60))
+    learned = [(lang, text(lang)) for lang in lexicons for _ in range(2 if lang == "l33" else 12)]
+    model = language.fit(spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(learned)], "doc_id long, text string, lang string"))
+    assert model.languages == sorted(lexicons) and max(map(len, model.members.values())) <= 12
+    tried = [(lang, text(lang)) for lang in lexicons for _ in range(3)]
+    found = language.predict(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(tried)], "doc_id long, text string"), model).collect()
+    right = [r.lang_pred == tried[r.doc_id][0] for r in found]
+    assert sum(right) >= 0.95 * len(tried) and {r.lang_pred for r in found} == set(lexicons)
+
+
+def test_very_long_and_repeated_texts(spark, data_dir):
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet")
+    model = language.fit(docs)
+    own = docs.filter("lang = 'en' AND length(text) > 200").select("text").first().text
+    rows = [(1, own), (1, own), (2, own), (3, (own + " ") * (1 + 2_000_000 // len(own)))]
+    found = language.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    assert len(found) == 4 and {r.lang_pred for r in found} == {"en"} and len({r.score for r in found if r.doc_id < 3}) == 1
