@@ -262,13 +262,14 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, spec: NearDupSpec) -> DataFra
 def _verified(docs: DataFrame, wanted: DataFrame, spec: NearDupSpec) -> DataFrame:
     """(node, root) of what links on full sets. ``wanted`` has each class with its group's root, block and number of blocks."""
     block = F.when(F.col("id") == F.col("root"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
-    members = _with_sets(docs, wanted, spec).withColumn("block", F.explode(block))
-    inside = members.select(F.struct("root", "block").alias("task"), "id", "root", "n", "payload", "items")
+    # Written once: the second step reads the sets of open groups from here, not from the texts again.
+    members = stage(_with_sets(docs, wanted, spec), "neardup-sets")
+    inside = members.withColumn("block", F.explode(block)).select(F.struct("root", "block").alias("task"), "id", "root", "n", "payload", "items")
     links = inside.groupBy("task").applyInArrow(_links_in_block(spec), _PAIR)
     first = stage(connected_components(links, "neardup-links"), "neardup-linked")
 
-    large = wanted.filter("blocks > 1").join(first.toDF("node", "part"), F.col("id") == F.col("node"), "left").drop("node")
-    large = stage(large.withColumn("label", F.coalesce("part", "id")).drop("part"), "neardup-large")
+    large = members.filter("blocks > 1").select("id", "root").join(first.toDF("node", "part"), F.col("id") == F.col("node"), "left")
+    large = stage(large.select("id", "root", F.coalesce("part", "id").alias("label")), "neardup-large")
     parts = large.groupBy("root", "label").agg(F.count("*").alias("size"))
     open_ = parts.groupBy("root").agg(F.max(F.struct("size", "label")).alias("main"), F.sum("size").alias("members"), F.count("*").alias("parts"))
     rests = F.ceil((F.col("members") - F.col("main.size")) / spec.block).cast("int")
@@ -281,8 +282,9 @@ def _verified(docs: DataFrame, wanted: DataFrame, spec: NearDupSpec) -> DataFram
     last = F.coalesce("home", F.col("rests") - 1)
     visits = F.transform(F.sequence(F.lit(0), last), lambda r: F.struct(r.alias("rest"), F.col("own").alias("block"), F.lit(False).alias("resident")))
     stays = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(F.col("home").alias("rest"), b.alias("block"), F.lit(True).alias("resident")))
-    dealt = large.join(open_, F.col("root") == F.col("group")).drop("group").withColumn("home", home)
-    dealt = _with_sets(docs, dealt, spec).withColumn("at", F.explode(F.when(F.col("home").isNull(), visits).otherwise(F.concat(visits, stays))))
+    dealt = large.join(open_, F.col("root") == F.col("group")).select("id", "label", "main", "rests")
+    dealt = members.join(dealt, "id").withColumn("home", home)
+    dealt = dealt.withColumn("at", F.explode(F.when(F.col("home").isNull(), visits).otherwise(F.concat(visits, stays))))
     dealt = dealt.select(F.struct("root", "at.rest", "at.block").alias("task"), "id", "label", "own", "at.resident", "n", "payload", "items")
     second = stage(dealt.groupBy("task").applyInArrow(_links_of_rest(spec), _PAIR), "neardup-rest")
     return first if second.isEmpty() else _regrouped(first, second, "neardup-parts")
