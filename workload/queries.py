@@ -605,12 +605,15 @@ def csv_situations(t: Tables) -> DataFrame:
     raw = p.raw_situations(t)
     header = ["Name", "Date entered", "Artikel 26", "Scenario", "Principal Contextual Setting", "Infectious Agent", "Remark", "Infectious Agent"]
     texts = F.struct("name", "date_entered", "article_26", "scenario", "setting", "agent", F.lit("two\nlines").alias("remark"), F.lit("Other").alias("again"))
-    lines = raw.select((F.crc32("name") % 4).cast("int").alias("export"), F.lit(1).alias("line"), F.to_csv(texts, {"quote": '"', "escape": '"'}).alias("value"))
-    heads = t.spark.range(4).select(F.col("id").cast("int").alias("export"), F.lit(0).alias("line"), F.lit(",".join(header)).alias("value"))
+    lines = raw.select((F.crc32("name") % 4).alias("export"), F.to_csv(texts, {"quote": '"', "escape": '"'}).alias("value"))
+    head = F.lit(",".join(header))
+    # The rows of each task are an export, so none has to be brought together or sorted; its first row brings the header.
+    exports = _union(lines.filter(F.col("export") == i).select("value") for i in range(4))
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    exports = exports.select(F.when(first, F.concat_ws("\n", head, "value")).otherwise(F.col("value")).alias("value"))
     folder = _scratch(t, "situations-csv")
-    # Each export begins with its header.
-    exports = lines.unionByName(heads).repartition(4, "export").sortWithinPartitions("export", "line").drop("line")
-    exports.write.partitionBy("export").text(folder)
+    # One more export holds no situation.
+    exports.unionByName(t.spark.range(1).select(head.alias("value"))).write.text(folder)
     read = read_events(t.spark, folder, schemas.SITUATIONS, duplicated=["Infectious.Agent"])
     return monthly_counts(clean_situations(read), ["scenario", "agent", "setting"])
 
