@@ -64,3 +64,11 @@ def test_situations_are_exported_by_every_task_and_not_sorted(spark, folder):
 def test_an_empty_table_exports_no_situation(spark, folder):
     spark.read.parquet(f"{folder}/lineitem.parquet").limit(0).write.parquet(f"{folder}/empty/lineitem.parquet")
     assert REGISTRY["csv_situations"](spark, f"{folder}/empty").isEmpty()
+
+
+def test_each_case_export_is_one_file_and_not_sorted(spark, folder):
+    found = REGISTRY["incremental_counts"](spark, str(folder))
+    expected = REGISTRY["cleaned_cases"](spark, str(folder))
+    assert rows(found, *expected.columns) == rows(expected) and expected.count() > 20
+    assert rows(found.select("counted", "dropped").distinct()) == [("4,0,1,1", "0,0,0,1")]
+    assert sorted(f.parent.name for f in Path(folder, "increments", "exports").glob("export=*/part-*")) == [f"export={i}" for i in range(5)]

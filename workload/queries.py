@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import date
 from functools import reduce
@@ -567,14 +568,15 @@ def incremental_counts(t: Tables) -> DataFrame:
     folder = _scratch(t, "increments")
     raw = p.raw_cases(t).withColumn("export", F.pmod(F.crc32("`Case Identifier`"), F.lit(5)).cast("int"))
 
-    def write(which: Column) -> None:
-        exports = raw.filter(which).repartition(5, "export").write.mode("overwrite").partitionBy("export")
-        exports.options(header=True, quote='"', escape='"', partitionOverwriteMode="dynamic").csv(f"{folder}/exports")
+    def write(export: int) -> None:
+        # One file that a task writes as rows arrive; to partition the output by export, it would first sort them all.
+        own = raw.filter(F.col("export") == export).drop("export").repartition(1)
+        own.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(f"{folder}/exports/export={export}")
 
     updates = []
-    for which in (F.col("export") < 4, None, F.col("export") == 4, F.col("export") == 1):
-        if which is not None:
-            write(which)
+    for which in (range(4), (), (4,), (1,)):
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(write, which))
         updates.append(ensure_counts(t.spark, case_exports(f"{folder}/exports"), f"{folder}/counts"))
     counted, dropped = (F.lit(",".join(map(str, n))).alias(name) for name, n in zip(("counted", "dropped"), zip(*updates, strict=True), strict=True))
     return current_counts(t.spark, f"{folder}/counts").select("*", counted, dropped)
