@@ -56,6 +56,9 @@ class RepeatSpec:
         return self.length - self.seed + 1
 
 
+#: Bytes of text looked at together: a worker holds a dozen arrays of their words beside the rows it was given.
+_BATCH = 1 << 20
+
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _LAST = np.uint64(0xA0761D6478BD642F)
 
@@ -115,7 +118,7 @@ def _find_anchors(spec: RepeatSpec):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = W.WordHasher(lower=False)
-        for batch in W.batched(batches, "text"):
+        for batch in W.batched(batches, "text", _BATCH):
             found = Passages(batch.column("text"), hasher, spec)
             anchor, first, last = found.anchors()
             if not len(anchor):
@@ -136,7 +139,7 @@ def _find_windows(spec: RepeatSpec):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = W.WordHasher(lower=False)
-        for batch in W.batched(batches, "text"):
+        for batch in W.batched(batches, "text", _BATCH):
             found = Passages(batch.column("text"), hasher, spec)
             edges = batch.column("edges")
             edge = edges.flatten()
@@ -195,7 +198,7 @@ def _drop(spec: RepeatSpec, text: str, spans: str, n_words: str, n_removed: str)
     """Replaces texts by their words outside all spans, and counts words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.batched(batches, text, _BATCH):
             kept, total, removed = [], [], []
             for value, own in zip(batch.column(text), batch.column(spans), strict=True):
                 # White space of bytes is the white space of the words.

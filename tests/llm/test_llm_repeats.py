@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from epitally.llm import repeats
 from epitally.llm import words as W
 from epitally.llm.repeats import Passages, RepeatSpec, drop_repeats, last_smallest, maximal_repeats
 
@@ -110,3 +111,18 @@ def test_anchors_are_a_small_share_of_the_words():
     assert len(anchor) < 0.08 * 20_000
     assert first[0] == 0 and last[-1] == 20_000 - 35 and (first[1:] == last[:-1] + 1).all()
     assert ((anchor >= last) & (anchor + 8 <= first + 35)).all()
+
+
+def test_large_batches_are_worked_on_in_parts():
+    texts = [" ".join(f"w{(i * 7919 + j) % 100003}" for j in range(50_000)) for i in range(12)]
+    spans = [[(10 << 32) + 35]] * len(texts)
+    columns = {"doc_id": pa.array(range(12), pa.int64()), "text": pa.array(texts), "print": pa.array(range(12), pa.int64()), "spans": pa.array(spans, pa.list_(pa.int64()))}
+    batch = pa.RecordBatch.from_pydict(columns)
+    assert batch.nbytes > 3 << 20
+    anchors = list(repeats._find_anchors(repeats.RepeatSpec())(iter([batch.select(["doc_id", "text", "print"])])))
+    kept = list(repeats._drop(repeats.RepeatSpec(), "text", "spans", "n_words", "n_removed")(iter([batch])))
+    assert len(anchors) > 3 and len(kept) > 3
+    assert max(part.column("text").nbytes for part in kept) < 2 << 20
+    whole = pa.Table.from_batches(kept)
+    assert whole["doc_id"].to_pylist() == list(range(12)) and whole["n_removed"].to_pylist() == [35] * 12
+    assert whole["text"].to_pylist() == [" ".join(words[:10] + words[45:]) for words in map(str.split, texts)]
